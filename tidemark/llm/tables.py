@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
+from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,3 +56,9 @@ def sampled(df: DataFrame, label: str, key: str, per_label: int, least: int = 0)
 def extended(df: DataFrame, more: str) -> T.StructType:
     """The schema of `df` with the columns of the DDL string `more` after its own."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(more).fields])
+
+
+def shared(spark: SparkSession, value: object) -> Callable[[], object]:
+    """A function that gives `value` inside tasks: broadcast once, pickled by value as functions are."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
