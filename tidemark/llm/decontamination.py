@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,7 +116,7 @@ def indexes(benchmark: DataFrame, item: str = "item_id", text: str = "text", blo
     hasher = Hasher(WORDLIKE)
     for k in range(blocks):
         got = sorted(rows.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).collect())
-        yield Index([(r.item, hasher(pa.array([r.text])).hashes) for r in got])
+        yield Index([(r.item, hasher(pa.array([r.text.lower()])).hashes) for r in got])
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", to: str = "leaks", item: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -136,7 +137,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", to: str = "l
             for batch in batches:
                 leaks: list[list[dict]] = [[] for _ in range(batch.num_rows)]
                 for first, part in chunks(batch.column(at)):
-                    w = hasher(part)
+                    w = hasher(pa.compute.utf8_lower(part))
                     rows = index.diagonals(w.hashes, w.bounds).tolist()
                     by_text: dict[int, list] = {}
                     for t, i, shift in rows:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from .decontamination import op4_decontamination
 from .language_id import op8_language_id
+from .sentencepiece_codec import op6_sentencepiece
 
 QUERIES = {
+    "op4_decontamination": op4_decontamination,
+    "op6_sentencepiece": op6_sentencepiece,
     "op8_language_id": op8_language_id,
 }
 ORACLE: dict[str, str] = {}

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 #: Bytes of text hashed at a time; a longer text is taken alone.
 CHUNK_BYTES = 4_000_000
