@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .decontamination import op4_decontamination
 from .language_id import op8_language_id
+from .ngram_jaccard import op1_ngram_jaccard
 from .sentencepiece_codec import op6_sentencepiece
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op4_decontamination": op4_decontamination,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_language_id": op8_language_id,
