@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from .decontamination import op4_decontamination
 from .language_id import op8_language_id
+from .licenses import op9_license_scan
+from .line_dedup import OP2_SQL, op2_line_dedup
 from .ngram_jaccard import op1_ngram_jaccard
 from .sentencepiece_codec import op6_sentencepiece
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op9_license_scan": op9_license_scan,
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op4_decontamination": op4_decontamination,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_language_id": op8_language_id,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
+}

@@ -38,12 +38,19 @@ class Codec:
         self.ids = {p: i for i, p in enumerate(pieces) if kinds[i] == "normal"}
         self.byte_ids = {int(p[3:5], 16): i for i, p in enumerate(pieces) if kinds[i] == "byte"}
         self.unknown = kinds.index("unknown")
-        self.longest = max(map(len, self.ids), default=1)
         byte_of = {i: b for b, i in self.byte_ids.items()}
         self.out = [bytes([byte_of[i]]) if i in byte_of else b"" if kinds[i] == "control" else " ⁇ ".encode() if kinds[i] == "unknown" else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
-        # A word ends before a mark, and a newline stands alone, where no piece runs across.
-        inner = any(p[j] == MARK != p[j - 1] for p in self.ids for j in range(1, len(p)))
-        self.words = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+" if not inner and not any("\n" in p for p in self.ids) else r"(?s).+")
+        # A word ends where no piece runs across: before a mark and, after letters, before the characters that follow none in a piece.
+        pairs = {p[j - 1 : j + 1] for p in self.ids for j in range(1, len(p))}
+        after_letter = {b for a, b in pairs if a.isalpha()}
+        ends = "".join(re.escape(c) for c in map(chr, range(128)) if c not in after_letter and not c.isalnum())
+        free = f"{MARK}*[^\\W\\d_]+(?=[{ends}{MARK}]|$)|{MARK}*[^{MARK}]+|{MARK}+"
+        self.words = re.compile(free if not any(b == MARK != a for a, b in pairs) else r"(?s).+")
+        self.widths: dict[str, list[int]] = {}
+        for p in sorted(self.ids, key=len, reverse=True):
+            widths = self.widths.setdefault(p[-2:], [])
+            if len(p) not in widths:
+                widths.append(len(p))
         self.pieces = pieces
         self.pairs: dict[tuple[int, int], bool] = {}
 
@@ -82,8 +89,10 @@ class Codec:
     def _extend(self, word: str, end: int, last: list[int], best: list[float]) -> None:
         """Sets the state of position `end`: a piece id, or -1 - width for a character outside the vocabulary."""
         found, score = None, float("-inf")
-        for start in range(max(0, end - self.longest), end):
-            if (i := self.ids.get(word[start:end])) is None:
+        widths = self.widths.get(word[end - 2 : end] if end > 1 else "", ())
+        for width in (*widths, 1):
+            start = end - width
+            if start < 0 or (i := self.ids.get(word[start:end])) is None:
                 continue
             if self.model == "unigram":
                 if best[start] + self.scores[i] > score:
