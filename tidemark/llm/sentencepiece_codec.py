@@ -53,6 +53,8 @@ class Codec:
                 widths.append(len(p))
         self.pieces = pieces
         self.pairs: dict[tuple[int, int], bool] = {}
+        if model == "bpe":
+            self._merge_order()
 
     @staticmethod
     def load(path: str = MODEL) -> Codec:
@@ -70,21 +72,43 @@ class Codec:
             raise ValueError("only models that leave the text as it is are supported")
         return Codec([sp.id_to_piece(i) for i in n], [sp.get_score(i) for i in n], kinds, {1: "unigram", 2: "bpe"}[spec.trainer_spec.model_type], spec.normalizer_spec.add_dummy_prefix)
 
-    def merged(self, text: str) -> list[int]:
-        """The BPE merges of a short text, best score first and leftmost among equals."""
-        parts = list(text)
-        while True:
-            best = max(((self.scores[i], -k) for k in range(len(parts) - 1) if (i := self.ids.get(parts[k] + parts[k + 1])) is not None), default=None)
-            if best is None:
-                return [self.ids[p] for p in parts]
-            parts[-best[1] : -best[1] + 2] = [parts[-best[1]] + parts[-best[1] + 1]]
+    def _merge_order(self) -> None:
+        """For a BPE model: when each piece is made (-1: a character), and of which two pieces last."""
+        by_score = sorted((i for p, i in self.ids.items() if len(p) > 1), key=lambda i: (-self.scores[i], i))
+        self.rank = [-1] * len(self.pieces)
+        for k, i in enumerate(by_score):
+            self.rank[i] = k
+        self.left, self.right = list(range(len(self.pieces))), list(range(len(self.pieces)))
+        self.reached = {i for p, i in self.ids.items() if len(p) == 1}
+        for i in by_score:
+            parts = [self.ids.get(c, -1) for c in self.pieces[i]]
+            while -1 not in parts and len(parts) > 1:
+                merges = [(self.rank[m], k, m) for k in range(len(parts) - 1) if (m := self.ids.get(self.pieces[parts[k]] + self.pieces[parts[k + 1]])) is not None]
+                if not merges:
+                    break
+                _, k, made = min(merges)
+                if len(parts) == 2:
+                    self.left[i], self.right[i] = parts
+                    self.reached.add(i)
+                parts[k : k + 2] = [made]
 
     def follows(self, left: int, right: int) -> bool:
-        """Whether merging leaves the two pieces side by side; left -1: whether `right` alone is reached."""
-        key = (left, right)
-        if (known := self.pairs.get(key)) is None:
-            known = self.pairs[key] = self.merged((self.pieces[left] if left >= 0 else "") + self.pieces[right]) == ([left, right] if left >= 0 else [right])
-        return known
+        """Whether the merges leave two pieces side by side.
+
+        Going back in time from both pieces, the later made of the two at the seam is undone;
+        the seam holds unless what then stands there would have merged before.
+        """
+        x, y, until, rank, pieces = left, right, len(self.rank), self.rank, self.pieces
+        while True:
+            across = self.ids.get(pieces[x] + pieces[y])
+            if across is not None and rank[across] < until:
+                return False
+            if rank[x] > rank[y]:
+                until, x = rank[x], self.right[x]
+            elif rank[y] >= 0:
+                until, y = rank[y] + 1, self.left[y]
+            else:
+                return True
 
     def _extend(self, word: str, end: int, last: list[int], best: list[float]) -> None:
         """Sets the state of position `end`: a piece id, or -1 - width for a character outside the vocabulary."""
@@ -97,9 +121,11 @@ class Codec:
             if self.model == "unigram":
                 if best[start] + self.scores[i] > score:
                     found, score = i, best[start] + self.scores[i]
-            elif self.follows(last[start] if start and last[start] >= 0 else -1, i):
-                found, score = i, 0.0
-                break
+            elif i in self.reached:
+                before = last[start] if start else -1
+                if before < 0 or (fits := self.pairs.get((before, i))) or (fits is None and self.pairs.setdefault((before, i), self.follows(before, i))):
+                    found, score = i, 0.0
+                    break
         if found is None:
             found, score = -1, best[end - 1] - 1e6
         last[end], best[end] = found, score
