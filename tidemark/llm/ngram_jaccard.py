@@ -33,9 +33,9 @@ from .word_hashes import NOT_BLANK, Hasher, chunks, mix
 #: Words of a shingle.
 WORDS = 5
 #: Cells that a task holds before it deals them out, and cells of a group at stage 2.
-FLUSH, GROUP = 3_000_000, 1_500_000
+FLUSH, GROUP = 1_000_000, 1_000_000
 #: Sets below 2**TOKENS shingles have a cell for each shingle.
-TOKENS = 7
+TOKENS = 8
 #: Sets with a cell from which on it counts as frequent, whatever the number.
 FREQUENT = 64
 LOW = np.uint64((1 << 40) - 1)
@@ -111,33 +111,33 @@ def _unpacked(raw: bytes, width: int) -> np.ndarray:
     return out.view(np.uint64).reshape(-1)
 
 
-#: A packed row: the group; sets (document * 2 + whether in the band above), the cells that each must
-#: have in common with others to count, how many cells follow for each; the cells; the sets that have each.
-BLOCK = "part int, keys binary, slack binary, n binary, cells binary, df binary"
+#: A packed row: the group; sets (document * 2 + whether in the band above) with their shingles and
+#: cells and how many cells follow for each; the cells; the sets that have each.
+BLOCK = "part int, keys binary, sizes binary, n binary, cells binary, df binary"
 
 
-def _blocks(part: np.ndarray, key: np.ndarray, slack: np.ndarray, cell: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
-    """Packed rows, one a group; rows of one set follow one another in the input."""
+def _blocks(part: np.ndarray, key: np.ndarray, size: np.ndarray, cell: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
+    """Packed rows, one a group; rows of one set follow one another in the input. size: shingles << 32 | cells."""
     order = np.argsort(part, kind="stable")
-    part, key, slack, cell, df = (x[order] for x in (part, key, slack, cell, df))
+    part, key, size, cell, df = (x[order] for x in (part, key, size, cell, df))
     edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, np.int64)
     columns: list[list] = [[] for _ in range(6)]
     for a, b in zip(edges, edges[1:]):
         first = a + np.flatnonzero(np.concatenate([[True], key[a + 1 : b] != key[a : b - 1]]))
         n = np.diff(np.concatenate([first, [b]])).astype(np.int32)
-        for column, value in zip(columns, (int(part[a]), _packed(key[first], 8), slack[first].astype(np.int32).tobytes(), n.tobytes(), _packed(cell[a:b], 8 if df[a] else 5), df[a:b].astype(np.uint8).tobytes() if df[a] else b"")):
+        for column, value in zip(columns, (int(part[a]), _packed(key[first], 8), _packed(size[first], 8), n.tobytes(), _packed(cell[a:b], 8 if df[a] else 5), df[a:b].astype(np.uint8).tobytes() if df[a] else b"")):
             column.append(value)
     kinds = [pa.int32()] + [pa.binary()] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "keys", "slack", "n", "cells", "df"])
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "keys", "sizes", "n", "cells", "df"])
 
 
 def _read(rows: pa.Table) -> tuple[np.ndarray, ...]:
-    """key, slack, cell, df of each cell in packed rows; df 0 in rows that come without."""
-    got: list[list] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]]
-    for keys, slack, n, cell, df in zip(*(rows.column(c).to_pylist() for c in ("keys", "slack", "n", "cells", "df"))):
+    """key, size, cell, df of each cell in packed rows; df 0 in rows that come without."""
+    got: list[list] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]]
+    for keys, size, n, cell, df in zip(*(rows.column(c).to_pylist() for c in ("keys", "sizes", "n", "cells", "df"))):
         n = np.frombuffer(n, np.int32)
         got[0].append(np.repeat(_unpacked(keys, 8).view(np.int64), n))
-        got[1].append(np.repeat(np.frombuffer(slack, np.int32), n))
+        got[1].append(np.repeat(_unpacked(size, 8).view(np.int64), n))
         got[2].append(_unpacked(cell, 8 if df else 5))
         got[3].append(np.frombuffer(df, np.uint8) if df else np.zeros(n.sum(), np.uint8))
     return tuple(np.concatenate(g) for g in got)
@@ -147,37 +147,37 @@ def _deal(parts: int, flush: int = FLUSH):
     """Stage 2, before the shuffle. A cell that FREQUENT sets of one flush have is not sent set by
     set: its group gets one row that marks it, and the sets keep it, by way of any group."""
 
-    def out(keys: list, slacks: list, found: list, turn: int) -> Iterator[pa.RecordBatch]:
+    def out(keys: list, sizes: list, found: list, turn: int) -> Iterator[pa.RecordBatch]:
         n = [len(c) for c in found]
-        key, slack, cell = np.repeat(np.array(keys, np.int64), n), np.repeat(np.array(slacks, np.int32), n), np.concatenate(found)
+        key, size, cell = np.repeat(np.array(keys, np.int64), n), np.repeat(np.array(sizes, np.int64), n), np.concatenate(found)
         part = ((cell >> np.uint64(40)) % np.uint64(parts)).astype(np.int32)
         full = (part.astype(np.uint64) << np.uint64(40)) | (cell & LOW)
         values, counts = np.unique(full, return_counts=True)
         often = values[counts >= FREQUENT]
         held = np.isin(full, often) if len(often) else np.zeros(len(full), bool)
-        yield _blocks(part[~held], key[~held], slack[~held], full[~held], np.zeros((~held).sum(), np.uint8))
+        yield _blocks(part[~held], key[~held], size[~held], full[~held], np.zeros((~held).sum(), np.uint8))
         if len(often):
-            yield _blocks((often >> np.uint64(40)).astype(np.int32), np.full(len(often), -1, np.int64), np.zeros(len(often), np.int32), often, np.full(len(often), FREQUENT, np.uint8))
-            key, slack, full = key[held], slack[held], full[held]
-            yield _blocks(((key + turn) % parts).astype(np.int32), key, slack, full, np.full(len(full), FREQUENT, np.uint8))
+            yield _blocks((often >> np.uint64(40)).astype(np.int32), np.full(len(often), -1, np.int64), np.zeros(len(often), np.int64), often, np.full(len(often), FREQUENT, np.uint8))
+            key, size, full = key[held], size[held], full[held]
+            yield _blocks(((key + turn) % parts).astype(np.int32), key, size, full, np.full(len(full), FREQUENT, np.uint8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, keys, slacks, found, held, turn = Hasher(NOT_BLANK), [], [], [], 0, 0
+        hasher, keys, sizes, found, held, turn = Hasher(NOT_BLANK), [], [], [], 0, 0
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for first, part in chunks(batch.column(1)):
                 for k, s in enumerate(shingle_sets(part, hasher), first):
-                    for up, (band, most) in enumerate(bands(len(s)) if len(s) else ()):
+                    for up, (band, _) in enumerate(bands(len(s)) if len(s) else ()):
                         c = cells(s, band)
                         keys.append(ids[k] * 2 + up)
-                        slacks.append(len(c) - most)
+                        sizes.append(len(s) << 32 | len(c))
                         found.append(c)
                         held += len(c)
                 if held >= flush:
-                    yield from out(keys, slacks, found, turn)
-                    keys, slacks, found, held, turn = [], [], [], 0, turn + 1
+                    yield from out(keys, sizes, found, turn)
+                    keys, sizes, found, held, turn = [], [], [], 0, turn + 1
         if found:
-            yield from out(keys, slacks, found, turn)
+            yield from out(keys, sizes, found, turn)
 
     return run
 
@@ -186,7 +186,7 @@ def _count(parts: int):
     """Stage 2, after the shuffle: cells that several sets have go on, to the groups of their sets."""
 
     def run(rows: pa.Table) -> pa.Table:
-        key, slack, cell, df = _read(rows)
+        key, size, cell, df = _read(rows)
         passing = (df > 0) & (key >= 0)
         own = np.flatnonzero(~passing)
         order = own[np.argsort(cell[own], kind="stable")]
@@ -195,28 +195,43 @@ def _count(parts: int):
         df[order] = np.minimum(np.repeat(weight, np.diff(np.concatenate([first, [len(order)]]))), FREQUENT)
         keep = np.flatnonzero((df >= 2) & (key >= 0))
         keep = keep[np.argsort(key[keep], kind="stable")]
-        key, slack, cell, df = key[keep], slack[keep], cell[keep], df[keep]
+        key, size, cell, df = key[keep], size[keep], cell[keep], df[keep]
         to = (mix(key.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
-        return pa.Table.from_batches([_blocks(to, key, slack, cell, df)])
+        return pa.Table.from_batches([_blocks(to, key, size, cell, df)])
 
     return run
 
 
+#: A cell that a set picked: the set, its shingles, how many of its cells are rarer, whether every
+#: shingle has a cell of its own, whether the rarer ones are at most half of what may differ.
+PICKED = "cell long, doc_id long, n int, rarer int, single boolean, low boolean"
+
+
 def _pick(rows: pa.Table) -> pa.Table:
     """Stage 3: the sets that may have partners, with the rarest of their cells.
 
-    A set with fewer shared cells than `slack` (its cells less D) has more than D cells of its own.
-    Otherwise its D + 1 rarest are its own ones and the rarest shared ones that are returned.
+    Of a set's D + 1 rarest cells the first are those that no other set has, and then those that
+    came back, by the number of sets and then by value, the same order for every set.
     """
-    key, slack, cell, df = _read(rows)
+    key, size, cell, df = _read(rows)
     order = np.lexsort((cell, df, key))
-    key, slack, cell = key[order], slack[order], cell[order]
+    key, size, cell = key[order], size[order], cell[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    n = np.diff(np.concatenate([first, [len(key)]]))
-    rank = np.arange(len(key)) - np.repeat(first, n)
-    keep = rank <= np.repeat(n, n) - np.maximum(slack, 0)
-    keep &= np.repeat(n, n) >= slack
-    return pa.table({"cell": pa.array(cell[keep].astype(np.int64)), "doc_id": pa.array(key[keep] >> 1, pa.int64())})
+    came = np.diff(np.concatenate([first, [len(key)]]))
+    shingles, n_cells = size[first] >> 32, size[first] & 0xFFFFFFFF
+    by_band = [bands(int(n))[k & 1] for n, k in zip(shingles, key[first])]
+    band, most = (np.array([b[j] for b in by_band], np.int64) for j in (0, 1))
+    rarer = np.repeat(n_cells - came - first, came) + np.arange(len(key))
+    most, single = np.repeat(most, came), np.repeat(band < TOKENS, came)
+    keep = rarer <= most
+    low = ~single | (2 * rarer <= most)
+    columns = (cell.astype(np.int64), key >> 1, (size >> 32).astype(np.int32), rarer.astype(np.int32), single, low)
+    return pa.table({name: pa.array(c[keep]) for name, c in zip(("cell", "doc_id", "n", "rarer", "single", "low"), columns)})
+
+
+#: SQL: whether rows x and y of one cell can be the first that a linked pair has in common. All rarer cells
+#: of either set then differ, and these are shingles of either alone if each shingle has its own cell.
+FEASIBLE = "100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND IF(x.single, x.rarer + y.rarer, greatest(x.rarer, y.rarer)) <= (x.n + y.n) DIV 7"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,11 +277,15 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
     total = full.agg(F.sum("n_shingles")).first()[0] or 0
     parts = max(1, round(total / GROUP))
     shared = single.mapInArrow(_deal(parts), BLOCK).groupBy("part").applyInArrow(_count(parts), BLOCK)
-    picked = written(shared.groupBy("part").applyInArrow(_pick, "cell long, doc_id long").distinct())
-
-    groups = picked.groupBy("cell").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    members = written(picked.join(groups, "cell").select("cell", "doc_id", "hub"))
-    star = written(members.where("doc_id != hub").groupBy(F.col("hub").alias("a"), F.col("doc_id").alias("b")).agg(F.count("*").alias("common")))
+    picked = written(shared.groupBy("part").applyInArrow(_pick, PICKED).distinct())
+
+    # A linked pair has a low row at its first common cell, for else more would differ than may.
+    hub = F.min(F.when(F.col("low"), F.struct("doc_id", "n", "rarer")))
+    groups = picked.groupBy("cell").agg(hub.alias("hub"), F.count("*").alias("rows")).where("rows > 1 AND hub IS NOT NULL")
+    members = written(picked.join(groups.select("cell", "hub"), "cell"))
+    feasible = FEASIBLE.format(percent=percent)
+    spokes = members.alias("x").where("x.doc_id != x.hub.doc_id").where(feasible.replace("y.", "x.hub."))
+    star = written(spokes.groupBy(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b")).agg(F.count("*").alias("common")))
     ids = written(members.select("doc_id").distinct())
     sets = written(docs.join(small(ids), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles binary"))
 
@@ -287,13 +306,17 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
     labels = written(components(links))
 
     # What is left: pairs within one cell's group, across its components. The largest component's own pairs need no look.
-    at = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("cell", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    at = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     counted = at.groupBy("cell", "component").agg(F.count("*").alias("n"))
     split = counted.groupBy("cell").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count("*").alias("k")).where("k > 1")
-    at = written(at.join(split.select("cell", "main"), "cell"))
-    x, y = at.where("component != main").alias("x"), at.alias("y")
-    rest = x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.component") != F.col("y.component"))).select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
-    rest = rest.join(star.select("a", "b"), ["a", "b"], "left_anti")
+    at = written(at.drop("hub").join(split.select("cell", "main"), "cell"))
+    x, y = at.where("component != main AND low").alias("x"), at.alias("y")
+    apart_low = x.join(y, F.expr(f"x.cell = y.cell AND x.component != y.component AND {feasible}"))
+    x = at.where("component != main AND NOT low").alias("x")
+    apart_high = x.join(at.where("component = main AND low").alias("y"), F.expr(f"x.cell = y.cell AND {feasible}"))
+    rest = apart_low.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+    rest = rest.union(apart_high.select(F.least("x.doc_id", "y.doc_id"), F.greatest("x.doc_id", "y.doc_id"))).distinct()
+    rest = rest.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = written(links.union(linked(rest)))
     labels = components(links.union(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b"))))
     return sizes.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -7,9 +7,13 @@ from .language_id import op8_language_id
 from .licenses import op9_license_scan
 from .line_dedup import OP2_SQL, op2_line_dedup
 from .ngram_jaccard import op1_ngram_jaccard
+from .pii import op3_pii
 from .sentencepiece_codec import op6_sentencepiece
+from .toxicity import op7_toxicity
 
 QUERIES = {
+    "op3_pii": op3_pii,
+    "op7_toxicity": op7_toxicity,
     "op2_line_dedup": op2_line_dedup,
     "op9_license_scan": op9_license_scan,
     "op1_ngram_jaccard": op1_ngram_jaccard,

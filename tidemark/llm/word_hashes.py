@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute
 
 #: Bytes of text hashed at a time; a longer text is taken alone.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
