@@ -6,12 +6,16 @@ from .decontamination import op4_decontamination
 from .language_id import op8_language_id
 from .licenses import op9_license_scan
 from .line_dedup import OP2_SQL, op2_line_dedup
+from .neighbours import op10_nearest
 from .ngram_jaccard import op1_ngram_jaccard
 from .pii import op3_pii
+from .quality import op5_quality
 from .sentencepiece_codec import op6_sentencepiece
 from .toxicity import op7_toxicity
 
 QUERIES = {
+    "op10_nearest": op10_nearest,
+    "op5_quality": op5_quality,
     "op3_pii": op3_pii,
     "op7_toxicity": op7_toxicity,
     "op2_line_dedup": op2_line_dedup,
