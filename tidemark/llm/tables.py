@@ -19,15 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """`df` as files in the session's shared checkpoint folder, its lineage cut.
-
-    The folder is ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary one is taken.
-    """
-    sc = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's shared checkpoint folder; where ``spark.checkpoint.dir`` is unset (tests on one
+    machine), a temporary one is taken."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """`df` as files in the session's shared checkpoint folder, its lineage cut."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
