@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from tidemark.plans import align_queries, rolling_queries
+
+MODULES = (rolling_queries, align_queries)
+QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
+ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
 FLAGSHIP = "trend_axis"
