@@ -13,8 +13,9 @@ Stages:
 1. every document's set size and set hash; exact copies of a set are folded into one;
 2. cells are dealt by value, as packed arrays, and get the number of sets that have them;
 3. cells that several sets have go back to their sets, which pick their rarest;
-4. sets are compared with the smallest in each group of one cell, connected, and the groups
-   that still hold several components are compared across them.
+4. sets are compared with the smallest in each group of one cell, connected, and in groups
+   that still hold several components, pairs across them are compared by a parity sketch of
+   BITS bits and verified where that allows a link.
 """
 
 from __future__ import annotations
@@ -234,11 +235,23 @@ def _pick(rows: pa.Table) -> pa.Table:
 FEASIBLE = "100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) AND IF(x.single, x.rarer + y.rarer, greatest(x.rarer, y.rarer)) <= (x.n + y.n) DIV 7"
 
 
+#: Bits of the parity sketch of a whole set that is compared before a pair is made, as 64-bit columns.
+BITS = 1024
+SKETCH = [f"s{k}" for k in range(BITS // 64)]
+
+
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """BITS bits, each the parity of the shingles that fall on it: two sketches differ in at most the symmetric difference."""
+    odd = np.bincount((shingles >> np.uint64(7)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = Hasher(NOT_BLANK)
     for batch in batches:
-        got = [_packed(s >> np.uint64(16), 6) for _, part in chunks(batch.column(1)) for s in shingle_sets(part, hasher)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], names=["doc_id", "shingles"])
+        sets = [s for _, part in chunks(batch.column(1)) for s in shingle_sets(part, hasher)]
+        bits = np.array([parity_sketch(s) for s in sets], np.int64).reshape(-1, len(SKETCH))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_packed(s >> np.uint64(16), 6) for s in sets], pa.binary()), *(pa.array(c) for c in bits.T)], names=["doc_id", "shingles", *SKETCH])
 
 
 def _verify(percent: int):
@@ -287,7 +300,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
     spokes = members.alias("x").where("x.doc_id != x.hub.doc_id").where(feasible.replace("y.", "x.hub."))
     star = written(spokes.groupBy(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b")).agg(F.count("*").alias("common")))
     ids = written(members.select("doc_id").distinct())
-    sets = written(docs.join(small(ids), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles binary"))
+    sets = written(docs.join(small(ids), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles binary, " + ", ".join(f"{c} long" for c in SKETCH)))
 
     def linked(pairs: DataFrame) -> DataFrame:
         right, left = (sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in ("b", "a"))
@@ -305,17 +318,20 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
     links = written(links.union(linked(apart(star.join(best, ["a", "b"], "left_anti"), labels))))
     labels = written(components(links))
 
-    # What is left: pairs within one cell's group, across its components. The largest component's own pairs need no look.
+    # What is left: pairs within one cell's group, across its components. The largest component's own pairs need
+    # no look, and of the others those alone whose sketches differ in no more bits than their sets may.
     at = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     counted = at.groupBy("cell", "component").agg(F.count("*").alias("n"))
     split = counted.groupBy("cell").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count("*").alias("k")).where("k > 1")
-    at = written(at.drop("hub").join(split.select("cell", "main"), "cell"))
-    x, y = at.where("component != main AND low").alias("x"), at.alias("y")
-    apart_low = x.join(y, F.expr(f"x.cell = y.cell AND x.component != y.component AND {feasible}"))
-    x = at.where("component != main AND NOT low").alias("x")
-    apart_high = x.join(at.where("component = main AND low").alias("y"), F.expr(f"x.cell = y.cell AND {feasible}"))
-    rest = apart_low.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-    rest = rest.union(apart_high.select(F.least("x.doc_id", "y.doc_id"), F.greatest("x.doc_id", "y.doc_id"))).distinct()
+    at = at.drop("hub").join(split.select("cell", "main"), "cell")
+    at = written(at.join(sets.select("doc_id", *SKETCH), "doc_id"))
+    differing = " + ".join(f"bit_count(x.{c} ^ y.{c})" for c in SKETCH)
+    possible = f"x.cell = y.cell AND {feasible} AND {differing} <= (x.n + y.n) DIV 7"
+    y = at.alias("y")
+    low = at.where("component != main AND low").alias("x").join(y, F.expr(f"{possible} AND x.component != y.component"))
+    high = at.where("component != main AND NOT low").alias("x").join(y.where("component = main AND low"), F.expr(possible))
+    rest = low.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+    rest = rest.union(high.select(F.least("x.doc_id", "y.doc_id"), F.greatest("x.doc_id", "y.doc_id"))).distinct()
     rest = rest.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = written(links.union(linked(rest)))
     labels = components(links.union(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b"))))
