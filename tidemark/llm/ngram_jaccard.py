@@ -135,11 +135,11 @@ def _blocks(part: np.ndarray, key: np.ndarray, size: np.ndarray, cell: np.ndarra
 def _read(rows: pa.Table) -> tuple[np.ndarray, ...]:
     """key, size, cell, df of each cell in packed rows; df 0 in rows that come without."""
     got: list[list] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)]]
-    for keys, size, n, cell, df in zip(*(rows.column(c).to_pylist() for c in ("keys", "sizes", "n", "cells", "df"))):
+    for part, keys, size, n, cell, df in zip(*(rows.column(c).to_pylist() for c in ("part", "keys", "sizes", "n", "cells", "df"))):
         n = np.frombuffer(n, np.int32)
         got[0].append(np.repeat(_unpacked(keys, 8).view(np.int64), n))
         got[1].append(np.repeat(_unpacked(size, 8).view(np.int64), n))
-        got[2].append(_unpacked(cell, 8 if df else 5))
+        got[2].append(_unpacked(cell, 8) if df else _unpacked(cell, 5) | np.uint64(part << 40))
         got[3].append(np.frombuffer(df, np.uint8) if df else np.zeros(n.sum(), np.uint8))
     return tuple(np.concatenate(g) for g in got)
 
