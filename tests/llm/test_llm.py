@@ -108,7 +108,7 @@ def test_cells_bound_the_difference():
         band = len(a).bit_length() - 1
         x, y = ngram_jaccard.cells(a, band), ngram_jaccard.cells(b, band)
         assert len(np.setdiff1d(x, y)) <= apart
-        bits = np.bitwise_count(ngram_jaccard.parity_sketch(a) ^ ngram_jaccard.parity_sketch(b)).sum()
+        bits = np.bitwise_count((ngram_jaccard.parity_sketch(a) ^ ngram_jaccard.parity_sketch(b)).view(np.uint64)).sum()
         assert bits <= apart
 
 
