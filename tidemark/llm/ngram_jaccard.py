@@ -13,9 +13,9 @@ Stages:
 1. every document's set size and set hash; exact copies of a set are folded into one;
 2. cells are dealt by value, as packed arrays, and get the number of sets that have them;
 3. cells that several sets have go back to their sets, which pick their rarest;
-4. sets are compared with the smallest in each group of one cell, connected, and in groups
-   that still hold several components, pairs across them are compared by a parity sketch of
-   BITS bits and verified where that allows a link.
+4. each set is compared with the one hub (the smallest set of a cell's group) that it shares most
+   cells with, and connected; in groups that still hold several components, pairs across them
+   are compared by a parity sketch of BITS bits and verified where that allows a link.
 """
 
 from __future__ import annotations
@@ -306,17 +306,9 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
         right, left = (sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in ("b", "a"))
         return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent), "a long, b long")
 
-    def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs whose documents are not yet in one component."""
-        for c in ("a", "b"):
-            pairs = pairs.join(labels.select(F.col("node").alias(c), F.col("component").alias(f"in_{c}")), c, "left")
-        return pairs.where(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select("a", "b")
-
-    best = star.groupBy("b").agg(F.max_by("a", F.struct("common", -F.col("a"))).alias("a"))
+    best = written(star.groupBy("b").agg(F.max_by("a", F.struct("common", -F.col("a"))).alias("a")))
     links = written(linked(best))
     labels = written(components(links))
-    links = written(links.union(linked(apart(star.join(best, ["a", "b"], "left_anti"), labels))))
-    labels = written(components(links))
 
     # What is left: pairs within one cell's group, across its components. The largest component's own pairs need
     # no look, and of the others those alone whose sketches differ in no more bits than their sets may.
@@ -332,8 +324,8 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
     high = at.where("component != main AND NOT low").alias("x").join(y.where("component = main AND low"), F.expr(possible))
     rest = low.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
     rest = rest.union(high.select(F.least("x.doc_id", "y.doc_id"), F.greatest("x.doc_id", "y.doc_id"))).distinct()
-    rest = rest.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = written(links.union(linked(rest)))
+    rest = rest.join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    links = links.union(linked(rest))
     labels = components(links.union(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b"))))
     return sizes.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
