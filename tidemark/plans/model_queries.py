@@ -6,8 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import rolling as R
-from tidemark.operators import folds, models, network, rules, strategy
+from tidemark.operators import models, network, rules, strategy
 from tidemark.plans import label_queries
 from tidemark.plans.label_queries import FEATURES_SQL, features, labels
 from tidemark.sources import panel
@@ -41,10 +40,10 @@ def f02(spark, sf):
 _GRID = "g AS (SELECT series_id, session, s.pos FROM (SELECT DISTINCT series_id FROM members) CROSS JOIN sessions s), r AS (SELECT g.series_id, g.session, m.close / nullif(lag(m.close) OVER (PARTITION BY g.series_id ORDER BY g.session), 0) - 1 AS r FROM g LEFT JOIN members m ON g.series_id = m.series_id AND g.session = m.session)"
 
 
-@query("f08_pairwise_correlation", f"""{ctes('members', 'sessions')}, {_GRID}, p AS (SELECT a.series_id AS i, b.series_id AS j, a.session, a.r AS x, b.r AS y FROM r a JOIN r b ON a.session = b.session AND a.series_id < b.series_id WHERE CAST(a.series_id AS INT) < 6 AND CAST(b.series_id AS INT) < 6),
+@query("f08_pairwise_correlation", f"""{ctes('members', 'sessions')}, {_GRID}, p AS (SELECT a.series_id AS i, b.series_id AS j, a.session, a.r AS x, b.r AS y FROM r a JOIN r b ON a.session = b.session AND a.series_id < b.series_id),
 c AS (SELECT session, CASE WHEN count(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 1 END) OVER w = 21 THEN corr(x, y) OVER w END AS c FROM p WINDOW w AS (PARTITION BY i, j ORDER BY session ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)) SELECT session, round(avg(c), 5) AS mean_corr, count(c) AS pairs FROM c GROUP BY 1""")
 def f08(spark, sf):
-    out = network.pairwise(_returns(spark, sf).where("CAST(series_id AS INT) < 6"), 21)
+    out = network.pairwise(_returns(spark, sf), 21)
     return out.withColumn("mean_corr", F.round("mean_corr", 5))
 
 

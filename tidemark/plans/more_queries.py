@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions import rolling as R
-from tidemark.operators import align, calendar, contracts, evaluate, families, rules
+from tidemark.operators import align, calendar, contracts, families, rules
 from tidemark.plans.label_queries import FEATURES_SQL, _labels, features, labels
-from tidemark.plans.rolling_queries import _frame, _full, _lag
+from tidemark.plans.rolling_queries import _full
 from tidemark.sources import panel, readers
 from tidemark.sources.panel import ctes, table
 
@@ -204,10 +204,10 @@ def n23(spark, sf):
     return labels(spark, sf).withColumn("nx", nx).groupBy("label").agg(F.count("*").alias("sessions"), F.round(F.avg(stays), 6).alias("persistence"))
 
 
-@query("n26_nearest_match", f"{_labels(rules.TREND)}, i AS (SELECT series_id, pos FROM l WHERE pos % 100 = 50) SELECT i.series_id, i.pos AS intent, min(l.pos) AS matched FROM i JOIN l ON l.series_id = i.series_id AND l.pos BETWEEN i.pos - 20 AND i.pos + 20 AND l.label = 'bull' GROUP BY 1, 2")
+@query("n26_nearest_match", f"{_labels(rules.TREND)}, i AS (SELECT series_id, pos FROM l WHERE label = 'bear') SELECT i.series_id, i.pos AS intent, min(l.pos) AS matched FROM i JOIN l ON l.series_id = i.series_id AND l.pos BETWEEN i.pos - 20 AND i.pos + 20 AND l.label = 'bull' GROUP BY 1, 2")
 def n26(spark, sf):
     rows = labels(spark, sf)
-    intents = rows.where("pos % 100 = 50").select("series_id", C("pos").alias("intent"))
+    intents = rows.where("label = 'bear'").select("series_id", C("pos").alias("intent"))
     return families.nearest_match(intents, rows.where("label = 'bull'"), 20)
 
 
@@ -286,4 +286,3 @@ def m06(spark, sf):
 
 
 ORACLE["m06_pooled_scores"] = "WITH c AS (SELECT source, lang, count(*) AS n, sum(n_chars) AS c FROM documents GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) AS k FROM c) SELECT source, CAST(sum(n) AS BIGINT) AS docs, CAST(sum(c) AS BIGINT) AS chars, max(lang) FILTER (k = 1) AS lang FROM r GROUP BY 1"
-_ = (_frame, _lag)

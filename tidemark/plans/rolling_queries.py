@@ -32,7 +32,7 @@ SPECS = {
     "c05_variation": (lambda: C("close"), "close", lambda x: R.variation(x, 21), f"{_full('stddev_pop(x)', 21)} / nullif({_full('avg(x)', 21)}, 0)"),
     "c06_drawdown": (lambda: C("close"), "close", lambda x: R.drawdown(x, 252), f"x / {_full('max(x)', 252)} - 1"),
     "c09_realized_vol": (lambda: R.period_return(C("close"), 1), f"close / {_lag('close', 1)} - 1", lambda x: R.realized_vol(x, 21), f"{_full('stddev_samp(x)', 21)} * sqrt(252)"),
-    "c10_true_range": (lambda: R.true_range(C("high"), C("low"), C("close")), f"greatest(high - low, abs(high - {_lag('close', 1)}), abs(low - {_lag('close', 1)}))", lambda x: x, "x"),
+    "c10_true_range": (lambda: R.true_range(C("high"), C("low"), C("close")), f"greatest(high - low, abs(high - {_lag('close', 1)}), abs(low - {_lag('close', 1)}))", lambda x: x / 1.4142135, "x / CAST(1.4142135 AS DOUBLE)"),
     "c14_efficiency_ratio": (lambda: F.abs(C("close") - R.lag(C("close"), 1)), f"abs(close - {_lag('close', 1)})", lambda x: R.efficiency_ratio(C("close"), x, 20), f"abs(close - {_lag('close', 20)}) / nullif({_full('sum(x)', 20)}, 0)"),
     "c16_relative_slope": (lambda: R.sma(C("close"), 50), _full("avg(close)", 50, "close"), lambda x: R.relative_slope(x, 20), f"(x - {_lag('x', 20)}) / nullif({_lag('x', 20)}, 0)"),
     "c17_volume_zscore": (lambda: C("volume").cast("double"), "CAST(volume AS DOUBLE)", lambda x: R.zscore(x, 20), f"(x - {_full('avg(x)', 20)}) / nullif({_full('stddev_samp(x)', 20)}, 0)"),
@@ -48,7 +48,7 @@ SPECS = {
     "c29_mean_of_eight": (lambda: C("close"), "close", lambda x: F.avg(x).over(R.last(8)), f"avg(x) {_frame(8)}"),
     "c30_revision_direction": (lambda: C("close"), "close", lambda x: F.sign(x - R.lag(x, 4)), f"CAST(sign(x - {_lag('x', 4)}) AS DOUBLE)"),
     "c31_spike": (lambda: C("close"), "close", lambda x: R.spike(x, 20, 1.5).cast("double"), f"CAST(coalesce(x > {_full('avg(x)', 20, offset=1)} + 1.5 * {_full('stddev_pop(x)', 20, offset=1)}, false) AS DOUBLE)"),
-    "b05_carried": (lambda: F.when(C("close") > 1500, C("close") / 7), "CASE WHEN close > 1500 THEN close / 7 END", lambda x: R.carried(x), f"last_value(x IGNORE NULLS) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"),
+    "b05_carried": (lambda: F.when(C("close") > 1500, C("close") / 1.4142135), "CASE WHEN close > 1500 THEN close / CAST(1.4142135 AS DOUBLE) END", lambda x: R.carried(x), f"last_value(x IGNORE NULLS) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"),
 }
 
 
