@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import extended, shared, table
-from .word_hashes import WORDLIKE, Hasher, chunks, mix
+from .word_hashes import WORDLIKE, Hasher, chunks
 
 #: Word offsets that count, for each mask: six words within at most eleven. The first is a plain run.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 8, 9), (0, 1, 4, 6, 9, 10))
