@@ -144,7 +144,7 @@ def d14(spark, sf):
 @query("d15_bias_rows", f"{ctes('membership')}, s AS (SELECT count(*) AS n, count(\"end\") AS e FROM membership) SELECT 'pct_above' AS feature, 'open_intervals_only' AS warning FROM s WHERE e = 0 UNION ALL SELECT 'high_low', 'some_open_intervals' FROM s WHERE n > e")
 def d15(spark, sf):
     s = align.survivorship_biased(panel.membership(spark, sf))
-    rows = s.select(F.explode(F.array(F.struct(F.lit("pct_above").alias("feature"), F.lit("open_intervals_only").alias("warning"), C("biased").alias("on")), F.struct(F.lit("high_low"), F.lit("some_open_intervals"), C("intervals") > C("ended")))).alias("x"))
+    rows = s.select(F.explode(F.array(F.struct(F.lit("pct_above").alias("feature"), F.lit("open_intervals_only").alias("warning"), C("biased").alias("on")), F.struct(F.lit("high_low").alias("feature"), F.lit("some_open_intervals").alias("warning"), (C("intervals") > C("ended")).alias("on")))).alias("x"))
     return rows.where("x.on").select("x.feature", "x.warning")
 
 
