@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import extended, shared, table
-from .word_hashes import WORDLIKE, Hasher, chunks
+from .word_hashes import WORDLIKE, Hasher, chunks, give_back
 
 #: Word offsets that count, for each mask: six words within at most eleven. The first is a plain run.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 8, 9), (0, 1, 4, 6, 9, 10))
@@ -146,6 +146,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", to: str = "l
                         leaks[first + t] = index.leaks(w.hashes[w.bounds[t] : w.bounds[t + 1]], got)
                 kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("matched", pa.int64()), ("longest", pa.int64()), ("coverage", pa.float64())]))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaks, kind)], names=[*batch.schema.names, column])
+            give_back()
 
         out, parts = out.mapInArrow(run, extended(out, f"{column} {HIT}")), [*parts, column]
     return out.select(*names, F.concat(*parts).alias(to))

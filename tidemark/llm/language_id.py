@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import extended, fold, sampled, table
+from .word_hashes import give_back
 
 #: Bytes of dictionary for each language, documents sampled per language to fill it, bytes of text compressed at a time.
 DICT_BYTES, SAMPLE_DOCS, CHUNK = 32_768, 120, 2_048
@@ -91,6 +92,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
             got = [decide(t.as_py(), coders, short) for t in batch.column(at)]
             more = [pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "lang_pred", "lang_score", "lang_margin"])
+        give_back()
 
     return docs.mapInArrow(run, extended(docs, "lang_pred string, lang_score double, lang_margin double"))
 

@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .tables import small, table, written
-from .word_hashes import NOT_BLANK, Hasher, chunks, mix
+from .word_hashes import NOT_BLANK, Hasher, chunks, give_back, mix
 
 #: Words of a shingle.
 WORDS = 5
 #: Cells that a task holds before it deals them out, and cells of a group at stage 2.
-FLUSH, GROUP = 1_000_000, 1_000_000
+FLUSH, GROUP = 500_000, 500_000
 #: Sets below 2**TOKENS shingles have a cell for each shingle.
 TOKENS = 8
 #: Sets with a cell from which on it counts as frequent, whatever the number.
@@ -73,6 +73,7 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 h1.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
                 h2.append(int(mix(s ^ LOW).sum(dtype=np.uint64).astype(np.int64)))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], names=["doc_id", "n_shingles", "h1", "h2"])
+    give_back()
 
 
 def bands(n: int) -> list[tuple[int, int]]:
@@ -179,6 +180,8 @@ def _deal(parts: int, flush: int = FLUSH):
                     keys, sizes, found, held, turn = [], [], [], 0, turn + 1
         if found:
             yield from out(keys, sizes, found, turn)
+        del keys, sizes, found
+        give_back()
 
     return run
 
@@ -198,7 +201,10 @@ def _count(parts: int):
         keep = keep[np.argsort(key[keep], kind="stable")]
         key, size, cell, df = key[keep], size[keep], cell[keep], df[keep]
         to = (mix(key.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
-        return pa.Table.from_batches([_blocks(to, key, size, cell, df)])
+        out = _blocks(to, key, size, cell, df)
+        del key, size, cell, df, order, own
+        give_back()
+        return pa.Table.from_batches([out])
 
     return run
 
@@ -252,6 +258,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [s for _, part in chunks(batch.column(1)) for s in shingle_sets(part, hasher)]
         bits = np.array([parity_sketch(s) for s in sets], np.int64).reshape(-1, len(SKETCH))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_packed(s >> np.uint64(16), 6) for s in sets], pa.binary()), *(pa.array(c) for c in bits.T)], names=["doc_id", "shingles", *SKETCH])
+    give_back()
 
 
 def _verify(percent: int):

@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import extended, shared, table
-from .word_hashes import chunks
+from .word_hashes import chunks, give_back
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Bytes of text taken at a time, and distinct words kept per task before the cache starts anew.
-CHUNK_BYTES, CACHE_WORDS = 2_000_000, 400_000
+#: Bytes of text taken at a time, distinct words and pairs of pieces kept per task before a cache starts anew.
+CHUNK_BYTES, CACHE_WORDS, CACHE_PAIRS = 1_000_000, 150_000, 300_000
 
 
 class Codec:
@@ -185,6 +185,8 @@ def encode(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
                 split = [t if t is None else codec.split(t) for t in part.to_pylist()]
                 if len(known) > CACHE_WORDS:
                     known.clear()
+                if len(codec.pairs) > CACHE_PAIRS:
+                    codec.pairs.clear()
                 known.update((w, np.array(ids, np.int32).tobytes()) for w, ids in codec.segment(sorted(set().union(*(w for w in split if w)) - known.keys())))
                 got = [None if words is None else np.frombuffer(b"".join([known[w] for w in words]), np.int32) for words in split]
                 flat = np.concatenate([np.zeros(0, np.int32), *(g for g in got if g is not None)])
@@ -193,6 +195,8 @@ def encode(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
                 same += [None if g is None else codec.join(g.tolist()) == t.as_py() for g, t in zip(got, part)]
             ids = pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *lists])
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(same, pa.bool_())], names=[*batch.schema.names, "piece_ids", "round_trip"])
+        del codec, known
+        give_back()
 
     return docs.mapInArrow(run, extended(docs, "piece_ids array<int>, round_trip boolean"))
 

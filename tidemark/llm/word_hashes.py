@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute
 
 #: Bytes of text hashed at a time; a longer text is taken alone.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -97,3 +97,16 @@ def chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.A
         total += n or 0
     if len(texts) > start:
         yield start, texts.slice(start)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system at the end of a task: Python workers are used again for later stages."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
