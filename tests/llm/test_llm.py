@@ -89,6 +89,18 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, frequent):
     assert got == brute_components(texts)
 
 
+@pytest.mark.parametrize("frequent", [64, 4])
+def test_jaccard_takes_any_id(spark, monkeypatch, frequent):
+    texts, rng = near_copies(), np.random.default_rng(4)
+    ends = [-(2**63), 2**63 - 1, -1, 2**62, -(2**62) - 1, 0]
+    ids = [*ends, *(int(i) for i in rng.choice(np.arange(-5000, 5000) * 2**50 + 7, len(texts) - len(ends), replace=False))]
+    texts = dict(zip((ids[k] for k in rng.permutation(len(ids))), texts.values()))
+    monkeypatch.setattr(ngram_jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(ngram_jaccard, "GROUP", 5_000)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard.join(docs_of(spark, texts.items())).collect()}
+    assert got == brute_components(texts)
+
+
 def test_jaccard_on_documents(spark, sf, documents):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in Q.QUERIES["op1_ngram_jaccard"](spark, sf).collect()}
     assert got == brute_components({r.doc_id: r.text for r in documents.collect()})

@@ -113,19 +113,25 @@ def _unpacked(raw: bytes, width: int) -> np.ndarray:
     return out.view(np.uint64).reshape(-1)
 
 
-#: A packed row: the group; sets (document * 2 + whether in the band above) with their shingles and
-#: cells and how many cells follow for each; the cells; the sets that have each.
+#: A packed row: the group; sets (documents, of any 64-bit id) with their sizes and how many cells follow
+#: for each; the cells; the sets that have each. A size is shingles << 32 | cells << 1 | whether the set is
+#: in the band above its own, so document and size name a set; size 0 marks a frequent cell.
 BLOCK = "part int, keys binary, sizes binary, n binary, cells binary, df binary"
 
 
+def _firsts(key: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Where sets begin in rows that are ordered by set."""
+    return np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (size[1:] != size[:-1])])) if len(key) else np.zeros(0, np.int64)
+
+
 def _blocks(part: np.ndarray, key: np.ndarray, size: np.ndarray, cell: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
-    """Packed rows, one a group; rows of one set follow one another in the input. size: shingles << 32 | cells."""
+    """Packed rows, one a group; rows of one set follow one another in the input."""
     order = np.argsort(part, kind="stable")
     part, key, size, cell, df = (x[order] for x in (part, key, size, cell, df))
     edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, np.int64)
     columns: list[list] = [[] for _ in range(6)]
     for a, b in zip(edges, edges[1:]):
-        first = a + np.flatnonzero(np.concatenate([[True], key[a + 1 : b] != key[a : b - 1]]))
+        first = a + _firsts(key[a:b], size[a:b])
         n = np.diff(np.concatenate([first, [b]])).astype(np.int32)
         for column, value in zip(columns, (int(part[a]), _packed(key[first], 8), _packed(size[first], 8), n.tobytes(), _packed(cell[a:b], 8 if df[a] else 5), df[a:b].astype(np.uint8).tobytes() if df[a] else b"")):
             column.append(value)
@@ -159,7 +165,7 @@ def _deal(parts: int, flush: int = FLUSH):
         held = np.isin(full, often) if len(often) else np.zeros(len(full), bool)
         yield _blocks(part[~held], key[~held], size[~held], full[~held], np.zeros((~held).sum(), np.uint8))
         if len(often):
-            yield _blocks((often >> np.uint64(40)).astype(np.int32), np.full(len(often), -1, np.int64), np.zeros(len(often), np.int64), often, np.full(len(often), FREQUENT, np.uint8))
+            yield _blocks((often >> np.uint64(40)).astype(np.int32), np.zeros(len(often), np.int64), np.zeros(len(often), np.int64), often, np.full(len(often), FREQUENT, np.uint8))
             key, size, full = key[held], size[held], full[held]
             yield _blocks(((key + turn) % parts).astype(np.int32), key, size, full, np.full(len(full), FREQUENT, np.uint8))
 
@@ -171,8 +177,8 @@ def _deal(parts: int, flush: int = FLUSH):
                 for k, s in enumerate(shingle_sets(part, hasher), first):
                     for up, (band, _) in enumerate(bands(len(s)) if len(s) else ()):
                         c = cells(s, band)
-                        keys.append(ids[k] * 2 + up)
-                        sizes.append(len(s) << 32 | len(c))
+                        keys.append(ids[k])
+                        sizes.append(len(s) << 32 | len(c) << 1 | up)
                         found.append(c)
                         held += len(c)
                 if held >= flush:
@@ -191,14 +197,14 @@ def _count(parts: int):
 
     def run(rows: pa.Table) -> pa.Table:
         key, size, cell, df = _read(rows)
-        passing = (df > 0) & (key >= 0)
+        passing = (df > 0) & (size > 0)
         own = np.flatnonzero(~passing)
         order = own[np.argsort(cell[own], kind="stable")]
         first = np.flatnonzero(np.concatenate([[True], cell[order][1:] != cell[order][:-1]])) if len(order) else np.zeros(0, np.int64)
-        weight = np.add.reduceat(np.where(key[order] < 0, FREQUENT, 1), first) if len(order) else np.zeros(0, np.int64)
+        weight = np.add.reduceat(np.where(size[order] == 0, FREQUENT, 1), first) if len(order) else np.zeros(0, np.int64)
         df[order] = np.minimum(np.repeat(weight, np.diff(np.concatenate([first, [len(order)]]))), FREQUENT)
-        keep = np.flatnonzero((df >= 2) & (key >= 0))
-        keep = keep[np.argsort(key[keep], kind="stable")]
+        keep = np.flatnonzero((df >= 2) & (size > 0))
+        keep = keep[np.lexsort((size[keep], key[keep]))]
         key, size, cell, df = key[keep], size[keep], cell[keep], df[keep]
         to = (mix(key.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
         out = _blocks(to, key, size, cell, df)
@@ -221,18 +227,18 @@ def _pick(rows: pa.Table) -> pa.Table:
     came back, by the number of sets and then by value, the same order for every set.
     """
     key, size, cell, df = _read(rows)
-    order = np.lexsort((cell, df, key))
+    order = np.lexsort((cell, df, size, key))
     key, size, cell = key[order], size[order], cell[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    first = _firsts(key, size)
     came = np.diff(np.concatenate([first, [len(key)]]))
-    shingles, n_cells = size[first] >> 32, size[first] & 0xFFFFFFFF
-    by_band = [bands(int(n))[k & 1] for n, k in zip(shingles, key[first])]
+    shingles, n_cells = size[first] >> 32, (size[first] & 0xFFFFFFFF) >> 1
+    by_band = [bands(int(n))[up] for n, up in zip(shingles, size[first] & 1)]
     band, most = (np.array([b[j] for b in by_band], np.int64) for j in (0, 1))
     rarer = np.repeat(n_cells - came - first, came) + np.arange(len(key))
     most, single = np.repeat(most, came), np.repeat(band < TOKENS, came)
     keep = rarer <= most
     low = ~single | (2 * rarer <= most)
-    columns = (cell.astype(np.int64), key >> 1, (size >> 32).astype(np.int32), rarer.astype(np.int32), single, low)
+    columns = (cell.astype(np.int64), key, (size >> 32).astype(np.int32), rarer.astype(np.int32), single, low)
     return pa.table({name: pa.array(c[keep]) for name, c in zip(("cell", "doc_id", "n", "rarer", "single", "low"), columns)})
 
 
@@ -313,7 +319,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
         right, left = (sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in ("b", "a"))
         return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent), "a long, b long")
 
-    best = written(star.groupBy("b").agg(F.max_by("a", F.struct("common", -F.col("a"))).alias("a")))
+    best = written(star.groupBy("b").agg(F.min_by("a", F.struct(-F.col("common"), "a")).alias("a")))
     links = written(linked(best))
     labels = written(components(links))
 
@@ -321,7 +327,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
     # no look, and of the others those alone whose sketches differ in no more bits than their sets may.
     at = members.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     counted = at.groupBy("cell", "component").agg(F.count("*").alias("n"))
-    split = counted.groupBy("cell").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count("*").alias("k")).where("k > 1")
+    split = counted.groupBy("cell").agg(F.min_by("component", F.struct(-F.col("n"), "component")).alias("main"), F.count("*").alias("k")).where("k > 1")
     at = at.drop("hub").join(split.select("cell", "main"), "cell")
     at = written(at.join(sets.select("doc_id", *SKETCH), "doc_id"))
     differing = " + ".join(f"bit_count(x.{c} ^ y.{c})" for c in SKETCH)
