@@ -195,6 +195,45 @@ def test_leaks_exact_substituted_and_clean(spark):
         assert got == {1: [9], 2: [9], 3: [], 4: [9], 5: [], 6: [], 7: []}
 
 
+def test_leaks_add_up_all_overlaps_of_a_diagonal(spark):
+    rng = np.random.default_rng(6)
+    words = [f"q{k}" for k in range(4000)]
+    item, other = list(rng.choice(words, 30, replace=False)), [f"o{k}" for k in range(60)]
+    middle = lambda n: " ".join(other[:20] + item[:11] + other[20 : 20 + n] + item[21:] + other[40:])
+    texts = [(n, middle(n)) for n in (9, 10, 11)] + [(1, " ".join(other[:20] + item[:11] + other[20:60])), (2, " ".join(item[:8] + other[:12] + item[20:26] + other[12:])), (3, " ".join(other[:20] + item[:3] + other[20:21] + item[4:16] + other[21:]))]
+    got = {r.doc_id: [(x.item_id, x.start, x.matched, x.longest) for x in r.leaks] for r in decontamination.scan(docs_of(spark, texts), spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")).collect()}
+    assert got == {n: [(9, 20, 20, 11)] for n in (9, 10, 11)} | {1: [], 2: [], 3: [(9, 20, 15, 16)]}
+
+
+def test_leak_overlaps_equal_brute_force():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        own = rng.integers(0, 2**62, 60).astype(np.uint64)
+        same = rng.random(60) < rng.choice([0.5, 0.75, 0.9])
+        index = decontamination.Index([(1, own)])
+        got = [(o[0], o[1], o[2], o[3].tolist()) for o in index.overlaps(np.where(same, own, np.uint64(1)), 0, 0)]
+        want, at = [], 0
+        while at < 60:
+            gain, best, begin, k = 0, 0, None, at
+            while k < 60:
+                gain += 1 if same[k] else -decontamination.PENALTY
+                if gain < 0:
+                    if begin is not None:
+                        break
+                    gain = 0
+                else:
+                    begin = k if begin is None else begin
+                    if gain > best:
+                        best, end = gain, k
+                k += 1
+            if begin is None:
+                break
+            own_words = [j for j in range(begin, end + 1) if same[j]]
+            want.append((begin, end + 1 - begin, len(own_words), own_words))
+            at = end + 1
+        assert got == want
+
+
 def test_leaks_hold_every_exact_item(spark, sf):
     norm = lambda t: " " + " ".join(re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.lower())) + " "
     docs, items = spark.read.parquet(f"{sf}/documents.parquet").collect(), spark.read.parquet(f"{sf}/benchmark.parquet").collect()

@@ -75,26 +75,33 @@ class Index:
             found.append(np.unique(np.stack([text, item[k], near - bounds[text] - at[k]], 1), axis=0))
         return np.unique(np.concatenate(found), axis=0)
 
-    def overlap(self, words: np.ndarray, item: int, shift: int) -> tuple[int, int, int, np.ndarray]:
-        """(text position, words, matching words, item positions) of the best overlap on a diagonal.
+    def overlaps(self, words: np.ndarray, item: int, shift: int) -> list[tuple[int, int, int, np.ndarray]]:
+        """(text position, words, matching words, item positions) of each overlap on a diagonal.
 
-        The best overlap has the most matching words less PENALTY for each other word, so at
-        least PENALTY / (PENALTY + 1) of its words match, and it starts and ends with a match.
+        An overlap's gain is its matching words less PENALTY for each other word. The diagonal is cut
+        where the running gain falls below zero, and each part has its overlap of the greatest gain, so
+        at least PENALTY / (PENALTY + 1) of its words match, and it starts and ends with a match. What
+        follows a part's overlap is searched again, for the part may hold more than one.
         """
         own = self.words[item]
         first, last = max(0, -shift), min(len(own), len(words) - shift)
         same = own[first:last] == words[first + shift : last + shift]
         sums = np.concatenate([[0], np.cumsum(np.where(same, 1, -PENALTY))])
-        gain = sums[1:] - np.minimum.accumulate(sums[:-1])
-        end = int(gain.argmax())
-        begin = int(sums[: end + 1].argmin())
-        return first + shift + begin, end + 1 - begin, int(same[begin : end + 1].sum()), first + begin + np.flatnonzero(same[begin : end + 1])
+        hits, cuts = np.flatnonzero(same), np.flatnonzero(sums[1:] < np.minimum.accumulate(sums[:-1])) + 1
+        found, at = [], 0
+        while (k := int(np.searchsorted(hits, at))) < len(hits):
+            begin, after = int(hits[k]), int(np.searchsorted(cuts, hits[k], "right"))
+            gain = sums[begin + 1 : (cuts[after] if after < len(cuts) else len(same)) + 1] - sums[begin]
+            below = np.flatnonzero(gain < 0)
+            at = begin + 1 + int(gain[: below[0] if len(below) else len(gain)].argmax())
+            found.append((first + shift + begin, at - begin, int(same[begin:at].sum()), first + begin + np.flatnonzero(same[begin:at])))
+        return found
 
     def leaks(self, words: np.ndarray, rows: list[tuple[int, int]]) -> list[dict]:
         """The items of (item, shift) rows that leak into one text."""
         found = []
         for item in sorted({i for i, _ in rows}, key=lambda i: self.ids[i]):
-            got = [o for i, shift in rows if i == item for o in [self.overlap(words, item, shift)] if o[2] >= SEED_WORDS - 1]
+            got = [o for i, shift in rows if i == item for o in self.overlaps(words, item, shift) if o[2] >= SEED_WORDS - 1]
             if not got:
                 continue
             size = len(self.words[item])
@@ -123,7 +130,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", to: str = "l
     """`docs` with an array of the items that leak into each whole text (empty where clean; a column `to` is replaced).
 
     An item leaks if on some diagonal an overlap of LONG words (or of the whole item, where
-    that is shorter) has three of four words equal, or if overlaps on all diagonals together
+    that is shorter) has three of four words equal, or if all overlaps on all diagonals together
     cover COVERED of its words. Null and empty texts are clean. Repeated rows stay.
     """
     docs = docs.drop(to)
