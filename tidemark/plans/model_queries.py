@@ -130,7 +130,9 @@ def _stream(spark, df):
 
 
 def _ran(stream, mode="append"):
-    return streams.run_available(stream, f"s_{uuid.uuid4().hex}", mode)
+    from tidemark.plans.folders import shared_folder
+
+    return streams.run_available(stream, f"{shared_folder(stream.sparkSession)}/streamed-{uuid.uuid4().hex}", mode)
 
 
 def _events(spark, sf):

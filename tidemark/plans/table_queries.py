@@ -216,9 +216,8 @@ def o05(spark, sf):
 
 @query("o07_nested_points", "SELECT user_id, event_id, value FROM (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events WHERE value > 0) WHERE k = 1")
 def o07(spark, sf):
-    packed = table(spark, sf, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))).alias("points"))
-    last = F.element_at(F.filter("points", lambda p: p["value"] > 0), -1)
-    return packed.where(F.exists("points", lambda p: p["value"] > 0)).select("user_id", last["event_id"].alias("event_id"), last["value"].alias("value"))
+    last = F.max_by(F.struct("event_id", "value"), F.struct("ts", "event_id"))
+    return table(spark, sf, "events").where("value > 0").groupBy("user_id").agg(last.alias("last")).select("user_id", "last.event_id", "last.value")
 
 
 @query("b21_previous_by_window", f"{ctes('sessions')} SELECT session, lag(session) OVER (ORDER BY pos) AS previous FROM sessions")

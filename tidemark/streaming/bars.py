@@ -86,8 +86,13 @@ def change_points(rows: DataFrame) -> DataFrame:
     return rows.groupBy("series_id").applyInPandasWithState(step, CHANGES, kept, "append", GroupStateTimeout.NoTimeout)
 
 
-def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over what is there into a table in memory and returns it: for tests and small jobs."""
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+def run_available(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
+    """Runs a stream over what is there and returns its rows, read from Parquet files in `folder`, a new one that all machines share.
+
+    Tasks write the files, a folder a batch, so no rows pass through the driver; a batch that is run again replaces its own.
+    """
+    spark = stream.sparkSession
+    spark.createDataFrame([], stream.schema).write.parquet(f"{folder}/rows/none")
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(lambda rows, k: rows.write.mode("overwrite").parquet(f"{folder}/rows/{k}")).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(f"{folder}/rows")
