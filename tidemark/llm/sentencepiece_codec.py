@@ -14,10 +14,12 @@ depends on the prefix alone, and the ids equal those of the model's own merges.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +28,9 @@ from .word_hashes import chunks, give_back
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
+ONE = (1,)
 #: Bytes of text taken at a time, distinct words and pairs of pieces kept per task before a cache starts anew.
-CHUNK_BYTES, CACHE_WORDS, CACHE_PAIRS = 1_000_000, 150_000, 300_000
+CHUNK_BYTES, CACHE_WORDS, CACHE_PAIRS = 1_000_000, 300_000, 300_000
 
 
 class Codec:
@@ -46,15 +49,15 @@ class Codec:
         ends = "".join(re.escape(c) for c in map(chr, range(128)) if c not in after_letter and not c.isalnum())
         free = f"{MARK}*[^\\W\\d_]+(?=[{ends}{MARK}]|$)|{MARK}*[^{MARK}]+|{MARK}+"
         self.words = re.compile(free if not any(b == MARK != a for a, b in pairs) else r"(?s).+")
-        self.widths: dict[str, list[int]] = {}
-        for p in sorted(self.ids, key=len, reverse=True):
-            widths = self.widths.setdefault(p[-2:], [])
-            if len(p) not in widths:
-                widths.append(len(p))
-        self.pieces = pieces
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pieces, self.raw = pieces, [i.to_bytes(4, sys.byteorder) for i in range(len(pieces))]
         if model == "bpe":
             self._merge_order()
+        # Lengths of the pieces that end with up to three given characters, longest first.
+        ending: dict[str, set[int]] = {}
+        for p in self.ids:
+            ending.setdefault(p[-3:], set()).add(len(p))
+        self.widths = {end: tuple(sorted(n | {k for k in (1, 2) if end[-k:] in self.ids}, reverse=True)) for end, n in ending.items()}
+        self.pairs: dict[int, bool] = {}
 
     @staticmethod
     def load(path: str = MODEL) -> Codec:
@@ -73,13 +76,13 @@ class Codec:
         return Codec([sp.id_to_piece(i) for i in n], [sp.get_score(i) for i in n], kinds, {1: "unigram", 2: "bpe"}[spec.trainer_spec.model_type], spec.normalizer_spec.add_dummy_prefix)
 
     def _merge_order(self) -> None:
-        """For a BPE model: when each piece is made (-1: a character), and of which two pieces last."""
+        """For a BPE model: when each piece is made (-1: a character), and of which two pieces last; `ids` keeps those that merges reach."""
         by_score = sorted((i for p, i in self.ids.items() if len(p) > 1), key=lambda i: (-self.scores[i], i))
         self.rank = [-1] * len(self.pieces)
         for k, i in enumerate(by_score):
             self.rank[i] = k
         self.left, self.right = list(range(len(self.pieces))), list(range(len(self.pieces)))
-        self.reached = {i for p, i in self.ids.items() if len(p) == 1}
+        reached = {p: i for p, i in self.ids.items() if len(p) == 1}
         for i in by_score:
             parts = [self.ids.get(c, -1) for c in self.pieces[i]]
             while -1 not in parts and len(parts) > 1:
@@ -89,8 +92,9 @@ class Codec:
                 _, k, made = min(merges)
                 if len(parts) == 2:
                     self.left[i], self.right[i] = parts
-                    self.reached.add(i)
+                    reached[self.pieces[i]] = i
                 parts[k : k + 2] = [made]
+        self.merged, self.ids = self.ids, reached
 
     def follows(self, left: int, right: int) -> bool:
         """Whether the merges leave two pieces side by side.
@@ -100,7 +104,7 @@ class Codec:
         """
         x, y, until, rank, pieces = left, right, len(self.rank), self.rank, self.pieces
         while True:
-            across = self.ids.get(pieces[x] + pieces[y])
+            across = self.merged.get(pieces[x] + pieces[y])
             if across is not None and rank[across] < until:
                 return False
             if rank[x] > rank[y]:
@@ -110,51 +114,61 @@ class Codec:
             else:
                 return True
 
-    def _extend(self, word: str, end: int, last: list[int], best: list[float]) -> None:
-        """Sets the state of position `end`: a piece id, or -1 - width for a character outside the vocabulary."""
-        found, score = None, float("-inf")
-        widths = self.widths.get(word[end - 2 : end] if end > 1 else "", ())
-        for width in (*widths, 1):
-            start = end - width
-            if start < 0 or (i := self.ids.get(word[start:end])) is None:
-                continue
-            if self.model == "unigram":
-                if best[start] + self.scores[i] > score:
-                    found, score = i, best[start] + self.scores[i]
-            elif i in self.reached:
-                before = last[start] if start else -1
-                if before < 0 or (fits := self.pairs.get((before, i))) or (fits is None and self.pairs.setdefault((before, i), self.follows(before, i))):
-                    found, score = i, 0.0
-                    break
-        if found is None:
-            found, score = -1, best[end - 1] - 1e6
-        last[end], best[end] = found, score
-
-    def segment(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
-        """(word, ids) for sorted distinct words, sharing forward states along common prefixes."""
-        before, last, best = "", [-1], [0.0]
+    def _best(self, word: str, end: int, widths: tuple, best: list[float]) -> tuple[int, int]:
+        """The piece that ends at `end` on the way of the best score, and its length; 0 for a character outside the vocabulary."""
+        found, length, score = -1, 0, float("-inf")
+        for width in widths:
+            if width <= end and (i := self.ids.get(word[end - width : end])) is not None and best[end - width] + self.scores[i] > score:
+                found, length, score = i, width, best[end - width] + self.scores[i]
+        best.append(score if length else best[end - 1] - 1e6)
+        return found, length
+
+    def _last(self, word: str, end: int, widths: tuple, last: list[int]) -> tuple[int, int]:
+        """The piece that ends at `end` in the merges' segmentation, and its length; 0 for a character outside the vocabulary."""
+        ids, pairs = self.ids, self.pairs
+        for width in widths:
+            if width <= end and (i := ids.get(word[end - width : end])) is not None:
+                if (before := last[end - width]) < 0:
+                    return i, width
+                seam = before << 32 | i
+                if (fits := pairs.get(seam)) is None:
+                    fits = pairs[seam] = self.follows(before, i)
+                if fits:
+                    return i, width
+        return -1, 0
+
+    def paths(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """(word, ids as 32-bit numbers) for sorted distinct words, sharing forward states along common prefixes.
+
+        The state of a position: its last piece (-1: none), the ids up to it, for a unigram model its score.
+        """
+        before, last, path, best, widths_of, raw = "", [-1], [b""], [0.0], self.widths, self.raw
+        state, seen = (self._last, last) if self.model == "bpe" else (self._best, best)
         for word in words:
             common = 0
             for a, b in zip(before, word):
                 if a != b:
                     break
                 common += 1
-            del last[common + 1 :], best[common + 1 :]
+            del last[common + 1 :], path[common + 1 :], best[common + 1 :]
             for end in range(common + 1, len(word) + 1):
-                last.append(-1)
-                best.append(0.0)
-                self._extend(word, end, last, best)
-            ids, end = [], len(word)
-            while end:
-                if last[end] >= 0:
-                    ids.append(last[end])
-                    end -= len(self.pieces[last[end]])
-                else:
-                    raw = word[end - 1].encode("utf-8", "replace")
-                    ids += [self.byte_ids[b] for b in reversed(raw)] if self.byte_ids else [self.unknown]
-                    end -= 1
+                tail = word[end - 3 if end > 3 else 0 : end]
+                found, width = state(word, end, widths_of.get(tail) or widths_of.get(tail[-2:]) or ONE, seen)
+                last.append(found)
+                path.append(path[end - width] + raw[found] if width else path[end - 1] + b"".join([raw[i] for i in self._spelled(word[end - 1])]))
             before = word
-            yield word, ids[::-1]
+            yield word, path[-1]
+
+    def _spelled(self, character: str) -> list[int]:
+        return [self.byte_ids[b] for b in character.encode("utf-8", "replace")] if self.byte_ids else [self.unknown]
+
+    def segment(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
+        """(word, ids) for sorted distinct words."""
+        return ((word, np.frombuffer(ids, np.int32).tolist()) for word, ids in self.paths(words))
+
+    def spelled(self, ids: bytes) -> bytes:
+        """The bytes of a word from its ids."""
+        return b"".join([self.out[i] for i in np.frombuffer(ids, np.int32).tolist()])
 
     def split(self, text: str) -> list[str]:
         """The marked words of a text; none for an empty one."""
@@ -170,29 +184,34 @@ class Codec:
 def encode(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
     """`docs` with piece_ids array<int> and round_trip boolean added (columns of those names are replaced).
 
-    round_trip says whether the ids decode to the very text; it is false only where a text holds
-    U+2581, which decodes to a space, as with any decoder of the model. A null text has
-    nulls, an empty text no ids. Repeated rows stay.
+    round_trip says whether the ids decode to the very text: each distinct word is decoded once and
+    compared, and a text's bytes are those of its words. It is false where a text holds U+2581, which
+    decodes to a space, as with any decoder of the model, and where a model without bytes lacks a
+    character. A null text has nulls, an empty text no ids. Repeated rows stay.
     """
     docs = docs.drop("piece_ids", "round_trip")
     at, held = docs.columns.index(text), shared(docs.sparkSession, codec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, known = held(), {}
+        codec, known, other = held(), {}, set()
         for batch in batches:
             lists, same = [], []
             for _, part in chunks(batch.column(at), CHUNK_BYTES):
                 split = [t if t is None else codec.split(t) for t in part.to_pylist()]
                 if len(known) > CACHE_WORDS:
                     known.clear()
+                    other.clear()
                 if len(codec.pairs) > CACHE_PAIRS:
                     codec.pairs.clear()
-                known.update((w, np.array(ids, np.int32).tobytes()) for w, ids in codec.segment(sorted(set().union(*(w for w in split if w)) - known.keys())))
+                new = sorted(set().union(*(w for w in split if w)) - known.keys())
+                known.update(codec.paths(new))
+                other.update(w for w in new if codec.spelled(known[w]) != w.replace(MARK, " ").encode())
                 got = [None if words is None else np.frombuffer(b"".join([known[w] for w in words]), np.int32) for words in split]
                 flat = np.concatenate([np.zeros(0, np.int32), *(g for g in got if g is not None)])
                 offsets = np.cumsum([0, *(0 if g is None else len(g) for g in got)], dtype=np.int32)
                 lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array([g is None for g in got]) if got else None))
-                same += [None if g is None else codec.join(g.tolist()) == t.as_py() for g, t in zip(got, part)]
+                marked = pa.compute.match_substring(part, MARK).to_pylist()
+                same += [None if words is None else not has and other.isdisjoint(words) if other else not has for words, has in zip(split, marked)]
             ids = pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *lists])
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(same, pa.bool_())], names=[*batch.schema.names, "piece_ids", "round_trip"])
         del codec, known

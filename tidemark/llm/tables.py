@@ -20,11 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; where ``spark.checkpoint.dir`` is unset (tests on one
-    machine), a temporary one is taken."""
+    """The session's shared checkpoint folder; where ``spark.checkpoint.dir`` is unset, a temporary one on a
+    local master, and an error on a cluster, whose machines share no temporary folder."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -39,6 +42,25 @@ def small(df: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+#: A key is hot with more than one of so many rows; so there are at most as many hot keys.
+HOT = 2_000
+#: Tasks over which the rows of a hot key are dealt.
+SALTS = 64
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, on: list[str], by: str, total: int) -> DataFrame:
+    """`rows` joined with `groups`, which has a row for each key and in `n_rows` its number of rows.
+
+    The rows of a hot key (of `total`) are dealt over SALTS tasks by the hash of column `by`, and its row of
+    `groups` goes to each of them. The hot keys alone are broadcast, HOT at most. Keys are not null;
+    both tables are read twice, so they should be written ones.
+    """
+    hot = F.broadcast(groups.where(F.col("n_rows") > total / HOT).select(*on, F.lit(True).alias("_hot")))
+    dealt = rows.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).drop("_hot")
+    copies = F.when(F.col("n_rows") > total / HOT, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(groups.withColumn("_salt", F.explode(copies)).drop("n_rows"), [*on, "_salt"]).drop("_salt")
+
+
 def fold(id_col: str, of: int) -> Column:
     """crc32 of the id as text, modulo `of`; -1 for a null id, so such a row is in no held-out fold."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % of, F.lit(-1))
