@@ -24,8 +24,8 @@ def test_pipeline_stage_by_stage(spark, sf, tmp_path):
         after = {r.doc_id: r for r in docs.collect()}
         assert set(after) <= set(before) and (k == 4 or docs.columns == COLUMNS)
         if name == "language_id":
-            coders = [language_id._coders(language_id.learn(given), level) for level in (language_id.LEVEL, language_id.SHORT_LEVEL)]
-            told = {i: language_id.decide(r.text, *coders) for i, r in before.items()}
+            coders = language_id._coders(language_id.learn(given))
+            told = {i: language_id.decide(r.text, coders) for i, r in before.items()}
             assert set(after) == {i for i, (lang, _, margin) in told.items() if lang != "und" and margin > language_id.MARGIN}
             assert len(after) > 0.97 * len(before)
         elif name == "line_dedup":

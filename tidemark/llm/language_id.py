@@ -22,11 +22,11 @@ from .word_hashes import give_back
 
 #: Bytes of dictionary for each language, documents sampled per language to fill it, bytes of text compressed at a time.
 DICT_BYTES, SAMPLE_DOCS, CHUNK = 32_768, 120, 2_048
-#: zstandard's level, and the level for texts of so few bytes, where matches of three bytes count.
-LEVEL, SHORT_LEVEL, SHORT = 6, 19, 600
+#: zstandard's level for texts of every length: the lowest at which matches of three bytes count, which short texts need.
+LEVEL = 12
 #: Relative gap to the runner-up below which a text is rejected, and the code for no language.
 MARGIN, UNKNOWN = 0.004, "und"
-LETTER, NOT_LETTERS = re.compile(r"[^\W\d_]"), re.compile(r"[\W\d_]+")
+NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
@@ -34,7 +34,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 
     About `sample_docs` texts a language are sampled by the hash of `key`; whole texts are
     taken in hash order while they fit `dict_bytes`, and from a first text that is longer,
-    its start. Rows with a null text or language teach nothing.
+    its start (a bound of the dictionary; identify() reads whole texts). Rows with a null text or
+    language teach nothing.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"))
     picked = sampled(rows, "lang", "key", sample_docs).select("lang", F.expr(f"left(text, {dict_bytes})").alias("text"), F.length("text").alias("n"), F.xxhash64(F.col("key").cast("string"), F.lit(17)).alias("h"))
@@ -48,11 +49,11 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 
 
 def letters(text: str) -> str:
-    """The text in lower case with a space for each run of other characters than letters."""
+    """The text in lower case with a space for each run of blanks, signs and decimal digits."""
     return NOT_LETTERS.sub(" ", text.lower())
 
 
-def _coders(dictionaries: dict[str, bytes], level: int) -> list[tuple[str, zstandard.ZstdCompressor]]:
+def _coders(dictionaries: dict[str, bytes], level: int = LEVEL) -> list[tuple[str, zstandard.ZstdCompressor]]:
     coders = []
     for name in sorted(dictionaries):
         d = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -61,17 +62,18 @@ def _coders(dictionaries: dict[str, bytes], level: int) -> list[tuple[str, zstan
     return coders
 
 
-def decide(text: str | None, coders: list, short_coders: list, chunk: int = CHUNK) -> tuple[str, float, float]:
+def decide(text: str | None, coders: list, chunk: int = CHUNK) -> tuple[str, float, float]:
     """(language, score, relative margin) of one text; ties go to the first language by name.
 
     The score is 1/2 for a tie and nears 1 as the runner-up needs more bytes. Null texts and
-    texts without a letter, and any text when no language was learned, are `und` with 0.
+    texts without a letter (digits, fractions and numerals of any script are none), and any
+    text when no language was learned, are `und` with 0.
     """
-    if text is None or not coders or not LETTER.search(text):
+    if text is None or not coders or not any(map(str.isalpha, text)):
         return UNKNOWN, 0.0, 0.0
     raw = letters(text).encode("utf-8", "replace")
     parts = [raw[o : o + chunk] for o in range(0, len(raw), chunk)]
-    sizes = sorted((sum(len(c.compress(p)) for p in parts), name) for name, c in (short_coders if len(raw) < SHORT else coders))
+    sizes = sorted((sum(len(c.compress(p)) for p in parts), name) for name, c in coders)
     if len(sizes) == 1:
         return sizes[0][1], 1.0, 1.0
     gap = sizes[1][0] - sizes[0][0]
@@ -87,9 +89,9 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coders, short = _coders(dictionaries, LEVEL), _coders(dictionaries, SHORT_LEVEL)
+        coders = _coders(dictionaries)
         for batch in batches:
-            got = [decide(t.as_py(), coders, short) for t in batch.column(at)]
+            got = [decide(t.as_py(), coders) for t in batch.column(at)]
             more = [pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "lang_pred", "lang_score", "lang_margin"])
         give_back()
