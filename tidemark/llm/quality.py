@@ -41,6 +41,8 @@ LABELLERS = {
 }
 #: Slots of the scorer, texts that train it, passes over them, first rate.
 SLOTS, SAMPLE, EPOCHS, RATE, ROUNDS = 1 << 16, 2000, 30, 0.5, 60
+#: Characters of the longest text that may train.
+SAMPLE_CHARS = 200_000
 #: How often at most a labeller finds good text bad; its thresholds are set that wide.
 FALSE_ALARM = 0.002
 LINES = ~byte_class((0x0A, 0x0A))
@@ -155,11 +157,13 @@ def train(texts: list[str | None], good: np.ndarray, measurer: Measurer, seed: i
     return model
 
 
-def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int = SAMPLE) -> Scorer | None:
+def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int = SAMPLE, longest: int = SAMPLE_CHARS) -> Scorer | None:
     """Counts the vote patterns of all texts, then trains on about `sample` of them, by the hash of `key`.
 
     The counts that reach the driver are bounded by the patterns there can be (three votes to the
-    power of the labellers). None for an empty table.
+    power of the labellers), the sample by its rows and by `longest`, the characters of a text that
+    may train (longer ones are counted, and scored, but do not train). The sample is put in the order
+    of hash, key and text, so that neither files nor partitions change a score. None for an empty table.
     """
     at = docs.columns.index(text)
 
@@ -176,7 +180,11 @@ def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int
     counts = np.array([r["count"] for r in rows], float)
     known = {bytes(r.votes): p for r, p in zip(rows, posteriors(patterns, counts))}
     unit = F.xxhash64(F.col(key).cast("string"), F.lit(23)).cast("double") / F.lit(2.0**64) + 0.5
-    texts = [r[0] for r in docs.where(unit * counts.sum() < sample).select(text, key).collect()] or [r[0] for r in docs.select(text).limit(1).collect()]
+    fits = docs.where(F.coalesce(F.length(text), F.lit(0)) <= longest).select(unit.alias("unit"), F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    picked = fits.where(F.col("unit") * float(counts.sum()) < sample).collect() or fits.orderBy("unit", "key", "text").limit(1).collect()
+    texts = [r.text for r in sorted(picked, key=lambda r: (r.unit, r.key or "", r.text or ""))]
+    if not texts:
+        return None
     measurer = Measurer()
     good = np.array([known.get(bytes((v + 1).tolist()), 0.5) for v in votes(measurer(pa.array(texts, pa.large_string()))[0])])
     return train(texts, good, measurer)
