@@ -1,9 +1,11 @@
 """Toxicity by subword-bag embeddings.
 
 A word is the mean of the vectors of its character n-grams and of itself, all in one hashed
-table; a passage is the mean of its words; a linear softmax over two classes reads it. Vectors
-and weights are trained jointly in numpy. A text's log-odds are a soft maximum over its
-passages, so that a few insults in a long text count, and the whole text is read.
+table; a linear softmax over two classes reads it (of two classes, one difference of weights).
+Vectors and weights are trained jointly in numpy. A text's log-odds are the soft mean of its
+words' (the log of the mean of exponentials, at a temperature): in the plain mean a few insults
+in a long text vanish, and in a sum of exponentials clean texts would grow toxic by length. A
+text that is repeated keeps its score. The whole text is read.
 Since everything above the table is linear, a trained word is one number, kept per task.
 """
 
@@ -21,10 +23,11 @@ from pyspark.sql import functions as F
 from .tables import extended, fold, sampled, shared, small, table, written
 from .word_hashes import chunks
 
-#: Slots of the table, numbers of a vector, n-gram lengths, words of a passage.
-SLOTS, DIM, GRAMS, PASSAGE = 1 << 16, 4, (3, 4, 5), 3
-#: Labelled texts sampled for training, of each class; texts of a step; steps; first rate; temperature of the soft maximum.
-SAMPLE, BATCH, STEPS, RATE, SOFT = 1500, 128, 400, 0.4, 0.3
+#: Slots of the table, numbers of a vector, n-gram lengths.
+SLOTS, DIM, GRAMS = 1 << 16, 4, (3, 4, 5)
+#: Labelled texts sampled for training, of each class, and characters of the longest that may train;
+#: texts of a step; steps; first rate; temperature of the soft mean.
+SAMPLE, SAMPLE_CHARS, BATCH, STEPS, RATE, SOFT = 1500, 200_000, 128, 400, 0.4, 0.5
 #: Distinct words kept per task before the cache starts anew.
 CACHE_WORDS = 400_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -67,46 +70,36 @@ class Model:
         """The probability for a text from its words' scores; a text without words has the bias alone."""
         if not scores:
             return float(1 / (1 + np.exp(-self.bias)))
-        x = np.array(scores)
-        first = np.arange(0, len(x), PASSAGE)
-        odds = np.add.reduceat(x, first) / np.diff([*first, len(x)]) + self.bias
+        odds = np.array(scores)
         top = odds.max()
-        z = top + SOFT * np.log(np.exp((odds - top) / SOFT).sum())
+        z = top + SOFT * np.log(np.exp((odds - top) / SOFT).mean()) + self.bias
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 class _Batch:
-    """Index arrays of some texts: n-gram slots of their distinct words, words of passages, passages of texts."""
+    """Index arrays of some texts: n-gram slots of their distinct words, words of texts."""
 
     def __init__(self, texts: list[str]) -> None:
         words: dict[str, int] = {}
-        passages: list[list[int]] = []
-        begins = []
-        for text in texts:
-            own = [words.setdefault(w, len(words)) for w in WORD.findall(text.lower())] or [words.setdefault("", len(words))]
-            begins.append(len(passages))
-            passages += [own[k : k + PASSAGE] for k in range(0, len(own), PASSAGE)]
+        lists = [[words.setdefault(w, len(words)) for w in WORD.findall(text.lower())] or [words.setdefault("", len(words))] for text in texts]
         self.slots, self.first = _bags(list(words))
         self.count = np.diff([*self.first, len(self.slots)]).astype(np.float32)
         self.word_of = np.repeat(np.arange(len(words)), self.count.astype(int))
-        self.ids = np.fromiter((w for p in passages for w in p), np.int64)
-        self.size = np.array([len(p) for p in passages], np.float32)
-        self.passage = np.repeat(np.arange(len(passages)), self.size.astype(int))
-        self.begins = np.array(begins)
-        self.text_of = np.repeat(np.arange(len(texts)), np.diff([*begins, len(passages)]))
+        self.ids = np.fromiter((w for x in lists for w in x), np.int64)
+        self.size = np.array([len(x) for x in lists])
+        self.begins, self.text_of = np.cumsum(self.size) - self.size, np.repeat(np.arange(len(texts)), self.size)
 
     def gradients(self, vectors: np.ndarray, w: np.ndarray, b: float, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         word = np.add.reduceat(vectors[self.slots], self.first, 0) / self.count[:, None]
-        mean = _sums(self.passage, word[self.ids], len(self.size)) / self.size[:, None]
-        odds = mean @ w + b
+        odds = (word @ w)[self.ids]
         top = np.maximum.reduceat(odds, self.begins)
         e = np.exp((odds - top[self.text_of]) / SOFT)
         total = np.add.reduceat(e, self.begins)
-        p = 1 / (1 + np.exp(-(top + SOFT * np.log(total))))
-        d_odds = ((p - y) * weight)[self.text_of] * e / total[self.text_of]
-        d_mean = d_odds[:, None] * w / self.size[:, None]
-        d_word = _sums(self.ids, d_mean[self.passage], len(self.count)) / self.count[:, None]
-        return _sums(self.slots, d_word[self.word_of], SLOTS), mean.T @ d_odds, d_odds.sum()
+        p = 1 / (1 + np.exp(-(top + SOFT * np.log(total / self.size) + b)))
+        d = (p - y) * weight
+        d_odds = np.bincount(self.ids, d[self.text_of] * e / total[self.text_of], len(self.count))
+        d_word = d_odds[:, None] * w / self.count[:, None]
+        return _sums(self.slots, d_word[self.word_of], SLOTS), word.T @ d_odds, d.sum()
 
 
 def train(texts: list[str], labels: list[int], prior: float, seed: int = 5) -> Model:
@@ -135,18 +128,18 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 5) -> M
     return Model(vectors, w, float(b + 0.5 * np.log(max(prior, 1e-3) / max(1 - prior, 1e-3))))
 
 
-def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", sample: int = SAMPLE) -> Model | None:
+def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", sample: int = SAMPLE, longest: int = SAMPLE_CHARS) -> Model | None:
     """Trains on a bounded sample of labelled texts: about `sample` of each class, by the hash of the id.
 
-    Counts of the classes are over all labelled rows. Rows with a null label, id or text teach
-    nothing; None if not both classes are there.
+    Counts of the classes are over all labelled rows. Rows with a null label, id or text, and texts of
+    more than `longest` characters, teach nothing; None if not both classes are there.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_key"), (F.col(label) > 0).cast("int").alias("_label"))
     counts = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
     if len(counts) < 2:
         return None
     picked = small(written(sampled(known, "_label", "_key", sample)))
-    rows = docs.where(F.col(text).isNotNull()).join(picked, F.col(key) == F.col("_key")).select("_key", "_label", F.col(text).alias("_text")).collect()
+    rows = docs.where(F.length(text) <= longest).join(picked, F.col(key) == F.col("_key")).select("_key", "_label", F.col(text).alias("_text")).collect()
     rows = sorted(rows)
     return train([r[2] for r in rows], [r[1] for r in rows], counts[1] / (counts[0] + counts[1])) if len({r[1] for r in rows}) == 2 else None
 
