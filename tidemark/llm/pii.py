@@ -18,7 +18,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import table
+from .tables import table, written
 
 #: Patterns of the contract, made to start only where a run of their first characters starts or the
 #: last match ended, and to take digits possessively: the same matches, in time linear in the text.
@@ -49,17 +49,14 @@ NO_MATCH = "CAST(array() AS ARRAY<STRUCT<s: BIGINT, e: BIGINT, m: STRING, before
 def _spans(text: str, pattern: str) -> str:
     """SQL: the pattern's matches in `text`, as array<struct<s, e, m, before>> in code points; before: up to 40 characters since the last match.
 
-    What stands between matches (split) and the matches (regexp_extract_all) alternate, so
-    their lengths add up to the places.
+    What stands between matches (split) and the matches (regexp_extract_all) alternate. Their lengths
+    are added up by doubling steps, of which a text with n matches takes log2(n).
     """
     p = "r'" + pattern + "'"
-    start, end = "acc.pos + length(x.`0`)", "acc.pos + length(x.`0`) + coalesce(length(x.`1`), 0)"
-    return f"""
-    aggregate(
-      arrays_zip(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0)),
-      named_struct('pos', 0L, 'out', {NO_MATCH}),
-      (acc, x) -> named_struct('pos', {end}, 'out', concat(acc.out, array(named_struct('s', {start}, 'e', {end}, 'm', x.`1`, 'before', right(x.`0`, 40))))),
-      acc -> filter(acc.out, x -> x.m IS NOT NULL))"""
+    step = "transform(acc, (v, i) -> v + IF(i >= k, acc[i - k], 0L))"
+    ends = f"aggregate(transform(sequence(0, CAST(ceil(log2(size(z) + 1)) AS INT)), j -> shiftleft(1, j)), transform(z, x -> CAST(length(x.`0`) + coalesce(length(x.`1`), 0) AS BIGINT)), (acc, k) -> {step})"
+    found = f"filter(transform(arrays_zip(z, {ends}), y -> named_struct('s', y.`1` - length(y.z.`1`), 'e', y.`1`, 'm', y.z.`1`, 'before', right(y.z.`0`, 40))), x -> x.m IS NOT NULL)"
+    return f"element_at(transform(array(arrays_zip(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0))), z -> {found}), 1)"
 
 
 def _digits(m: str) -> str:
@@ -80,24 +77,30 @@ CHECKS = {
     "phone": f"length({_digits('x.m')}) BETWEEN 9 AND 15",
 }
 #: A cheap test that a text can have a match at all.
-MAY = {"email": "contains(_t, '@')", "ip": "_t RLIKE r'[0-9]\\.[0-9]'", "card": "_t RLIKE r'[0-9](?:[\\x20-]?[0-9]){11}'", "phone": "contains(_t, '+')"}
-EMPTY = "CAST(array() AS ARRAY<STRUCT<s: BIGINT, e: BIGINT, kind: STRING, m: STRING>>)"
+MAY = {"email": "contains(text, '@')", "ip": "text RLIKE r'[0-9]\\.[0-9]'", "card": "text RLIKE r'[0-9](?:[\\x20-]?[0-9]){11}'", "phone": "contains(text, '+')"}
+EMPTY = "CAST(array() AS ARRAY<STRUCT<s: BIGINT, e: BIGINT, kind: STRING>>)"
 
 
-def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with `_t` (the text, null as empty) and an array column of spans for each kind."""
-    out = docs.withColumn("_t", F.coalesce(F.col(text), F.lit("")))
+def base_spans(docs: DataFrame) -> DataFrame:
+    """`docs` with an array column of spans for each kind, in the order of the text `text`."""
     for kind, pattern in zip(KINDS, (EMAIL, IP, CARD, PHONE)):
-        found = f"transform(filter({_spans('_t', pattern)}, x -> {CHECKS[kind]}), x -> named_struct('s', x.s, 'e', x.e, 'kind', '{kind}', 'm', x.m))"
-        out = out.withColumn(f"_{kind}", F.expr(f"CASE WHEN {MAY[kind]} THEN {found} ELSE {EMPTY} END"))
-    return out
+        found = f"transform(filter({_spans('text', pattern)}, x -> {CHECKS[kind]}), x -> named_struct('s', x.s, 'e', x.e, 'kind', '{kind}'))"
+        docs = docs.withColumn(kind, F.expr(f"CASE WHEN {MAY[kind]} THEN {found} ELSE {EMPTY} END"))
+    return docs
+
+
+def _overlaps(spans: str) -> str:
+    """SQL: whether x overlaps one of `spans`, which are in order and apart; the last that starts before x ends is found by halving."""
+    middle = "(r.low + r.high) DIV 2"
+    step = f"IF(r.low >= r.high, r, IF({spans}[{middle}].s < x.e, named_struct('low', {middle} + 1, 'high', r.high), named_struct('low', r.low, 'high', {middle})))"
+    n = f"CAST(size({spans}) AS BIGINT)"
+    return f"coalesce(aggregate(sequence(0, CAST(ceil(log2({n} + 1)) AS INT)), named_struct('low', 0L, 'high', {n}), (r, _) -> {step}, r -> IF(r.low > 0, {spans}[r.low - 1].e > x.s, false)), false)"
 
 
 def _with_candidates(docs: DataFrame) -> DataFrame:
-    """Adds `_more`: candidates that overlap no base span, with their votes and features."""
-    found = f"""CASE WHEN _t RLIKE r'{CANDIDATE}' THEN
-      filter({_spans('_t', CANDIDATE)}, x -> NOT exists(_base, b -> b.s < x.e AND x.s < b.e)) ELSE
-      {NO_MATCH} END"""
+    """Adds `more`: candidates that overlap no base span, with their votes and features."""
+    free = " AND ".join(f"NOT {_overlaps(k)}" for k in KINDS)
+    found = f"CASE WHEN text RLIKE r'{CANDIDATE}' THEN filter({_spans('text', CANDIDATE)}, x -> {free}) ELSE {NO_MATCH} END"
     kind = "CASE WHEN x.m RLIKE '^(Mr|Mrs|Ms|Dr|Prof)[.]? ' THEN 'person' WHEN x.m RLIKE '^[(]?[0-9]{2,4}[)]?[ .-]' THEN 'number' ELSE 'key' END"
     regex = "CASE WHEN x.m RLIKE '^([(]?[0-9]{3}[)]?[ .-][0-9]{3}[.-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4})$' OR x.m RLIKE '^(Mr|Mrs|Ms|Dr|Prof)[.]? [A-Z][a-z]+ [A-Z][a-z]+$' OR (length(x.m) >= 20 AND x.m RLIKE '[0-9].*[0-9].*[0-9]' AND x.m RLIKE '[A-Za-z]' AND NOT x.m RLIKE '-.*-') THEN 1 WHEN x.m RLIKE '^[0-9]{4}[.-][0-9]{2}[.-][0-9]{2}$' OR x.m RLIKE '^[0-9a-f]{40}$' THEN -1 ELSE 0 END"
     gazetteer = f"CASE WHEN x.m RLIKE '({GIVEN_NAMES})' OR x.m RLIKE '^({KEY_PREFIXES})[_-]?' THEN 1 WHEN x.m RLIKE '^(19|20)[0-9]{{2}}[ .-]' THEN -1 ELSE 0 END"
@@ -107,7 +110,7 @@ def _with_candidates(docs: DataFrame) -> DataFrame:
       concat('k', {kind}, ':d', least(length({_digits('x.m')}) div 3, 8)),
       concat('p', CASE WHEN x.before = '' THEN '^' WHEN x.before RLIKE '[:=]\\\\s*$' THEN ':' WHEN x.before RLIKE '[A-Za-z,]\\\\s$' THEN 'w' WHEN x.before RLIKE '\\\\n$' THEN 'l' ELSE 'o' END),
       concat('c', x.m RLIKE '[A-Z]', x.m RLIKE '[a-z]', x.m RLIKE '[_-]', x.m RLIKE '[(]'))"""
-    return docs.withColumn("_base", F.concat(*(f"_{k}" for k in KINDS))).withColumn("_more", F.expr(f"transform({found}, x -> named_struct('s', x.s, 'e', x.e, 'kind', {kind}, 'votes', array({regex}, {gazetteer}, {context}), 'features', {features}))"))
+    return docs.withColumn("more", F.expr(f"transform({found}, x -> named_struct('s', x.s, 'e', x.e, 'kind', {kind}, 'votes', array({regex}, {gazetteer}, {context}), 'features', {features}))"))
 
 
 def reliabilities(patterns: dict[tuple, int], rounds: int = ROUNDS) -> tuple[dict[tuple, float], dict]:
@@ -136,11 +139,11 @@ def reliabilities(patterns: dict[tuple, int], rounds: int = ROUNDS) -> tuple[dic
 
 
 def learn(docs: DataFrame) -> dict[str, float]:
-    """Weights of the final classifier by feature, '' for the prior, from all candidates of `docs`.
+    """Weights of the final classifier by feature, '' for the prior, from all candidates in the column `more`.
 
     One pass counts candidates by kind, votes and features; the counts are all that is collected.
     """
-    rows = docs.select(F.explode("_more").alias("x")).groupBy("x.kind", "x.votes", "x.features").count().collect()
+    rows = docs.select(F.explode("more").alias("x")).groupBy("x.kind", "x.votes", "x.features").count().collect()
     patterns: dict[tuple, int] = defaultdict(int)
     for r in rows:
         patterns[r.kind, tuple(r.votes)] += r["count"]
@@ -155,22 +158,25 @@ def learn(docs: DataFrame) -> dict[str, float]:
     return {"": prior} | {f: math.log(good[f] / bad[f]) - prior for f in sorted(good) if f}
 
 
-def find(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """`docs` with `pii`, an array<struct<s, e, kind>> of base and added spans sorted by start, then kind.
+def find(docs: DataFrame, text: str = "text", threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
+    """`docs` (or its columns `keep`) with `pii`, an array<struct<s, e, kind>> of base and added spans sorted by start, then kind.
 
     s and e are code points, e exclusive. A null text counts as empty. Rows stay as they are;
-    a column `pii` is replaced. Texts without candidates teach nothing; with none at all, nothing is added.
+    a column `pii` is replaced, however its name is cased, and no other name clashes, since the
+    row travels as one struct. Texts without candidates teach nothing; with none at all, nothing is
+    added. Spans are found once and written, with the columns that stay, to the checkpoint folder.
     """
-    names = [c for c in docs.columns if c != "pii"]
-    found = _with_candidates(base_spans(docs.select(*names), text))
+    rows = docs.drop("pii")
+    names = [c for c in keep or rows.columns]
+    apart = rows.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    found = written(_with_candidates(base_spans(apart)).select("row", F.concat(*KINDS).alias("base"), "more"))
     weights = learn(found)
     scores = ", ".join(f"'{f}', {w!r}D" for f, w in weights.items() if f) or "'', 0.0D"
     odds = f"{weights['']!r}D + aggregate(x.features, 0.0D, (a, f) -> a + coalesce(try_element_at(map({scores}), f), 0.0D))"
-    added = F.expr(f"transform(filter(_more, x -> {odds} > {math.log(threshold / (1 - threshold))!r}D), x -> named_struct('s', x.s, 'e', x.e, 'kind', x.kind))")
-    own = F.expr("transform(_base, x -> named_struct('s', x.s, 'e', x.e, 'kind', x.kind))")
+    added = F.expr(f"transform(filter(more, x -> {odds} > {math.log(threshold / (1 - threshold))!r}D), x -> named_struct('s', x.s, 'e', x.e, 'kind', x.kind))")
     order = "array('email', 'ip', 'card', 'phone', 'key', 'number', 'person')"
-    ranked = F.expr(f"array_sort(concat(_own, _added), (a, b) -> CASE WHEN a.s != b.s THEN CAST(sign(a.s - b.s) AS INT) ELSE CAST(sign(array_position({order}, a.kind) - array_position({order}, b.kind)) AS INT) END)")
-    return found.withColumn("_own", own).withColumn("_added", added).select(*names, ranked.alias("pii"))
+    ranked = F.expr(f"transform(array_sort(transform(spans, x -> named_struct('s', x.s, 'k', array_position({order}, x.kind), 'e', x.e, 'kind', x.kind))), x -> named_struct('s', x.s, 'e', x.e, 'kind', x.kind))")
+    return found.withColumn("spans", F.concat("base", added)).select("row", ranked.alias("pii")).select("row.*", "pii")
 
 
 def _listed(spans: str) -> Column:
@@ -179,6 +185,6 @@ def _listed(spans: str) -> Column:
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, counts of the base kinds, a digest of the base spans, all spans."""
-    out = find(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("base", F.expr(f"filter(pii, x -> x.kind IN {KINDS})"))
+    out = find(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"]).withColumn("base", F.expr(f"filter(pii, x -> x.kind IN {KINDS})"))
     counts = [F.expr(f"size(filter(base, x -> x.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in KINDS]
     return out.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("pii").alias("spans"))
