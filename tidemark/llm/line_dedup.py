@@ -11,15 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import small, table, written
+from .tables import table, written
 
 #: A line on more than so many percent of a host's pages, and on so many pages at least, is boilerplate.
-PERCENT, LEAST = 10, 3
+PERCENT, LEAST = 1, 5
+#: Lines of boilerplate, of all hosts together, that are broadcast; beyond them the join is shuffled.
+BROADCAST_LINES = 2_000_000
 
 
 def boilerplate(pages: DataFrame, host: str, text: str, percent: int = PERCENT, least: int = LEAST) -> DataFrame:
     """(host, lines): the hashes of each host's boilerplate lines; hosts without any are absent."""
-    pages = pages.select(F.col(host).alias("host"), F.col(text).alias("text"))
+    pages = pages.select(F.col(f"`{host}`").alias("host"), F.col(f"`{text}`").alias("text"))
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
     own = F.expr("array_distinct(transform(filter(split(text, '\\n'), l -> trim(l) != ''), l -> xxhash64(trim(l))))")
     lines = pages.select("host", F.explode(own).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least)
@@ -33,14 +35,19 @@ def drop_lines(pages: DataFrame, host: str = "source", text: str = "text", perce
     Lines are what stands between newlines, without the blanks around; blank ones are never
     boilerplate and stay. A null host is a host of its own; a null text stays null, with null
     counts, and its page counts in the total. A page of boilerplate alone keeps an empty text. Repeated rows
-    are pages of their own. Columns named n_lines and n_dropped are replaced.
+    are pages of their own. Columns named n_lines and n_dropped are replaced, however they are cased; no
+    other name clashes, since a row travels as one struct.
     """
-    names = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
-    known = small(written(boilerplate(pages, host, text, percent, least)), 200_000).select(F.col("host").alias("_host"), F.col("lines").alias("_lines"))
-    joined = pages.select(*names).join(known, F.col(f"`{host}`").eqNullSafe(F.col("_host")), "left")
-    lines = joined.withColumn("_all", F.split(text, "\n")).withColumn("_kept", F.expr("CASE WHEN _lines IS NULL THEN _all ELSE filter(_all, l -> trim(l) = '' OR NOT array_contains(_lines, xxhash64(trim(l)))) END"))
-    count = lambda c: F.when(F.col(text).isNotNull(), F.expr(f"size(filter({c}, l -> trim(l) != ''))").cast("long"))
-    return lines.select(*(F.array_join("_kept", "\n").alias(c) if c == text else F.col(f"`{c}`") for c in names), count("_all").alias("n_lines"), (count("_all") - count("_kept")).alias("n_dropped"))
+    rows = pages.drop("n_lines", "n_dropped")
+    known = written(boilerplate(pages, host, text, percent, least))
+    if (known.agg(F.sum(F.size("lines"))).first()[0] or 0) <= BROADCAST_LINES:
+        known = F.broadcast(known)
+    apart = rows.select(F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("row"), F.col(f"`{host}`").alias("of"), F.split(F.col(f"`{text}`"), "\n").alias("every"))
+    joined = apart.join(known, F.col("of").eqNullSafe(F.col("host")), "left")
+    kept = joined.withColumn("kept", F.expr("CASE WHEN lines IS NULL THEN every ELSE filter(every, l -> trim(l) = '' OR NOT array_contains(lines, xxhash64(trim(l)))) END"))
+    count = lambda c: F.expr(f"CASE WHEN every IS NOT NULL THEN CAST(size(filter({c}, l -> trim(l) != '')) AS BIGINT) END")
+    own = (F.array_join("kept", "\n").alias(c) if c.lower() == text.lower() else F.col(f"row.`{c}`") for c in rows.columns)
+    return kept.select(*own, count("every").alias("n_lines"), (count("every") - count("kept")).alias("n_dropped"))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
