@@ -28,7 +28,11 @@ def _drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of linked documents, and documents without an id."""
+    """The document with the smallest id of each component of linked documents, and rows without an id.
+
+    Of rows that share an id the one with the greatest text stays, if any.
+    """
+    docs = ngram_jaccard.one_row_each(docs)
     groups = ngram_jaccard.join(docs)
     copies = written(groups.where("doc_id != component_id").select("doc_id"))
     return docs.join(small(copies), "doc_id", "left_anti").select(*docs.columns)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import small, table, written
+from .tables import hot_keys, small, spread_join, table, written
 from .word_hashes import NOT_BLANK, Hasher, chunks, give_back, mix
 
 #: Words of a shingle.
@@ -216,7 +216,8 @@ def _count(parts: int):
 
 
 #: A cell that a set picked: the set, its shingles, how many of its cells are rarer, whether every
-#: shingle has a cell of its own, whether the rarer ones are at most half of what may differ.
+#: shingle has a cell of its own, whether the rarer ones are at most a seventh of the shingles: with a partner
+#: in which they are more, as in documents that share a common passage and little else, the partner's are fewer.
 PICKED = "cell long, doc_id long, n int, rarer int, single boolean, low boolean"
 
 
@@ -237,7 +238,7 @@ def _pick(rows: pa.Table) -> pa.Table:
     rarer = np.repeat(n_cells - came - first, came) + np.arange(len(key))
     most, single = np.repeat(most, came), np.repeat(band < TOKENS, came)
     keep = rarer <= most
-    low = ~single | (2 * rarer <= most)
+    low = ~single | (7 * rarer <= np.repeat(shingles, came))
     columns = (cell.astype(np.int64), key, (size >> 32).astype(np.int32), rarer.astype(np.int32), single, low)
     return pa.table({name: pa.array(c[keep]) for name, c in zip(("cell", "doc_id", "n", "rarer", "single", "low"), columns)})
 
@@ -282,22 +283,30 @@ def _verify(percent: int):
     return run
 
 
+def one_row_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` with one row for each id that is not null, that of the greatest text; rows without an id stay as they are."""
+    if not docs.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").limit(1).count():
+        return docs
+    rest = [c for c in docs.columns if c not in (key, text)]
+    one = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(text, *rest)).alias("row")).select(key, "row.*")
+    return one.select(*docs.columns).union(docs.where(F.col(key).isNull()))
+
+
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id of each document; percent: at least 75, the similarity that links.
 
     Rows that share an id are one document, with the greatest of their texts. A null or empty
-    text, or one of blanks, has no shingles and links with nothing, and so does a null id, whose
-    component is null. Shingles are compared by 64-bit hashes, verified pairs by 48 bits of them.
+    text, or one of blanks, has no shingles and links with nothing, and so does each row with a null id,
+    whose component is null. Shingles are compared by 64-bit hashes, verified pairs by 48 bits of them.
     """
     if percent < 75:
         raise ValueError("the sketches are laid out for at least 75 percent")
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        docs = docs.groupBy("doc_id").agg(F.max("text").alias("text"))
+    docs = one_row_each(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")))
     sizes = written(docs.mapInArrow(_sizes, "doc_id long, n_shingles long, h1 long, h2 long"))
-    full = sizes.where("n_shingles > 0 and doc_id is not null")
-    same = full.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1")
-    copies = written(full.join(same, ["n_shingles", "h1", "h2"]).where("doc_id != first").select("doc_id", "first"))
+    full, of = sizes.where("n_shingles > 0 and doc_id is not null"), ["n_shingles", "h1", "h2"]
+    same = written(full.groupBy(*of).agg(F.min("doc_id").alias("first"), F.count("*").alias("n_rows")).where("n_rows > 1"))
+    copies = spread_join(full, same.drop("n_rows"), of, "doc_id", hot_keys(same, of, sizes.count()))
+    copies = written(copies.where("doc_id != first").select("doc_id", "first"))
     single = docs.where("doc_id is not null").join(small(copies.select("doc_id")), "doc_id", "left_anti")
 
     total = full.agg(F.sum("n_shingles")).first()[0] or 0
@@ -307,8 +316,8 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
 
     # A linked pair has a low row at its first common cell, for else more would differ than may.
     hub = F.min(F.when(F.col("low"), F.struct("doc_id", "n", "rarer")))
-    groups = picked.groupBy("cell").agg(hub.alias("hub"), F.count("*").alias("rows")).where("rows > 1 AND hub IS NOT NULL")
-    members = written(picked.join(groups.select("cell", "hub"), "cell"))
+    groups = written(picked.groupBy("cell").agg(hub.alias("hub"), F.count("*").alias("n_rows")).where("n_rows > 1 AND hub IS NOT NULL"))
+    members = written(spread_join(picked, groups.drop("n_rows"), ["cell"], "doc_id", hot_keys(groups, ["cell"], picked.count())))
     feasible = FEASIBLE.format(percent=percent)
     spokes = members.alias("x").where("x.doc_id != x.hub.doc_id").where(feasible.replace("y.", "x.hub."))
     star = written(spokes.groupBy(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b")).agg(F.count("*").alias("common")))
@@ -316,8 +325,13 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
     sets = written(docs.join(small(ids), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles binary, " + ", ".join(f"{c} long" for c in SKETCH)))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        right, left = (sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}")) for c in ("b", "a"))
-        return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent), "a long, b long")
+        """The pairs that link; a document of very many pairs has them dealt over several tasks."""
+        pairs = written(pairs.select("a", "b"))
+        n, out = pairs.count(), pairs
+        for c, other in (("b", "a"), ("a", "b")):
+            hot = written(hot_keys(pairs.groupBy(c).agg(F.count("*").alias("n_rows")), [c], n))
+            out = spread_join(out, sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"set_{c}")), [c], other, hot)
+        return out.select("a", "b", "set_a", "set_b").mapInArrow(_verify(percent), "a long, b long")
 
     best = written(star.groupBy("b").agg(F.min_by("a", F.struct(-F.col("common"), "a")).alias("a")))
     links = written(linked(best))

@@ -48,17 +48,21 @@ HOT = 2_000
 SALTS = 64
 
 
-def spread_join(rows: DataFrame, groups: DataFrame, on: list[str], by: str, total: int) -> DataFrame:
-    """`rows` joined with `groups`, which has a row for each key and in `n_rows` its number of rows.
+def hot_keys(counts: DataFrame, on: list[str], total: int) -> DataFrame:
+    """The hot keys (not null) of a table of `total` rows from `counts`, its rows for each key in `n_rows`."""
+    return counts.where(F.col("n_rows") > total / HOT).select(*on)
 
-    The rows of a hot key (of `total`) are dealt over SALTS tasks by the hash of column `by`, and its row of
-    `groups` goes to each of them. The hot keys alone are broadcast, HOT at most. Keys are not null;
-    both tables are read twice, so they should be written ones.
+
+def spread_join(rows: DataFrame, groups: DataFrame, on: list[str], by: str, hot: DataFrame) -> DataFrame:
+    """`rows` joined with `groups`, which has one row for each key.
+
+    The rows of the keys `hot` (of hot_keys, so HOT at most, and broadcast) are dealt over SALTS tasks by
+    the hash of column `by`, and their row of `groups` goes to each of these tasks.
     """
-    hot = F.broadcast(groups.where(F.col("n_rows") > total / HOT).select(*on, F.lit(True).alias("_hot")))
+    hot = F.broadcast(hot.select(*on, F.lit(True).alias("_hot")))
     dealt = rows.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).drop("_hot")
-    copies = F.when(F.col("n_rows") > total / HOT, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    return dealt.join(groups.withColumn("_salt", F.explode(copies)).drop("n_rows"), [*on, "_salt"]).drop("_salt")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(groups.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot"), [*on, "_salt"]).drop("_salt")
 
 
 def fold(id_col: str, of: int) -> Column:
