@@ -109,9 +109,9 @@ def a04(spark, sf):
     return contracts.series_contract(panel.bars_member(spark, sf))
 
 
-@query("a05_partition_agreement", "SELECT n_regionkey AS partition, count(DISTINCT n_regionkey) AS symbols, count(*) FILTER (n_regionkey IS NULL) AS nulls, true AS agrees FROM nation GROUP BY 1")
+@query("a05_partition_agreement", "SELECT l_linestatus AS partition, count(DISTINCT l_returnflag) AS symbols, count(*) FILTER (l_returnflag IS NULL) AS nulls, count(DISTINCT l_returnflag) = 1 AND count(*) FILTER (l_returnflag IS NULL) = 0 AND min(l_returnflag) = l_linestatus AS agrees FROM lineitem GROUP BY 1")
 def a05(spark, sf):
-    return contracts.partition_agreement(table(spark, sf, "nation").withColumn("symbol", F.col("n_regionkey")), "n_regionkey", "symbol")
+    return contracts.partition_agreement(table(spark, sf, "lineitem"), "l_linestatus", "l_returnflag")
 
 
 @query("a06_duplicate_keys", "SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")

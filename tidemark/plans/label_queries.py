@@ -24,26 +24,26 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-# Features of the anchor panel, with windows that also fit its smaller sizes.
-_PCT = "len(list_filter({x}s, lambda y: y <= {x})) / 60.0"
+# Features of the anchor panel.
+_PCT = "len(list_filter({x}s, lambda y: y <= {x})) / 252.0"
 FEATURES_SQL = f"""{ctes('bars')},
-f0 AS (SELECT *, close / nullif({_lag('close', 1)}, 0) - 1 AS ret1, (high - low) / close AS day_range, abs(open / nullif({_lag('close', 1)}, 0) - 1) AS gap FROM bars),
+f0 AS (SELECT *, close / nullif({_lag('close', 1)}, 0) - 1 AS ret1, (high - low) / close AS day_range, abs(open / nullif({_lag('close', 1)}, 0) - 1) AS gap, greatest(high - low, abs(high - {_lag('close', 1)}), abs(low - {_lag('close', 1)})) AS tr FROM bars),
 f1 AS (SELECT *, close / nullif({_lag('close', 5)}, 0) - 1 AS ret5, close / nullif({_lag('close', 10)}, 0) - 1 AS ret10, close / nullif({_lag('close', 21)}, 0) - 1 AS ret21, close / nullif({_lag('close', 63)}, 0) - 1 AS ret63,
-  close / nullif({_lag('close', 126)}, 0) - 1 AS ret126, {_full('avg(close)', 20, 'close')} AS sma50, {_full('avg(close)', 60, 'close')} AS sma200, close / {_full('max(close)', 60, 'close')} - 1 AS dd252,
+  close / nullif({_lag('close', 126)}, 0) - 1 AS ret126, {_full('avg(close)', 50, 'close')} AS sma50, {_full('avg(close)', 200, 'close')} AS sma200, close / {_full('max(close)', 252, 'close')} - 1 AS dd252,
   {_full('stddev_samp(ret1)', 10, 'ret1')} * sqrt(252) AS rv10, {_full('stddev_samp(ret1)', 21, 'ret1')} * sqrt(252) AS rv21, {_full('stddev_samp(ret1)', 63, 'ret1')} * sqrt(252) AS rv63,
-  (volume - {_full('avg(volume)', 20, 'volume')}) / nullif({_full('stddev_samp(volume)', 20, 'volume')}, 0) AS volume_z, {_full('avg(CASE WHEN gap > 0.5 THEN 1.0 ELSE 0.0 END)', 20, 'gap')} AS gap_freq FROM f0),
-f2 AS (SELECT *, list(rv21) {_frame(60)} AS rv21s, list(gap_freq) {_frame(60)} AS gap_freqs, list(day_range) {_frame(60)} AS day_ranges, count(rv21) {_frame(60)} AS n1, count(gap_freq) {_frame(60)} AS n2, count(day_range) {_frame(60)} AS n3, {_lag('rv21', 5)} AS rv21_5 FROM f1),
-f AS (SELECT *, CASE WHEN n1 = 60 THEN {_PCT.format(x='rv21')} END AS rv_pct, CASE WHEN n2 = 60 THEN {_PCT.format(x='gap_freq')} END AS gap_pct, CASE WHEN n3 = 60 THEN {_PCT.format(x='day_range')} END AS range_pct, 1.0 AS atr_ratio, ret5 AS iv_change, true AS after_event, CAST(NULL AS DOUBLE) AS vix_pct, 25.0 AS sentiment FROM f2)"""
+  (volume - {_full('avg(volume)', 20, 'volume')}) / nullif({_full('stddev_samp(volume)', 20, 'volume')}, 0) AS volume_z, {_full('avg(CASE WHEN gap > 0.5 THEN 1.0 ELSE 0.0 END)', 20, 'gap')} AS gap_freq, {_full('avg(tr)', 14, 'tr')} / nullif({_full('avg(tr)', 50, 'tr')}, 0) AS atr_ratio, 50 * {_full('avg(sign(ret1))', 40, 'ret1')} AS sentiment FROM f0),
+f2 AS (SELECT *, list(rv21) {_frame(252)} AS rv21s, list(rv10) {_frame(252)} AS rv10s, count(rv10) {_frame(252)} AS n4, list(gap_freq) {_frame(252)} AS gap_freqs, list(day_range) {_frame(252)} AS day_ranges, count(rv21) {_frame(252)} AS n1, count(gap_freq) {_frame(252)} AS n2, count(day_range) {_frame(252)} AS n3, {_lag('rv21', 5)} AS rv21_5 FROM f1),
+f AS (SELECT *, CASE WHEN n1 = 252 THEN {_PCT.format(x='rv21')} END AS rv_pct, CASE WHEN n2 = 252 THEN {_PCT.format(x='gap_freq')} END AS gap_pct, CASE WHEN n3 = 252 THEN {_PCT.format(x='day_range')} END AS range_pct, CASE WHEN n4 = 252 THEN {_PCT.format(x='rv10')} END AS vix_pct, ret5 AS iv_change FROM f2)"""
 
 
 def features(spark, sf):
     """The anchor panel's features in two window passes over one partitioning by series."""
     bars = panel.bars_anchor(spark, sf)
     close = C("close")
-    out = bars.withColumns({"ret1": R.period_return(close, 1), "day_range": (C("high") - C("low")) / close, "gap": F.abs(C("open") / F.nullif(R.lag(close, 1), F.lit(0.0)) - 1)})
-    out = out.withColumns({f"ret{n}": R.period_return(close, n) for n in (5, 10, 21, 63, 126)} | {"sma50": R.sma(close, 20), "sma200": R.sma(close, 60), "dd252": R.drawdown(close, 60)} | {f"rv{n}": R.realized_vol(C("ret1"), n) for n in (10, 21, 63)} | {"volume_z": R.zscore(C("volume"), 20), "gap_freq": R.gap_frequency(C("gap"), 20, 0.5)})
-    out = out.withColumns({"rv_pct": R.percentile_max_rank(C("rv21"), 60), "gap_pct": R.percentile_max_rank(C("gap_freq"), 60), "range_pct": R.percentile_max_rank(C("day_range"), 60), "rv21_5": R.lag(C("rv21"), 5)})
-    return out.withColumns({"atr_ratio": F.lit(1.0), "iv_change": C("ret5"), "after_event": F.lit(True), "vix_pct": F.lit(None).cast("double"), "sentiment": F.lit(25.0)})
+    out = bars.withColumns({"ret1": R.period_return(close, 1), "day_range": (C("high") - C("low")) / close, "gap": F.abs(C("open") / F.nullif(R.lag(close, 1), F.lit(0.0)) - 1), "tr": R.true_range(C("high"), C("low"), close)})
+    out = out.withColumns({f"ret{n}": R.period_return(close, n) for n in (5, 10, 21, 63, 126)} | {"sma50": R.sma(close, 50), "sma200": R.sma(close, 200), "dd252": R.drawdown(close, 252)} | {f"rv{n}": R.realized_vol(C("ret1"), n) for n in (10, 21, 63)} | {"volume_z": R.zscore(C("volume"), 20), "gap_freq": R.gap_frequency(C("gap"), 20, 0.5), "atr_ratio": R.sma(C("tr"), 14) / F.nullif(R.sma(C("tr"), 50), F.lit(0.0)), "sentiment": 50 * R.sma(F.signum("ret1"), 40)})
+    out = out.withColumns({"rv_pct": R.percentile_max_rank(C("rv21"), 252), "gap_pct": R.percentile_max_rank(C("gap_freq"), 252), "range_pct": R.percentile_max_rank(C("day_range"), 252), "rv21_5": R.lag(C("rv21"), 5)})
+    return out.withColumns({"vix_pct": R.percentile_max_rank(C("rv10"), 252), "iv_change": C("ret5")})
 
 
 _SHOWN = ("ret63", "sma50", "dd252", "rv21", "rv_pct", "volume_z", "gap_pct", "range_pct")
@@ -62,7 +62,19 @@ def _axis(name: str, ladder: list, overlay: list | None = None) -> None:
 _axis("h01_trend", rules.TREND)
 _axis("h02_trend_overlay", rules.TREND, rules.TREND_OVERLAY)
 _axis("h05_volatility", rules.VOLATILITY)
-_axis("h06_volatility_overlay", rules.VOLATILITY, rules.VOLATILITY_OVERLAY)
+
+
+# Volatility after events: up to five days after a meeting.
+_AFTER = f"{FEATURES_SQL.replace(ctes('bars'), ctes('bars', 'cal'))}, e AS (SELECT DISTINCT CAST(date + k AS DATE) AS session FROM cal, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE type = 'FOMC'), g AS (SELECT f.*, e.session IS NOT NULL AS after_event FROM f LEFT JOIN e USING (session))"
+
+
+@query("h06_volatility_overlay", f"{_AFTER}, l AS (SELECT *, {rules.case(rules.VOLATILITY)} AS label FROM g) SELECT series_id, session, {rules.case(rules.VOLATILITY_OVERLAY, 'label')} AS label FROM l")
+def h06(spark, sf):
+    after = panel.events_calendar(spark, sf).where("type = 'FOMC'").select(F.explode(F.sequence(F.date_add("date", 1), F.date_add("date", 5))).alias("session")).distinct()
+    f = features(spark, sf).join(after.withColumn("after_event", F.lit(True)), "session", "left").withColumn("after_event", F.coalesce("after_event", F.lit(False)))
+    return rules.labelled(f, rules.VOLATILITY, rules.VOLATILITY_OVERLAY).select("series_id", "session", "label")
+
+
 _axis("h10_volume", rules.VOLUME)
 
 # Wide tables by session: the three anchor series play the inputs of the other axes.

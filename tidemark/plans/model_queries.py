@@ -114,10 +114,10 @@ def k04(spark, sf):
     return _families(spark, sf, _routed(spark, sf))
 
 
-@query("k05_effective_constraints", f"{_COHORTS}, {_FAMILIES} SELECT session, family, allowed, cap, 'cohort' AS sources FROM co JOIN fam USING (cohort) WHERE series_id = 'A'")
+@query("k05_effective_constraints", f"{_COHORTS}, {_FAMILIES} SELECT session, family, bool_and(allowed) AS allowed, min(cap) AS cap, 'cohort' AS sources FROM co JOIN fam USING (cohort) GROUP BY session, family")
 def k05(spark, sf):
     rows = _routed(spark, sf)
-    return strategy.effective(rows.where("series_id = 'A'").select("session", "cohort"), _families(spark, sf, rows), None)
+    return strategy.effective(rows.select("session", "cohort"), _families(spark, sf, rows), None)
 
 
 def _stream(spark, df):

@@ -80,17 +80,17 @@ def d13(spark, sf):
     return families.weekly_to_sessions(panel.sessions(spark, sf), weekly, "v", 4, 56).select("session", F.round("v", 4).alias("score"))
 
 
-@query("d16_availability", "SELECT r_name AS feature, r_regionkey IN (SELECT n_regionkey FROM nation WHERE n_nationkey < 3) AS available FROM region")
+@query("d16_availability", "SELECT p_name || ' ' || p_partkey AS feature, p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_shipdate >= DATE '1998-06-01') AS available FROM part")
 def d16(spark, sf):
-    wanted = table(spark, sf, "region").select(C("r_name").alias("feature"), C("r_regionkey").alias("input"))
-    present = table(spark, sf, "nation").where("n_nationkey < 3").select(C("n_regionkey").alias("input"))
+    wanted = table(spark, sf, "part").select(F.concat_ws(" ", "p_name", "p_partkey").alias("feature"), C("p_partkey").alias("input"))
+    present = table(spark, sf, "lineitem").where("l_shipdate >= DATE '1998-06-01'").select(C("l_partkey").alias("input"))
     return families.availability(wanted, present).select("feature", "available")
 
 
-@query("b15_lookup_enrichment", "SELECT o_orderkey, c_name, n_name, coalesce(r_name, 'none') AS region FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey AND r_regionkey < 3")
+@query("b15_lookup_enrichment", "SELECT o_orderkey, c_name, n_name, coalesce(r_name, 'none') AS region FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def b15(spark, sf):
     out = table(spark, sf, "orders").join(table(spark, sf, "customer"), C("o_custkey") == C("c_custkey"), "left").join(table(spark, sf, "nation"), C("c_nationkey") == C("n_nationkey"), "left")
-    return out.join(table(spark, sf, "region").where("r_regionkey < 3"), C("n_regionkey") == C("r_regionkey"), "left").select("o_orderkey", "c_name", "n_name", F.coalesce("r_name", F.lit("none")).alias("region"))
+    return out.join(table(spark, sf, "region"), C("n_regionkey") == C("r_regionkey"), "left").select("o_orderkey", "c_name", "n_name", F.coalesce("r_name", F.lit("none")).alias("region"))
 
 
 @query("b16_nested_fields", "SELECT event_id, CAST(json_extract_string(props, '$.ref') AS VARCHAR) AS ref FROM events")

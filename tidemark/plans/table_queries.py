@@ -47,15 +47,9 @@ rowwise("g15_spike_windows", width="CASE WHEN ret1 > 5 THEN 5 WHEN ret1 > 1 THEN
 rowwise("h15_limb_evidence", drift=_r("abs(ret21 - rv21_5)"), slope_margin=_r("0 - ret5"), benign_margin=_r("0.04 - ret21"), limbs="CASE WHEN abs(ret21 - rv21_5) < 0.005 THEN 1 ELSE 0 END + CASE WHEN ret5 < 0 THEN 1 ELSE 0 END + CASE WHEN ret21 < 0.04 THEN 1 ELSE 0 END")
 rowwise("h16_stale_reasons", reason="concat_ws(',', CASE WHEN ret63 IS NULL THEN 'ret63_stale' END, CASE WHEN rv_pct IS NULL THEN 'rv_stale' END, CASE WHEN volume_z IS NULL THEN 'volume_stale' END)")
 rowwise("h17_stale_inputs_nulled", nowcast=_r("CASE WHEN pos % 60 < 50 THEN ret5 END"), eps=_r("CASE WHEN pos % 35 < 30 THEN ret10 END"))
-rowwise("i02_forced_unknown", label=f"CASE WHEN rv_pct IS NULL OR pos < 100 THEN 'unknown' ELSE {rules.case(rules.VOLATILITY)} END")
-rowwise("i05_staleness_clock", staleness="CASE WHEN series_id IN ('A', 'R') THEN pos % 5 ELSE pos % 7 * 1 END")
-rowwise("i06_paired_staleness", staleness="least(greatest(pos % 5, pos % 7), greatest(pos % 3, pos % 11))")
-rowwise("i10_classification_status", status="CASE WHEN close IS NULL THEN 'no_data' WHEN sma200 IS NULL AND rv_pct IS NULL THEN 'warmup' WHEN sma200 IS NULL OR rv_pct IS NULL THEN 'missing_features' ELSE 'classified' END", missing="concat_ws(',', CASE WHEN rv_pct IS NULL THEN 'rv_pct' END, CASE WHEN sma200 IS NULL THEN 'sma200' END)")
 rowwise("i11_label_source", source="CASE WHEN rv_pct IS NOT NULL AND gap_pct IS NOT NULL THEN 'constituents' WHEN gap_pct IS NOT NULL THEN 'proxy' ELSE 'none' END")
 rowwise("j02_component_scores", trend=_clip("-dd252 / 0.15", "dd252"), average=_clip("(sma50 - close) / nullif(sma50, 0) / 0.05", "sma50"), volatility=_clip("(rv10 / nullif(rv63, 0) - 1) / 0.5", "rv63"), breadth=_clip("(0.5 - gap_pct) / 0.3", "gap_pct"), volume=_clip("(volume_z - 1) / 2", "volume_z"))
 rowwise("j05_rule_flags", crisis=f"coalesce({rules.case(rules.VOLATILITY)} = 'crisis_vol', false)", bear_stress=f"coalesce({rules.case(rules.TREND)} = 'bear' AND rv_pct >= 0.8, false)", fragile_bull=f"coalesce({rules.case(rules.TREND)} = 'bull' AND gap_pct > 0.75, false)", insufficient="ret63 IS NULL OR rv_pct IS NULL")
-rowwise("k01_strategy_response", size=_r("CASE WHEN rv_pct IS NULL THEN 0.25 WHEN rv_pct > 0.9 THEN 0 WHEN rv_pct > 0.8 THEN 0.5 ELSE 1 END"), entries="coalesce(rv_pct <= 0.8, false)", hedge="coalesce(rv_pct > 0.8 AND ret21 < 0, false)", mode=f"CASE {rules.case(rules.TREND)} WHEN 'bull' THEN 'trend' WHEN 'bear' THEN 'defensive' WHEN 'unknown' THEN 'fallback' ELSE 'neutral' END")
-rowwise("k02_event_modifiers", size=_r("least(CASE WHEN pos % 9 = 0 THEN 0.5 ELSE 1.0 END, CASE WHEN pos % 21 < 3 THEN 0.75 ELSE 1.0 END)"), names="concat_ws(',', CASE WHEN pos % 9 = 0 THEN 'fed_week' END, CASE WHEN pos % 21 < 3 THEN 'expiry_week' END)")
 rowwise("l02_complete_cases", complete="ret5 IS NOT NULL AND rv21 IS NOT NULL AND volume_z IS NOT NULL")
 
 
