@@ -108,5 +108,5 @@ def neighbours(dates: DataFrame, sessions: DataFrame, date: str = "date") -> Dat
 def strict_lookup(wanted: DataFrame, values: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(rows with values, misses): the misses as one row, their number and first five."""
     gone = wanted.join(values, keys, "left_anti")
-    first = F.slice(F.array_sort(F.collect_set(F.concat_ws("|", *keys))), 1, 5)
-    return wanted.join(values, keys), gone.agg(F.count("*").alias("misses"), F.array_join(first, ",").alias("first_misses"))
+    first = gone.select(F.concat_ws("|", *keys).alias("k")).distinct().orderBy("k").limit(5).agg(F.array_join(F.array_sort(F.collect_list("k")), ",").alias("first_misses"))
+    return wanted.join(values, keys), gone.agg(F.count("*").alias("misses")).join(first)  # one row each

@@ -94,3 +94,23 @@ def triangulated(candidates: DataFrame, enough: int = 2) -> DataFrame:
     key = F.concat_ws("|", "type", F.col("date").cast("string"), F.array_join("sources", "|"))
     decision = F.when(F.col("contradicts") > 0, "quarantined").when((F.size("sources") >= enough) & (F.col("confirms") > 0), "promoted").otherwise("review")
     return out.select("type", "date", F.size("sources").alias("n_sources"), "confirms", "contradicts", decision.alias("decision"), F.substring(F.sha2(key, 256), 1, 16).alias("candidate_id"))
+
+
+def candidates(events: DataFrame, least: float) -> DataFrame:
+    """Events as candidates (event_id, date, type, bad): bad without a value of at least `least` or without a key in their properties."""
+    bad = F.col("value").isNull() | (F.col("value") < least) | F.get_json_object("props", "$.k").isNull()
+    return events.select("event_id", F.to_date("ts").alias("date"), F.col("event_type").alias("type"), bad.alias("bad"))
+
+
+def quarantine_gate(rows: DataFrame, most: float = 0.01) -> DataFrame:
+    """Per type: candidates, bad ones, and whether these are more than the share `most`."""
+    out = rows.groupBy("type").agg(F.count("*").alias("n"), F.count_if("bad").alias("bad"))
+    return out.withColumn("fails", F.col("bad") > most * F.col("n"))
+
+
+def candidate_report(rows: DataFrame) -> DataFrame:
+    """Per type: candidates, quarantined (bad), promoted (the first good one of a date), and the others, for review."""
+    order = Window.partitionBy("type", "date", "bad").orderBy("event_id")
+    first = ~F.col("bad") & (F.row_number().over(order) == 1)
+    out = rows.withColumn("_first", first).groupBy("type").agg(F.count("*").alias("candidates"), F.count_if("_first").alias("promoted"), F.count_if("bad").alias("quarantined"))
+    return out.withColumn("review", F.col("candidates") - F.col("promoted") - F.col("quarantined"))

@@ -39,9 +39,10 @@ def gaps(bars: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def gap_summary(bars: DataFrame, sessions: DataFrame, examples: int = 5) -> DataFrame:
-    """The number of gaps of each series and the first few."""
-    first = F.array_join(F.slice(F.array_sort(F.collect_list(F.col("session").cast("string"))), 1, examples), ",")
-    return gaps(bars, sessions).groupBy("series_id").agg(F.count("*").alias("gaps"), first.alias("first_gaps"))
+    """The number of gaps of each series and the first few; no more of them are collected."""
+    found = gaps(bars, sessions).withColumn("_k", F.row_number().over(Window.partitionBy("series_id").orderBy("session")))
+    first = F.array_join(F.array_sort(F.collect_list(F.when(F.col("_k") <= examples, F.col("session").cast("string")))), ",")
+    return found.groupBy("series_id").agg(F.count("*").alias("gaps"), first.alias("first_gaps"))
 
 
 def expected_sessions(intervals: DataFrame, sessions: DataFrame) -> DataFrame:

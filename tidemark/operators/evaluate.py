@@ -39,6 +39,12 @@ def switches(rows: DataFrame, horizon: int = 3, label: str = "label") -> DataFra
     return out.groupBy("series_id").agg(F.count_if("_s").alias("switches"), F.count_if(false).alias("false_switches"))
 
 
+def false_switch_rate(rows: DataFrame, exposure: str = "exposure", horizon: int = 3) -> DataFrame:
+    """The share of a series' changes of exposure that are taken back within `horizon` sessions, 0 without a change."""
+    out = switches(rows.withColumn("_exposure", F.col(exposure).cast("string")), horizon, "_exposure")
+    return out.select("series_id", F.coalesce(F.col("false_switches") / F.nullif(F.col("switches"), F.lit(0)), F.lit(0.0)).alias("rate"))
+
+
 def history(rows: DataFrame, label: str = "label", window: int = 5, reach: int = 60, bad: str = "bear") -> DataFrame:
     """Per session: changed, changes in the last `window`, sessions since the last change (null beyond `reach`), `bad` in the `reach` sessions before."""
     w = _order()

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.operators import align
+
 #: The two lexicons; single words also count with s, d, ed or ing.
 HAWKISH = (
     "hawkish", "hike", "tighten", "tightening", "restrictive", "raise", "raising", "rate increase", "rate increases", "higher rates", "above target", "persistent inflation", "elevated inflation",
@@ -41,6 +43,23 @@ def one_a_date(scores: DataFrame, date: str = "release_date", how: str = "longes
     return scores.withColumn("_k", F.row_number().over(w)).where("_k = 1").select(date, "net_score", "total_tokens")
 
 
+def pooled(scores: DataFrame, *groups: str) -> DataFrame:
+    """Per group: texts, hawkish_count, dovish_count, total_tokens and the net score of all its hits together (null without a hit)."""
+    out = scores.groupBy(*groups).agg(F.count("*").alias("texts"), *(F.sum(c).alias(c) for c in ("hawkish_count", "dovish_count", "total_tokens")))
+    return out.withColumn("net_score", (F.col("hawkish_count") - F.col("dovish_count")) / F.nullif(F.col("hawkish_count") + F.col("dovish_count"), F.lit(0)))
+
+
+def daily_score(sessions: DataFrame, scores: DataFrame, max_age: int, window: int = 30) -> DataFrame:
+    """(session, pos, score): the mean over the last `window` sessions of the last score on or before each, null where it is over `max_age` days old.
+
+    sessions: (session, pos), one market's; scores: (release_date, net_score), one a date; null scores are none.
+    """
+    one = scores.where("net_score IS NOT NULL").select(F.lit("m").alias("series_id"), F.col("release_date").alias("at"), F.col("release_date").alias("seen"), "net_score")
+    rows = align.as_of(sessions.withColumn("series_id", F.lit("m")), one, "at", ["seen", "net_score"], ["series_id"])
+    fresh = F.when(F.datediff("session", "seen") <= max_age, F.col("net_score"))
+    return rows.select("session", "pos", F.avg(fresh).over(Window.orderBy("pos").rowsBetween(-(window - 1), 0)).alias("score"))
+
+
 def cleaned_html(html: Column) -> Column:
     """Text of an HTML page: scripts and styles dropped, breaks and paragraphs as newlines, tags removed, blanks collapsed."""
     out = F.regexp_replace(html, r"(?is)<(script|style|sup)\b.*?</\1>", " ")

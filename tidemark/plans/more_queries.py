@@ -147,10 +147,9 @@ def g22(spark, sf):
     return contracts.missing(expected, panel.events_calendar(spark, sf), "type")
 
 
-@query("g26_candidate_report", "SELECT event_type AS type, count(*) AS candidates, count(*) FILTER (user_id % 5 = 1) AS promoted, count(*) FILTER (user_id % 5 = 0) AS quarantined FROM events GROUP BY 1")
+@query("g26_candidate_report", "WITH q AS (SELECT event_type AS type, CAST(ts AS DATE) AS date, event_id, value IS NULL OR value < 0.05 OR json_extract_string(props, '$.k') IS NULL AS bad FROM events), g AS (SELECT type, date, min(event_id) AS event_id FROM q WHERE NOT bad GROUP BY 1, 2), p AS (SELECT type, count(*) AS promoted FROM g GROUP BY 1), c AS (SELECT type, count(*) AS candidates, count(*) FILTER (bad) AS quarantined FROM q GROUP BY 1) SELECT type, candidates, coalesce(promoted, 0) AS promoted, quarantined, candidates - coalesce(promoted, 0) - quarantined AS review FROM c LEFT JOIN p USING (type)")
 def g26(spark, sf):
-    user = C("user_id")
-    return table(spark, sf, "events").groupBy(C("event_type").alias("type")).agg(F.count("*").alias("candidates"), F.count_if(user % 5 == 1).alias("promoted"), F.count_if(user % 5 == 0).alias("quarantined"))
+    return calendar.candidate_report(calendar.candidates(table(spark, sf, "events"), 0.05))
 
 
 @query("g27_event_dedupe", "SELECT CAST(ts AS DATE) AS date, event_type AS type, max(event_id) AS event_id FROM events GROUP BY 1, 2")
@@ -276,13 +275,3 @@ def h13(spark, sf):
     a = F.when(C("rv_pct") > 0.8, "credit_stress").when(C("rv_pct").isNotNull(), "credit_calm").otherwise("unknown")
     b = F.when(C("gap_pct") > 0.5, "spread_widening").otherwise("credit_calm")
     return features(spark, sf).withColumns({"a": a, "b": b}).select("series_id", "session", rules.effective_credit(C("a"), C("b")).alias("label"))
-
-
-@query("m06_pooled_scores", "SELECT source, count(*) AS docs, sum(n_chars) AS chars, mode(lang ORDER BY lang) AS lang FROM (SELECT * FROM documents ORDER BY lang) GROUP BY 1")
-def m06(spark, sf):
-    counts = table(spark, sf, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("c"))
-    order = F.struct("n", F.expr("-ascii(lang)"), F.expr("-ascii(substr(lang, 2))"))
-    return counts.groupBy("source").agg(F.sum("n").alias("docs"), F.sum("c").alias("chars"), F.max_by("lang", order).alias("lang"))
-
-
-ORACLE["m06_pooled_scores"] = "WITH c AS (SELECT source, lang, count(*) AS n, sum(n_chars) AS c FROM documents GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) AS k FROM c) SELECT source, CAST(sum(n) AS BIGINT) AS docs, CAST(sum(c) AS BIGINT) AS chars, max(lang) FILTER (k = 1) AS lang FROM r GROUP BY 1"

@@ -154,10 +154,9 @@ def g09(spark, sf):
     return spread.join(s, "pos").select("anchor", "session")
 
 
-@query("g12_quarantine_gate", "SELECT event_type AS type, count(*) AS n, count(*) FILTER (user_id % 5 = 0) AS bad, avg(CASE WHEN user_id % 5 = 0 THEN 1.0 ELSE 0.0 END) > 0.2 AS fails FROM events GROUP BY 1")
+@query("g12_quarantine_gate", "WITH q AS (SELECT event_type AS type, value IS NULL OR value < 0.05 OR json_extract_string(props, '$.k') IS NULL AS bad FROM events) SELECT type, count(*) AS n, count(*) FILTER (bad) AS bad, count(*) FILTER (bad) > 0.01 * count(*) AS fails FROM q GROUP BY 1")
 def g12(spark, sf):
-    bad = C("user_id") % 5 == 0
-    return table(spark, sf, "events").groupBy(C("event_type").alias("type")).agg(F.count("*").alias("n"), F.count_if(bad).alias("bad"), (F.avg(F.when(bad, 1.0).otherwise(0.0)) > 0.2).alias("fails"))
+    return calendar.quarantine_gate(calendar.candidates(table(spark, sf, "events"), 0.05)).select("type", "n", "bad", "fails")
 
 
 @query("g23_label_at_date", f"{ctes('sessions', 'cal')}, p AS (SELECT max(session) AS d FROM sessions WHERE session <= DATE '1998-06-30') SELECT p.d AS session, coalesce((SELECT min(type) FROM cal WHERE cal.date = p.d), 'none') AS first_type FROM p")
@@ -173,12 +172,6 @@ def l10(spark, sf):
     return f.select("series_id", "session", (F.array_position(p, F.array_max(p)) - 1).alias("top"), F.round(F.array_max(p), 5).alias("probability"))
 
 
-@query("m02_combined_scores", "SELECT source, count(*) AS n, sum(n_chars) AS tokens FROM (SELECT 'documents' AS source, n_chars FROM documents UNION ALL SELECT 'conversations', length(text) FROM conversations) GROUP BY 1")
-def m02(spark, sf):
-    stores = {"documents": table(spark, sf, "documents").select("n_chars"), "conversations": table(spark, sf, "conversations").select(F.length("text").cast("long").alias("n_chars"))}
-    return families.consolidated(stores).groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("tokens"))
-
-
 @query("n05_unknown_stretch", f"{_labels(rules.VOLATILITY)}, g AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY pos) - row_number() OVER (PARTITION BY series_id, label ORDER BY pos) AS k FROM l) SELECT series_id, max(n) AS longest FROM (SELECT series_id, k, count(*) AS n FROM g WHERE label = 'unknown' GROUP BY 1, 2) GROUP BY 1")
 def n05(spark, sf):
     return evaluate.longest_runs(labels(spark, sf, rules.VOLATILITY)).where("label = 'unknown'").select("series_id", "longest")
