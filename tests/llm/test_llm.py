@@ -376,3 +376,187 @@ def test_sql_and_queries_agree_on_lines(spark, sf):
     names = want.columns
     got = Q.QUERIES["op2_line_dedup"](spark, sf).select(*names).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
+
+
+def test_jaccard_keeps_rows_without_an_id_apart(spark):
+    same = " ".join(f"w{k}" for k in range(40))
+    rows = [(None, same), (None, "other words that stand alone here"), (3, same), (4, same), (4, "zz " + same), (None, None)]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_jaccard.join(docs_of(spark, rows)).collect()), key=str)
+    assert got == sorted([(None, 36, None), (None, 2, None), (None, 0, None), (3, 36, 3), (4, 37, 3)], key=str)
+
+
+def test_lines_of_a_large_host(spark):
+    passage = " ".join(f"p{k}" for k in range(55))
+    texts = [(k, "\n".join([f"own line {k}", *(["Menu"] * (k % 50 == 0)), *([passage] * (k % 40 == 0)), *(["twice"] * (k < 4))])) for k in range(1000)]
+    rows = {r.doc_id: r for r in line_dedup.drop_lines(docs_of(spark, texts)).collect()}
+    assert rows[0].text == "own line 0\ntwice" and rows[40].text == "own line 40" and rows[50].text == "own line 50" and rows[3].text == "own line 3\ntwice"
+    assert sum(r.n_dropped for r in rows.values()) == 20 + 25
+
+
+def test_names_may_clash(spark):
+    rows = spark.createDataFrame([(1, "mail a@b.co, Dr. Maria Smith", 7, 8, 9, 10, "u", "s")], "doc_id long, text string, more int, base int, every int, row int, email string, source string")
+    found = pii.find(rows).collect()[0]
+    assert (found.more, found.base, found.every, found.row, found.email) == (7, 8, 9, 10, "u") and found.pii[0].kind == "email"
+    kept = line_dedup.drop_lines(rows.withColumn("lines", F.lit(3)).withColumn("kept", F.lit(4))).collect()[0]
+    assert (kept.lines, kept.kept, kept.every, kept.row) == (3, 4, 9, 10)
+    assert pii.find(rows.withColumn("PII", F.lit(1))).columns.count("pii") == 1
+    assert "N_LINES" not in line_dedup.drop_lines(rows.withColumn("N_LINES", F.lit(1))).columns
+
+
+def test_pii_is_linear_in_matches(spark):
+    n = 3000
+    got = pii.find(spark.createDataFrame([(1, " ".join(f"a{k}@b.co" for k in range(n)))], "doc_id long, text string")).selectExpr("size(pii) n", "element_at(pii, -1) last").collect()[0]
+    text = " ".join(f"a{k}@b.co" for k in range(n))
+    assert got.n == n and (got.last.s, got.last.e) == (text.rindex(" ") + 1, len(text))
+
+
+def test_pii_finds_planted_spans(spark):
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    rows, planted = [], {}
+    for k in range(400):
+        around = [" ".join(word() for _ in range(8)) for _ in range(2)]
+        digits = "".join(rng.choice(list("0123456789"), 10))
+        what = [f"call {digits[:3]}-{digits[3:6]}-{digits[6:]}", "signed Dr. Maria Smith", "secret key: sk_live_" + "".join(rng.choice(list("abcdef0123456789"), 20)), "version 2020-10-12"][k % 4]
+        rows.append((k, f"{around[0]} {what} {around[1]}"))
+        planted[k] = ["number", "person", "key", None][k % 4]
+    got = {r.doc_id: {x.kind for x in r.pii} for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hits = [planted[k] in got[k] for k in planted if planted[k]]
+    clean = [not got[k] for k in planted if not planted[k]]
+    assert np.mean(hits) >= 0.9 and np.mean(clean) >= 0.9
+
+
+def test_quality_equals_a_plain_version_at_any_layout(spark, documents):
+    rows = documents.select("doc_id", "text")
+    model = quality.learn(rows)
+    again = quality.learn(rows.repartition(5, "text"))
+    assert np.array_equal(model.slots, again.slots) and np.array_equal(model.dense, again.dense) and model.bias == again.bias
+    got = {r.doc_id: r.quality for r in quality.score(rows, model).collect()}
+    measurer = quality.Measurer()
+    for r in rows.limit(60).collect():
+        measures, slots, _ = (x for x in measurer(__import__("pyarrow").array([r.text or ""])))
+        z = sum(float(np.clip((m - a) / b, -4, 4)) * w for m, a, b, w in zip(measures[0], model.mean, model.scale, model.dense)) + sum(model.slots[s] for s in slots) / max(1, len(slots)) + model.bias
+        assert got[r.doc_id] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))), abs=1e-9)
+
+
+def test_toxicity_equals_a_plain_version_and_forgets_length(spark):
+    model = toxicity.train(["you idiot go away", "have a nice day", "what an idiott", "the weather is fine"] * 8, [1, 0, 1, 0] * 8, 0.5)
+
+    def plain(text):
+        odds = []
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            g = toxicity.grams(w)
+            odds.append(sum(float(model.vectors[s] @ model.weights) for s in g) / len(g))
+        z = model.bias + (toxicity.SOFT * math.log(sum(math.exp(o / toxicity.SOFT) for o in odds) / len(odds)) if odds else 0)
+        return 1 / (1 + math.exp(-z))
+
+    texts = ["you idiot", "a nice fine day", "idiots all", "", "1 2 3", "the weather is an idiot"]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, *(f"{t} " * 500 for t in texts)])], "doc_id long, text string")
+    got = {r.doc_id: r.toxicity for r in toxicity.score(rows, model).collect()}
+    for k, t in enumerate(texts):
+        assert got[k] == pytest.approx(plain(t), abs=1e-5) and got[k + len(texts)] == pytest.approx(got[k], abs=1e-6)
+
+
+def test_language_equals_a_plain_version(spark, documents):
+    import zstandard
+
+    books = language_id.learn(documents)
+    rows = documents.select("doc_id", "text").union(spark.createDataFrame([(10**6 + k, t) for k, t in enumerate(["² ½ Ⅷ ①", "12 34", "é", "", None])], "doc_id long, text string"))
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(rows, books).collect()}
+    assert [got[10**6 + k] == "und" for k in range(5)] == [True, True, False, True, True]
+    for r in rows.where("doc_id < 1000000 AND text IS NOT NULL").limit(40).collect():
+        raw = re.sub(r"[\W\d_]+", " ", r.text.lower()).encode()
+        sizes = {}
+        for name, book in books.items():
+            d = zstandard.ZstdCompressionDict(book, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            z = zstandard.ZstdCompressor(level=language_id.LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False)
+            sizes[name] = sum(len(z.compress(raw[o : o + language_id.CHUNK])) for o in range(0, len(raw), language_id.CHUNK))
+        if any(c.isalpha() for c in r.text):
+            assert got[r.doc_id] == min(sorted(sizes), key=sizes.get)
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_nearest_recall_in_many_dimensions(spark, given):
+    if given:
+        rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+        x = {r.vec_id: np.array(r.embedding, float) for r in rows.where("embedding IS NOT NULL").collect()}
+    else:
+        x = dict(enumerate(np.random.default_rng(5).normal(size=(4000, 64))))
+        rows = spark.createDataFrame([(k, v.tolist()) for k, v in x.items()], "vec_id long, embedding array<double>")
+    x = {k: v for k, v in x.items() if len(v) == 64 and np.isfinite(v).all() and v.any()}
+    ids, m = np.array(list(x)), np.stack(list(x.values()))
+    got = collections.defaultdict(set)
+    for r in neighbours.nearest(rows).collect():
+        got[r.query_id].add(r.vec_id)
+    units, hits, total = m / np.linalg.norm(m, axis=1, keepdims=True), 0, 0
+    for q in (k for k in x if k % 50 == 0):
+        s = units @ (x[q] / np.linalg.norm(x[q]))
+        s[ids == q] = -2
+        hits, total = hits + len(got[q] & set(ids[np.lexsort((ids, -s))[:5]].tolist())), total + 5
+    assert hits / total >= 0.9
+
+
+def test_nearest_verifies_well_under_half(spark):
+    x = np.random.default_rng(6).normal(size=(4096, 64))
+    block = neighbours.Block(np.arange(len(x)), x)
+    for q in range(0, len(x), 64):
+        block.search(q, x[q], np.inf, 5, neighbours.limit())
+    assert block.verified / 64 / len(x) < 0.45
+
+
+def test_licenses_find_altered_openings(spark):
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for k, (name, opening) in enumerate(licenses.TEMPLATES * 4):
+        words = opening.split()
+        if k >= len(licenses.TEMPLATES) and len(words) > 15:
+            words.insert(len(words) // 2, "really")
+        rows.append((k, " ".join([*rng.choice(["lorem", "ipsum", "dolor"], 30), *words, "sit", "amet"])))
+        want[k] = name
+    rows += [(1000 + k, " ".join(rng.choice(["lorem", "ipsum", "software", "license", "this"], 60))) for k in range(50)]
+    got = {r.doc_id: r.labels.split(",") for r in licenses.label(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert np.mean([want[k] in got[k] for k in want]) >= 0.95 and all(got[1000 + k] == [""] for k in range(50))
+
+
+def test_leaks_equal_the_rule_over_all_seeded_diagonals(spark):
+    rng = np.random.default_rng(12)
+    words = [f"q{k}" for k in range(300)]
+    items = [list(rng.choice(words, int(rng.integers(8, 40)))) for _ in range(12)]
+    texts = []
+    for _ in range(60):
+        item = items[int(rng.integers(0, 12))]
+        part = [w if rng.random() < rng.choice([0.7, 0.85, 1.0]) else str(rng.choice(words)) for w in item[: int(rng.integers(5, len(item) + 1))]]
+        texts.append(list(rng.choice(words, 30)) + part + list(rng.choice(words, 20)))
+    want = set()
+    for t, text in enumerate(texts):
+        for i, item in enumerate(items):
+            spans, covered = [], set()
+            for shift in range(-len(item), len(text)):
+                same = [0 <= j + shift < len(text) and item[j] == text[j + shift] for j in range(len(item))]
+                if not any(all(j + m < len(item) and 0 <= j + m + shift < len(text) and same[j + m] for m in mask) for mask in decontamination.MASKS for j in range(len(item))):
+                    continue
+                at = max(0, -shift)
+                stop = min(len(item), len(text) - shift)
+                while at < stop:
+                    while at < stop and not same[at]:
+                        at += 1
+                    gain = best = 0
+                    end = at
+                    for k in range(at, stop):
+                        gain += 1 if same[k] else -decontamination.PENALTY
+                        if gain < 0:
+                            break
+                        if gain > best:
+                            best, end = gain, k + 1
+                    if end == at:
+                        break
+                    own = [j for j in range(at, end) if same[j]]
+                    if len(own) >= decontamination.SEED_WORDS - 1:
+                        spans.append(end - at)
+                        covered |= set(own)
+                    at = end
+            if spans and (max(spans) >= min(decontamination.LONG, len(item)) or len(covered) >= decontamination.COVERED * len(item)):
+                want.add((t, i))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, x.item_id) for r in decontamination.scan(docs_of(spark, [(k, " ".join(w)) for k, w in enumerate(texts)]), bench).collect() for x in r.leaks}
+    assert got == want and len(want) > 20

@@ -30,7 +30,7 @@ from .tables import shared, table, written
 from .word_hashes import give_back
 
 #: Directions (an even number), neighbours, probability of the stopping test.
-DIRECTIONS, NEAREST, SURE = 24, 5, 0.87
+DIRECTIONS, NEAREST, SURE = 32, 5, 0.85
 #: Rows that fit the upper tree, cells at most, rows of a block, rows of a leaf, cells that a query searches first.
 SAMPLE, CELLS, BLOCK, LEAF, FIRST = 50_000, 1024, 4_096, 128, 4
 #: Queries of a block that one task takes, and tasks of a search at most.

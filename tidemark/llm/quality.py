@@ -173,7 +173,7 @@ def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int
             got = [bytes((row + 1).tolist()) for _, part in chunks(batch.column(at)) for row in votes(measurer(part)[0])]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary())], names=["votes"])
 
-    rows = docs.mapInArrow(run, "votes binary").groupBy("votes").count().collect()
+    rows = sorted(docs.mapInArrow(run, "votes binary").groupBy("votes").count().collect(), key=lambda r: bytes(r.votes))
     if not rows:
         return None
     patterns = np.array([np.frombuffer(bytes(r.votes), np.uint8) for r in rows]).astype(np.int8) - 1
