@@ -86,6 +86,30 @@ def change_points(rows: DataFrame) -> DataFrame:
     return rows.groupBy("series_id").applyInPandasWithState(step, CHANGES, kept, "append", GroupStateTimeout.NoTimeout)
 
 
+GATED = "series_id string, session date, published date, value double"
+
+
+def published_only(rows: DataFrame) -> DataFrame:
+    """The last published reading at each session, over one stream of both: (series_id, at, value, is_session).
+
+    A reading comes at its publication date and counts for the sessions from that date on, for those that
+    come later in the stream; sessions before the first have nulls. The state is the last reading.
+    """
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        at, value = state.get if state.exists else (None, None)
+        df, out = pd.concat(list(frames)).sort_values(["at", "is_session"], kind="stable"), []
+        for day, x, is_session in zip(df["at"], df["value"], df["is_session"]):
+            if is_session:
+                out.append((key[0], day, at, value))
+            elif at is None or day >= at:
+                at, value = day, float(x)
+        state.update((at, value))
+        yield pd.DataFrame(out, columns=["series_id", "session", "published", "value"])
+
+    return rows.groupBy("series_id").applyInPandasWithState(step, GATED, "at date, value double", "append", GroupStateTimeout.NoTimeout)
+
+
 def run_available(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
     """Runs a stream over what is there and returns its rows, read from Parquet files in `folder`, a new one that all machines share.
 
