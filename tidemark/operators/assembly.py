@@ -71,3 +71,17 @@ def classified(rows: DataFrame, features: list[str], not_binding: tuple[str, ...
     for when, name, why in cases:
         status, reason = status.when(when, name), reason.when(when, why)
     return rows.withColumns({"classification": status.otherwise("no_rule_fired"), "reason": reason.otherwise("no_rule_fired")})
+
+
+def label_source(rows: DataFrame, own: tuple[str, ...], name: str = "constituents", other: str = "proxy") -> DataFrame:
+    """Adds `source`: where an axis' active label comes from: held over by hysteresis, the rules over `name` (labels `own`), or those over `other`."""
+    held = F.col("active_label") != F.col("raw_label")
+    source = F.when(F.coalesce(F.col("frozen"), F.lit(False)), "data_quality_freeze").when(held, "hysteresis_from_prior_state").when(F.col("active_label").isin(*own), name).otherwise(other)
+    return rows.withColumn("source", source)
+
+
+def fresh(rows: DataFrame, limits: dict[str, tuple[str, int]]) -> DataFrame:
+    """Nulls each column of `limits` (column: (its staleness, the most days)) where it is older, and adds `reason`, the names of those that are, joined."""
+    stale = {c: F.coalesce(F.col(age) > most, F.lit(True)) for c, (age, most) in limits.items()}
+    reason = F.concat_ws(",", *(F.when(old, F.lit(f"{c}_stale")) for c, old in stale.items()))
+    return rows.withColumns({c: F.when(~old, F.col(c)) for c, old in stale.items()} | {"reason": reason})

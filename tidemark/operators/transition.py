@@ -52,6 +52,31 @@ def scored(rows: DataFrame) -> DataFrame:
     return out.withColumn("band", band.otherwise("high_transition_risk")).withColumn("drivers", F.array_join(F.transform(F.slice(ranked, 1, 3), lambda x: x["name"]), ","))
 
 
+#: Components from which credit, correlation, events and the score count as stressed, and labels of stressed breadth.
+LIMITS = {"credit": 0.70, "correlation": 0.70, "event": 1.0, "score": 0.35}
+STRESSED_BREADTH, RISING_BREADTH = ("weak_breadth", "narrowing_breadth", "divergent_fragile"), ("recovery_breadth", "healthy_breadth")
+
+
+def rule_flags(rows: DataFrame, cooldown: int = 5, limits: dict[str, float] = LIMITS) -> DataFrame:
+    """Adds the flags of STATES, `cooldown` and `insufficient` to rows with components, score, the labels trend, character,
+    volatility and breadth, close, sma50, bad_before (a bear market in the last sessions) and since (sessions since a switch)."""
+    c = F.col
+    over = {name: F.coalesce(c(column) >= limits[name], F.lit(False)) for name, column in (("credit", "credit_stress"), ("correlation", "correlation_fragility"), ("event", "macro_event"), ("score", "score"))}
+    others = F.greatest(*(n for n in WEIGHTS if n != "macro_event"))
+    crisis, weak = c("volatility") == "crisis_vol", c("breadth").isin(*STRESSED_BREADTH)
+    flags = {
+        "crisis": crisis,
+        "bear_stress": (c("trend") == "bear") & c("volatility").isin("high_vol", "crisis_vol") & (weak | (c("breadth") == "unknown") | over["credit"]),
+        "fragile_bull": (c("trend") == "bull") & ((c("breadth") == "divergent_fragile") | over["correlation"] | over["credit"]),
+        "recovery_attempt": (c("character") == "recovery_attempt") | (c("bad_before").cast("boolean") & (c("close") > c("sma50")) & c("breadth").isin(*RISING_BREADTH)),
+        "sideways_stress": (c("trend") == "sideways") & (c("volatility") == "high_vol") & weak,
+        "event_watch": over["event"] & over["score"] & (c("macro_event") >= F.coalesce(others, F.lit(0.0))),
+        "cooldown": c("since").isNotNull() & (c("since") <= cooldown) & ~crisis,
+        "insufficient": F.array_contains(F.array("trend", "character", "volatility", "breadth"), F.lit("unknown")),
+    }
+    return rows.withColumns({name: F.coalesce(flag, F.lit(False)) for name, flag in flags.items()})
+
+
 def state(rows: DataFrame) -> DataFrame:
     """Adds `state` from flags, then the band; `cooldown` turns stable into watch; and `rules`, the flags that are on."""
     chosen = F.when(F.lit(False), "")

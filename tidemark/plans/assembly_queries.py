@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import assembly, rules, strategy
-from tidemark.plans.label_queries import FEATURES_SQL, _hysteresis_sql, features
+from tidemark.operators import align, assembly, evaluate, rules, strategy, transition
+from tidemark.plans.label_queries import _H, _SCORE, FEATURES_SQL, _hysteresis_sql, _pressure, features
 from tidemark.plans.rolling_queries import _frame, _lag
 from tidemark.sources import panel
 from tidemark.sources.panel import ctes
@@ -148,3 +148,84 @@ def k02(spark, sf):
     on = panel.events_calendar(spark, sf).groupBy(C("date").alias("session")).agg(F.collect_set("type").alias("events"))
     out = strategy.event_modified(_responses(spark, sf).join(on, "session", "left"), EVENT_RULES)
     return out.select("series_id", "session", "size", "leverage", "expand_leverage", "confirm_longs", F.array_join("modifiers", ",").alias("modifiers"))
+
+
+@query("i11_label_source", f"{_axis_sql('volatility')} SELECT series_id, session, CASE WHEN active_label IS DISTINCT FROM raw_label THEN 'hysteresis_from_prior_state' WHEN active_label = 'high_vol' OR active_label = 'crisis_vol' THEN 'constituents' ELSE 'proxy' END AS source FROM axis")
+def i11(spark, sf):
+    return assembly.label_source(_axis(spark, sf, "volatility"), ("high_vol", "crisis_vol")).select("series_id", "session", "source")
+
+
+# Two macro sources with their ages: a value that is too old is null, and named.
+_AGED = f"""{_stale_sql({k: CLOCKS[k] for k in ('1-URGENT', '2-HIGH')})}, m AS (SELECT series_id, published, value FROM macro WHERE vintage = 0 AND value IS NOT NULL),
+p AS (SELECT session, max(days) FILTER (source = '1-URGENT') AS d1, max(days) FILTER (source = '2-HIGH') AS d2 FROM stale GROUP BY 1),
+v AS (SELECT p.*, a.value AS a, b.value AS b FROM p ASOF LEFT JOIN (SELECT * FROM m WHERE series_id = '1-URGENT') a ON p.session >= a.published ASOF LEFT JOIN (SELECT * FROM m WHERE series_id = '2-HIGH') b ON p.session >= b.published)"""
+
+
+def _aged(spark, sf):
+    names = {"1-URGENT": "nowcast", "2-HIGH": "eps"}
+    ages = _stale(spark, sf, {k: CLOCKS[k] for k in names}).groupBy("session").pivot("source", list(names)).agg(F.max("days"))
+    rows = ages.select("session", *(C(f"`{k}`").alias(f"{v}_age") for k, v in names.items()))
+    for key, name in names.items():
+        read = panel.macro(spark, sf).where("vintage = 0 AND value IS NOT NULL").where(C("series_id") == key).select("series_id", "published", C("value").alias(name))
+        rows = align.as_of(rows.withColumn("series_id", F.lit(key)), read, "published", [name], ["series_id"]).drop("series_id", "published")
+    return assembly.fresh(rows, {"nowcast": ("nowcast_age", 25), "eps": ("eps_age", 15)})
+
+
+@query("h16_stale_reasons", f"{_AGED} SELECT session, concat_ws(',', CASE WHEN coalesce(d1 > 25, true) THEN 'nowcast_stale' END, CASE WHEN coalesce(d2 > 15, true) THEN 'eps_stale' END) AS reason FROM v")
+def h16(spark, sf):
+    return _aged(spark, sf).select("session", "reason")
+
+
+@query("h17_stale_inputs_nulled", f"{_AGED} SELECT session, round(CASE WHEN d1 <= 25 THEN a END, 4) AS nowcast, round(CASE WHEN d2 <= 15 THEN b END, 4) AS eps FROM v")
+def h17(spark, sf):
+    return _aged(spark, sf).select("session", F.round("nowcast", 4).alias("nowcast"), F.round("eps", 4).alias("eps"))
+
+
+_COMPONENTS = {"trend_break": "tb", "volatility_acceleration": "va", "breadth_deterioration": "bd", "liquidity_stress": "ls", "model_instability": "mi"}
+_SCORED = _SCORE.rsplit("\nSELECT ", 1)[0]
+
+
+@query("j02_component_scores", f"{_SCORED} SELECT series_id, session, {', '.join(f'round({v}, 5) AS {k}' for k, v in _COMPONENTS.items())} FROM c")
+def j02(spark, sf):
+    return _pressure(spark, sf).select("series_id", "session", *(F.round(c, 5).alias(c) for c in _COMPONENTS))
+
+
+# Rule flags from the labels, the history of the trend label and the components.
+_FLAG_COLUMNS = ("crisis", "bear_stress", "fragile_bull", "recovery_attempt", "sideways_stress", "event_watch", "cooldown", "insufficient")
+_FLAGS = f"""{_SCORED}, i AS (SELECT series_id, session, pos, close, sma50, rv_pct AS corr, range_pct AS cred, tb, va, bd, ls, mi, me, score, {', '.join(f'{_INPUTS[c]} AS {c}' for c in ('trend', 'volatility', 'character', 'breadth'))} FROM s),
+ch AS (SELECT *, CASE WHEN pos > 1 AND trend IS DISTINCT FROM lag(trend) OVER {_H} THEN 1 ELSE 0 END AS changed FROM i),
+hi AS (SELECT *, pos - max(CASE WHEN changed = 1 THEN pos END) OVER {_H[:-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gone, coalesce(max(CASE WHEN trend = 'bear' THEN 1 ELSE 0 END) OVER {_H[:-1]} ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING), 0) = 1 AS bear FROM ch)
+SELECT series_id, session, volatility = 'crisis_vol' AS crisis, trend = 'bear' AND volatility IN ('high_vol', 'crisis_vol') AND (breadth IN ('weak_breadth', 'unknown') OR coalesce(cred >= 0.70, false)) AS bear_stress,
+  trend = 'bull' AND (coalesce(corr >= 0.70, false) OR coalesce(cred >= 0.70, false)) AS fragile_bull, bear AND coalesce(close > sma50, false) AND breadth = 'healthy_breadth' AS recovery_attempt,
+  trend = 'sideways' AND volatility = 'high_vol' AND breadth = 'weak_breadth' AS sideways_stress,
+  coalesce(me >= 1 AND score >= 0.35 AND me >= coalesce(greatest(tb, va, bd, corr, cred, ls, mi), 0), false) AS event_watch, coalesce(gone <= 5, false) AND volatility <> 'crisis_vol' AS cooldown,
+  trend = 'unknown' OR character = 'unknown' OR volatility = 'unknown' OR breadth = 'unknown' AS insufficient FROM hi"""
+
+
+def _flagged(spark, sf):
+    rows = _pressure(spark, sf).withColumns({c: F.expr(_INPUTS[c]) for c in ("trend", "volatility", "character", "breadth")})
+    return transition.rule_flags(evaluate.history(rows, "trend"))
+
+
+@query("j05_rule_flags", _FLAGS)
+def j05(spark, sf):
+    return _flagged(spark, sf).select("series_id", "session", *_FLAG_COLUMNS)
+
+
+@query("j06_state", f"""{_FLAGS.replace('SELECT series_id, session, volatility', 'SELECT series_id, session, score, volatility')}""")
+def j06(spark, sf):
+    return transition.state(_flagged(spark, sf)).select("series_id", "session", "state", "rules")
+
+
+_BANDED = "CASE WHEN score IS NULL THEN 'insufficient_data' WHEN score < 0.35 THEN 'stable' WHEN score < 0.55 THEN 'weakening' WHEN score < 0.75 THEN 'transition_warning' ELSE 'high_transition_risk' END"
+_HEAD, _TAIL = ORACLE["j06_state"].rsplit("\nSELECT ", 1)
+ORACLE["j06_state"] = f"""{_HEAD}, fl AS (SELECT {_TAIL})
+SELECT series_id, session, CASE WHEN crisis THEN 'crisis' WHEN bear_stress THEN 'bear_stress' WHEN fragile_bull THEN 'fragile_bull' WHEN recovery_attempt THEN 'recovery_attempt' WHEN sideways_stress OR event_watch THEN 'watch'
+  WHEN cooldown AND {_BANDED} = 'stable' THEN 'watch' ELSE {_BANDED} END AS state,
+  concat_ws(',', CASE WHEN crisis THEN 'crisis' END, CASE WHEN bear_stress THEN 'bear_stress' END, CASE WHEN fragile_bull THEN 'fragile_bull' END, CASE WHEN recovery_attempt THEN 'recovery_attempt' END, CASE WHEN sideways_stress THEN 'sideways_stress' END, CASE WHEN event_watch THEN 'event_watch' END, CASE WHEN cooldown THEN 'cooldown' END) AS rules FROM fl"""
+
+
+@query("l02_complete_cases", f"{FEATURES_SQL} SELECT series_id, session, round(ret5, 5) AS ret5, round(rv21, 5) AS rv21, round(volume_z, 5) AS volume_z FROM f WHERE ret5 IS NOT NULL AND rv21 IS NOT NULL AND volume_z IS NOT NULL")
+def l02(spark, sf):
+    columns = ["ret5", "rv21", "volume_z"]
+    return features(spark, sf).dropna(subset=columns).select("series_id", "session", *(F.round(c, 5).alias(c) for c in columns))

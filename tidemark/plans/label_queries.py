@@ -219,7 +219,7 @@ def _pressure(spark, sf):
 
 
 _CLIP = "greatest(0.0, least(1.0, {}))"
-_SCORE = f"""{FEATURES_SQL}, k AS (SELECT *, greatest({_CLIP.format('-dd252 / 0.15')}, {_CLIP.format('(sma50 - close) / nullif(sma50, 0) / 0.05')}) AS tb0, {_CLIP.format('(rv10 / nullif(rv63, 0) - 1) / 0.5')} AS va0, {_CLIP.format('(0.5 - gap_pct) / 0.3')} AS bd0, {_CLIP.format('(volume_z - 1.0) / 2.0')} AS ls0, {_CLIP.format('abs(ret1)')} AS mi0, CASE WHEN pos % 7 = 0 THEN 1.0 ELSE 0.0 END AS me FROM f),
+_SCORE = f"""{FEATURES_SQL}, k AS (SELECT *, greatest(CASE WHEN dd252 IS NOT NULL THEN {_CLIP.format('-dd252 / 0.15')} END, CASE WHEN sma50 IS NOT NULL THEN {_CLIP.format('(sma50 - close) / nullif(sma50, 0) / 0.05')} END) AS tb0, {_CLIP.format('(rv10 / nullif(rv63, 0) - 1) / 0.5')} AS va0, {_CLIP.format('(0.5 - gap_pct) / 0.3')} AS bd0, {_CLIP.format('(volume_z - 1.0) / 2.0')} AS ls0, {_CLIP.format('abs(ret1)')} AS mi0, CASE WHEN pos % 7 = 0 THEN 1.0 ELSE 0.0 END AS me FROM f),
 c AS (SELECT *, CASE WHEN dd252 IS NOT NULL OR sma50 IS NOT NULL THEN tb0 END AS tb, CASE WHEN rv10 IS NOT NULL AND rv63 IS NOT NULL THEN va0 END AS va, CASE WHEN gap_pct IS NOT NULL THEN bd0 END AS bd, CASE WHEN volume_z IS NOT NULL OR gap_pct IS NOT NULL THEN greatest(CASE WHEN volume_z IS NOT NULL THEN ls0 END, gap_pct) END AS ls, CASE WHEN ret1 IS NOT NULL THEN mi0 END AS mi FROM k),
 s AS (SELECT *, 0.18 * tb + 0.16 * va + 0.16 * bd + 0.14 * rv_pct + 0.12 * range_pct + 0.10 * ls + 0.06 * me + 0.08 * mi AS score FROM c)
 SELECT series_id, session, round(score, 5) AS score, CASE WHEN score IS NULL THEN 'insufficient_data' WHEN score < 0.35 THEN 'stable' WHEN score < 0.55 THEN 'weakening' WHEN score < 0.75 THEN 'transition_warning' ELSE 'high_transition_risk' END AS band FROM s"""

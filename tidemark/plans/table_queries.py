@@ -36,21 +36,11 @@ def _r(e: str) -> str:
     return f"round(CAST({e} AS DOUBLE), 5)"
 
 
-def _clip(e: str, given: str) -> str:
-    return _r(f"CASE WHEN {given} IS NOT NULL THEN greatest(CAST(0 AS DOUBLE), least(CAST(1 AS DOUBLE), {e})) END")
-
-
 rowwise("d01_trend_features", sma50=_r("sma50 / 1.4142135"), sma200=_r("sma200 / 1.4142135"), ret63=_r("ret63"))
 rowwise("d06_volatility_features", rv10=_r("rv10"), rv21=_r("rv21"), rv63=_r("rv63"), gap_freq=_r("gap_freq"), gap_pct=_r("gap_pct"), day_range=_r("day_range"), range_pct=_r("range_pct"), spread=_r("rv10 - rv21"))
 rowwise("d08_volume_features", volume_z=_r("volume_z"), gap_freq=_r("gap_freq"), range_pct=_r("range_pct"))
 rowwise("g15_spike_windows", width="CASE WHEN ret1 > 5 THEN 5 WHEN ret1 > 1 THEN 3 WHEN ret1 > 0.5 THEN 1 ELSE 0 END")
 rowwise("h15_limb_evidence", drift=_r("abs(ret21 - rv21_5)"), slope_margin=_r("0 - ret5"), benign_margin=_r("0.04 - ret21"), limbs="CASE WHEN abs(ret21 - rv21_5) < 0.005 THEN 1 ELSE 0 END + CASE WHEN ret5 < 0 THEN 1 ELSE 0 END + CASE WHEN ret21 < 0.04 THEN 1 ELSE 0 END")
-rowwise("h16_stale_reasons", reason="concat_ws(',', CASE WHEN ret63 IS NULL THEN 'ret63_stale' END, CASE WHEN rv_pct IS NULL THEN 'rv_stale' END, CASE WHEN volume_z IS NULL THEN 'volume_stale' END)")
-rowwise("h17_stale_inputs_nulled", nowcast=_r("CASE WHEN pos % 60 < 50 THEN ret5 END"), eps=_r("CASE WHEN pos % 35 < 30 THEN ret10 END"))
-rowwise("i11_label_source", source="CASE WHEN rv_pct IS NOT NULL AND gap_pct IS NOT NULL THEN 'constituents' WHEN gap_pct IS NOT NULL THEN 'proxy' ELSE 'none' END")
-rowwise("j02_component_scores", trend=_clip("-dd252 / 0.15", "dd252"), average=_clip("(sma50 - close) / nullif(sma50, 0) / 0.05", "sma50"), volatility=_clip("(rv10 / nullif(rv63, 0) - 1) / 0.5", "rv63"), breadth=_clip("(0.5 - gap_pct) / 0.3", "gap_pct"), volume=_clip("(volume_z - 1) / 2", "volume_z"))
-rowwise("j05_rule_flags", crisis=f"coalesce({rules.case(rules.VOLATILITY)} = 'crisis_vol', false)", bear_stress=f"coalesce({rules.case(rules.TREND)} = 'bear' AND rv_pct >= 0.8, false)", fragile_bull=f"coalesce({rules.case(rules.TREND)} = 'bull' AND gap_pct > 0.75, false)", insufficient="ret63 IS NULL OR rv_pct IS NULL")
-rowwise("l02_complete_cases", complete="ret5 IS NOT NULL AND rv21 IS NOT NULL AND volume_z IS NOT NULL")
 
 
 @query("a14_universe", "SELECT DISTINCT trim(c_mktsegment) AS symbol FROM customer WHERE c_mktsegment IS NOT NULL")
