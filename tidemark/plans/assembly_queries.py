@@ -119,7 +119,7 @@ _RESPONSE = f"""{FEATURES_SQL.replace(ctes('bars'), ctes('bars', 'cal'))}, i AS
 k AS (SELECT *, state = 'insufficient_data' OR trend = 'unknown' OR character = 'unknown' OR volatility = 'unknown' OR breadth = 'unknown' AS u, character = 'chop' AND volatility <> 'crisis_vol' AS chop,
   trend = 'bull' AND character IN ('trending', 'transition') AND volatility IN ('low_vol', 'normal_vol') AND breadth = 'healthy_breadth' AS healthy FROM i),
 r AS (SELECT series_id, session,
-  CASE WHEN u THEN 0.75 WHEN state = 'crisis' THEN 0.25 WHEN state IN ('bear_stress', 'watch', 'high_transition_risk', 'fragile_bull') THEN 0.5 WHEN chop THEN 0.75 WHEN state = 'recovery_attempt' THEN 0.5 WHEN state IN ('weakening', 'transition_warning') THEN 0.75 ELSE 1.0 END AS size,
+  CASE WHEN u THEN 0.75 WHEN state = 'crisis' THEN 0.25 WHEN state IN ('bear_stress', 'watch', 'high_transition_risk', 'fragile_bull') THEN 0.5 WHEN chop THEN 0.75 WHEN state = 'recovery_attempt' THEN 0.5 WHEN state IN ('weakening', 'transition_warning') THEN 0.75 ELSE 1.0 END :: DOUBLE AS size,
   u OR NOT chop AS trend_following, true AS mean_reversion, NOT u AND state NOT IN ('recovery_attempt', 'high_transition_risk', 'bear_stress', 'crisis') AS leverage,
   u OR state NOT IN ('fragile_bull', 'high_transition_risk', 'bear_stress', 'crisis') AS buy_dip, u OR state <> 'watch' AS breakout, true AS shorts,
   u OR state IN ('fragile_bull', 'weakening', 'transition_warning', 'high_transition_risk', 'watch') AS confirm_longs, u OR state = 'bear_stress' AS confirm_shorts, u AS review,
