@@ -30,7 +30,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 ONE = (1,)
 #: Bytes of text taken at a time, distinct words and pairs of pieces kept per task before a cache starts anew.
-CHUNK_BYTES, CACHE_WORDS, CACHE_PAIRS = 500_000, 150_000, 150_000
+CHUNK_BYTES, CACHE_WORDS, CACHE_PAIRS = 500_000, 120_000, 150_000
 
 
 class Codec:
