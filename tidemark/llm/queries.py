@@ -11,6 +11,7 @@ from .ngram_jaccard import op1_ngram_jaccard
 from .pii import op3_pii
 from .quality import op5_quality
 from .sentencepiece_codec import op6_sentencepiece
+from .spelling import OP11_SQL, op11_spelling
 from .toxicity import op7_toxicity
 
 QUERIES = {
@@ -24,7 +25,9 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_language_id": op8_language_id,
+    "op11_spelling": op11_spelling,
 }
 ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
+    "op11_spelling": OP11_SQL,
 }
