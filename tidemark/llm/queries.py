@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .alignment import op12_alignment
 from .decontamination import op4_decontamination
 from .language_id import op8_language_id
 from .licenses import op9_license_scan
 from .line_dedup import OP2_SQL, op2_line_dedup
+from .lm_scoring import op13_lm_scoring
 from .neighbours import op10_nearest
 from .ngram_jaccard import op1_ngram_jaccard
 from .pii import op3_pii
@@ -26,6 +28,8 @@ QUERIES = {
     "op6_sentencepiece": op6_sentencepiece,
     "op8_language_id": op8_language_id,
     "op11_spelling": op11_spelling,
+    "op12_alignment": op12_alignment,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
