@@ -157,7 +157,7 @@ def encoded(docs: DataFrame, known: Statistics, learned: str, text: str = "text"
                 unit = np.where(hit, k.units[at] if len(k.units) else 0, k.first_class + t.classes)
                 logs = np.where(hit, log_of[at] if len(log_of) else 0.0, 0.0)
                 classed = unit >= k.first_class
-                sums = [np.bincount(text_of, x, n) for x in (hit, logs, logs * classed, np.where(classed, k.class_log[np.maximum(unit - k.first_class, 0)], 0.0))]
+                sums = [np.bincount(text_of, x, n).astype(float) for x in (hit, logs, logs * classed, np.where(classed, k.class_log[np.maximum(unit - k.first_class, 0)], 0.0))]
                 raw, cuts = unit.astype("<u2").tobytes(), (2 * t.bounds).tolist()
                 units = [raw[a:b] + b"\0\0" for a, b in zip(cuts, cuts[1:])]
                 rest, rest_of = t.hashes[~hit], text_of[~hit]
