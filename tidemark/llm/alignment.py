@@ -6,33 +6,37 @@ the row of B^T that it points at, summed up) have an entry for each two tokens t
 and the number of bytes as its value. Bytes at which tokens of both end cut the tokens into
 groups; with the tokens' group incidence in place of bytes the product links tokens of one group.
 
-Where a letter is followed by a blank and a letter (all ASCII) neither tokenizer has a token that
-runs across, and the tokens of both sides do not depend on each other. Texts are cut there; each
-distinct part of a batch is encoded and multiplied once, all parts as one block-diagonal matrix.
+Before a blank between a character and a letter, and between a letter and punctuation that no piece
+of the model has after one, neither tokenizer has a token that runs across, and the tokens of both
+sides do not depend on each other. Texts are cut there; each distinct part of a task's texts is
+encoded and multiplied once, all new parts of a chunk as one block-diagonal matrix.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .heads import HEAD, arrays, head_sums, heaviest, joined_sums, stored
+from .heads import HEAD, arrays, head_sums, heaviest, joined_sums, stored, with_sums
 from .tables import extended, shared, table, written
 from .word_hashes import chunks, give_back
 
 BYTE_MODEL, PIECE_MODEL = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Between these parts of a text no token runs across.
-PARTS = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
-#: Bytes of text taken at a time; distinct parts kept per task before the cache starts anew, and characters of the longest kept.
-CHUNK_BYTES, CACHE_PARTS, CACHE_CHARS = 500_000, 150_000, 64
+#: Letters of Latin scripts, and texts whose characters both libraries of the byte-level model class alike.
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN = re.compile(f"[ -~{LATIN}]*")
+#: Bytes of text taken at a time; distinct parts, and links of them, kept per task before the cache starts anew.
+CHUNK_BYTES, CACHE_PARTS, CACHE_LINKS = 500_000, 200_000, 4_000_000
 #: Entries that a product expands at a time.
 BLOCK = 2_000_000
 
@@ -83,8 +87,12 @@ class Csr:
             source = np.arange(len(entry)) - np.repeat(np.cumsum(w) - w, w) + np.repeat(other.indptr[self.indices[at]], w)
             key = row_of[at][entry] * max(1, other.columns) + other.indices[source]
             value = self.data[at][entry] * other.data[source]
-            key, inverse = np.unique(key, return_inverse=True)
-            yield key // max(1, other.columns), key % max(1, other.columns), np.bincount(inverse, value, len(key)).astype(np.int64)
+            if len(key) and (key[1:] < key[:-1]).any():
+                order = np.argsort(key, kind="stable")
+                key, value = key[order], value[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+            key = key[first]
+            yield key // max(1, other.columns), key % max(1, other.columns), np.add.reduceat(value, first) if len(first) else value
             begin = end
 
     def times(self, other: Csr) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,8 +119,11 @@ class Aligned:
 
 def align_tokens(a_ids: np.ndarray, a_ends: np.ndarray, b_ids: np.ndarray, b_ends: np.ndarray) -> Aligned:
     """Alignment of two sequences of tokens by the bytes at which they end."""
-    both = np.intersect1d(a_ends, b_ends)
-    group_a, group_b = np.searchsorted(both, a_ends), np.searchsorted(both, b_ends)
+    ends = np.zeros((2, int(max([0, *a_ends[-1:], *b_ends[-1:]])) + 1), bool)
+    ends[0, a_ends], ends[1, b_ends] = True, True
+    cut = ends.all(0)
+    both, group = np.flatnonzero(cut), np.cumsum(cut)
+    group_a, group_b = group[a_ends - 1], group[b_ends - 1]  # cuts before a token's last byte
     links = Csr.intervals(a_ends).times(Csr.intervals(b_ends).transposed())
     # In a group's row of the product of counts stands how many pairs of its tokens share it.
     of_a, of_b = Csr.single(group_a, len(both)).transposed(), Csr.single(group_b, len(both)).transposed()
@@ -167,11 +178,37 @@ class Encoders:
             raise ValueError("only models whose pieces have blanks at the front alone are supported")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
         self.sizes = np.array([len(x) for x in self.a_bytes]), np.array([len(x) for x in self.b_bytes])
+        self.names = [str(i) for i in range(max(n, m))]
+        after = {b for p in pieces for a, b in zip(p, p[1:]) if re.match(f"[{LATIN}]", a)}
+        seams = "".join(re.escape(c) for c in map(chr, range(33, 127)) if not c.isalnum() and c not in after) if len(self.b.encode("a")) == 1 else ""
+        self.parts = re.compile(f"(?<=[!-~{LATIN}])(?= [{LATIN}])" + (f"|(?<=[{LATIN}])(?=[{seams}])" if seams else ""))
+        self.ranks = self._ranks(json.loads(files.byte_model)["model"])
+
+    def _ranks(self, model: dict):
+        """An encoder by ranks of the same vocabulary, several times as fast; none if ids are not in the order of the merges."""
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        vocabulary = {self.a_bytes[i]: i for entry, i in model["vocab"].items()}
+        single = sorted(i for b, i in vocabulary.items() if len(b) == 1)
+        if len(single) != 256 or [model["vocab"].get(x + y) for x, y in merges] != list(range(256, 256 + len(merges))) or single != list(range(256)) or len(vocabulary) != 256 + len(merges):
+            return None
+        import tiktoken
+
+        pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=vocabulary, special_tokens={})
+
+    def split(self, text: str | None) -> list[str]:
+        """The parts of a blank and the text; none without text."""
+        return self.parts.split(" " + text) if text else []
 
     def __call__(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both for parts that begin with a blank; B adds that blank itself."""
+        """Ids of both for parts of texts. B adds a blank itself; where a part has none, it follows a letter, which is one piece."""
         encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        return [x.ids for x in encode(parts, add_special_tokens=False)], self.b.encode([p[1:] for p in parts], num_threads=1)
+        plain = [self.ranks is not None and PLAIN.fullmatch(p) is not None for p in parts]
+        rest = iter([x.ids for x in encode([p for p, ok in zip(parts, plain) if not ok], add_special_tokens=False)])
+        ordinary = self.ranks.encode_ordinary if self.ranks else None
+        a = [ordinary(p) if ok else next(rest) for p, ok in zip(parts, plain)]
+        b = self.b.encode([p[1:] if p[0] == " " else "a" + p for p in parts], num_threads=1)
+        return a, [ids if p[0] == " " else ids[1:] for p, ids in zip(parts, b)]
 
 
 #: Columns that align() can add: how each is made from a text's parts, and its type.
@@ -181,83 +218,119 @@ OUTPUTS = {
 }
 
 
-@dataclass
-class Part:
-    """A distinct part of a text: its alignment, packed."""
-
-    a_ids: bytes
-    b_ids: bytes
-    groups: str
-    pairs: bytes
-    links: bytes
-    n_groups: int
-    n_group_links: int
-
+def ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices of all ranges one after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
 
-def _ids(ids: np.ndarray, begin: int, end: int) -> str:
-    return ",".join(map(str, ids[begin:end].tolist()))
 
+class Parts:
+    """Distinct parts of texts with their alignments, in arrays by the number of the part.
 
-def aligned_parts(parts: list[str], encoders: Encoders) -> Iterator[Part | None]:
-    """The alignment of each part, all parts being multiplied together; None where a tokenizer does not keep the bytes.
-
-    A pair of ids is the number a * (size of B's vocabulary) + b; links hold A token, B token, bytes for each link, from the part's first.
+    Of a part: its tokens of A and of B, links (A token, B token, bytes; tokens from its first), the pair of each link as
+    a * (size of B's vocabulary) + b, groups and pairs of tokens in one group as numbers, and the groups as text. `good` says
+    whether both tokenizers keep its bytes; other parts have nothing.
     """
-    lists_a, lists_b = encoders(parts)
-    good = [b"".join([encoders.a_bytes[i] for i in a]) == (raw := p.encode()) == b"".join([encoders.b_bytes[i] for i in b]) for p, a, b in zip(parts, lists_a, lists_b)]
-    kept_a, kept_b = [a for a, ok in zip(lists_a, good) if ok], [b for b, ok in zip(lists_b, good) if ok]
-    a_ids, b_ids = (np.fromiter((i for x in kept for i in x), np.int64) for kept in (kept_a, kept_b))
-    al = align_tokens(a_ids, np.cumsum(encoders.sizes[0][a_ids]), b_ids, np.cumsum(encoders.sizes[1][b_ids]))
-    first_a, first_b = (np.cumsum([0, *map(len, kept)]) for kept in (kept_a, kept_b))
-    n = len(al.shared)
-    end_a, end_b = (np.searchsorted(g, np.arange(n), "right") for g in (al.group_a, al.group_b))
-    begin_a, begin_b = np.concatenate([[0], end_a[:-1]]), np.concatenate([[0], end_b[:-1]])
-    texts = [f"{_ids(a_ids, i, j)}|{_ids(b_ids, k, m)}" for i, j, k, m in zip(begin_a.tolist(), end_a.tolist(), begin_b.tolist(), end_b.tolist())]
-    first_group = np.searchsorted(end_a, first_a, "right")
-    link_a, link_b, size = al.links
-    first_link = np.searchsorted(link_a, first_a)
-    pairs = (a_ids[link_a] * len(encoders.b_bytes) + b_ids[link_b]).astype(np.int64)
-    totals = np.concatenate([[0], np.cumsum(al.shared)])
-    k = 0
-    for ok in good:
-        if not ok:
-            yield None
-            continue
-        g, h, x, y = first_group[k], first_group[k + 1], first_link[k], first_link[k + 1]
-        links = np.stack([link_a[x:y] - first_a[k], link_b[x:y] - first_b[k], size[x:y]], 1).astype(np.int32)
-        yield Part(a_ids[first_a[k] : first_a[k + 1]].astype(np.int32).tobytes(), b_ids[first_b[k] : first_b[k + 1]].astype(np.int32).tobytes(), ";".join(texts[g:h]), pairs[x:y].tobytes(), links.tobytes(), int(h - g), int(totals[h] - totals[g]))
-        k += 1
-
-
-def _lists(values: list[np.ndarray], kind: type) -> pa.ListArray:
-    offsets = np.cumsum([0, *map(len, values)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, kind), *values])))
-
-
-def _link_lists(texts: list[list[Part]]) -> pa.ListArray:
-    """The links of each text, tokens numbered from its first."""
-    rows = []
-    for parts in texts:
-        a = b = 0
-        found = [np.zeros((0, 3), np.int32)]
-        for p in parts:
-            found.append(np.frombuffer(p.links, np.int32).reshape(-1, 3) + np.array([a, b, 0], np.int32))
-            a, b = a + len(p.a_ids) // 4, b + len(p.b_ids) // 4
-        rows.append(np.concatenate(found))
-    flat = np.concatenate([np.zeros((0, 3), np.int32), *rows])
-    of = pa.StructArray.from_arrays([pa.array(flat[:, k]) for k in range(3)], ["a", "b", "bytes"])
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)], dtype=np.int32)), of)
-
-
-def _column(name: str, texts: list[list[Part]]) -> pa.Array:
-    if name in ("n_a", "n_b", "n_links"):
-        field, width = {"n_a": ("a_ids", 4), "n_b": ("b_ids", 4), "n_links": ("pairs", 8)}[name]
-        return pa.array([sum([len(getattr(p, field)) for p in parts]) // width for parts in texts], pa.int64())
-    if name in ("n_groups", "n_group_links"):
-        return pa.array([sum([getattr(p, name) for p in parts]) for parts in texts], pa.int64())
-    if name in ("a_ids", "b_ids"):
-        return _lists([np.frombuffer(b"".join([getattr(p, name) for p in parts]), np.int32) for parts in texts], np.int32)
-    return pa.array([";".join([p.groups for p in parts]) for parts in texts], pa.string())
+
+    COUNTS = ("n_a", "n_b", "n_links", "n_groups", "n_group_links")
+
+    def __init__(self, encoders: Encoders) -> None:
+        self.encoders = encoders
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.texts: list[str] = []
+        self.counts = np.zeros((5, 0), np.int64)
+        self.good = np.zeros(0, bool)
+        self.a_ids, self.b_ids, self.links, self.pairs = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros((0, 3), np.int32), np.zeros(0, np.int64)
+        self.begins = np.zeros((3, 0), np.int64)
+
+    def full(self) -> bool:
+        return len(self.known) > CACHE_PARTS or len(self.pairs) > CACHE_LINKS
+
+    def add(self, parts: list[str]) -> None:
+        """Encodes new parts and multiplies them all together, as one block-diagonal matrix."""
+        lists = self.encoders(parts)
+        sizes, names = self.encoders.sizes, (self.encoders.a_bytes, self.encoders.b_bytes)
+        want = [p.encode() for p in parts]
+        flat = [np.fromiter(chain.from_iterable(ids), np.int64) for ids in lists]
+        n = np.array([list(map(len, ids)) for ids in lists], np.int64).reshape(2, len(parts))
+        good = np.ones(len(parts), bool)
+        for ids, own, count, size in zip(flat, names, n, sizes):
+            ends = np.concatenate([[0], np.cumsum(size[ids])])[np.cumsum(count)]
+            if b"".join([own[i] for i in ids.tolist()]) != b"".join(want) or (ends != np.cumsum([len(w) for w in want])).any():
+                cuts = np.cumsum([0, *count]).tolist()
+                good &= np.array([b"".join([own[i] for i in ids[x:y].tolist()]) == w for x, y, w in zip(cuts, cuts[1:], want)])
+        flat = [ids[np.repeat(good, count)] for ids, count in zip(flat, n)]
+        n = n * good
+        al = align_tokens(flat[0], np.cumsum(sizes[0][flat[0]]), flat[1], np.cumsum(sizes[1][flat[1]]))
+        first_a, first_b = np.cumsum(n[0]) - n[0], np.cumsum(n[1]) - n[1]
+        part_of = np.repeat(np.arange(len(parts)), n[0])
+        link_a, link_b, size = al.links
+        link_part = part_of[link_a]
+        n_links = np.bincount(link_part, minlength=len(parts))
+        ends = [np.searchsorted(g, np.arange(len(al.shared)), "right") for g in (al.group_a, al.group_b)]
+        group_part = part_of[ends[0] - 1]
+        n_groups = np.bincount(group_part, minlength=len(parts))
+        self.texts += self._texts(flat, ends, n_groups)
+        before = len(self.known)
+        self.known.update(zip(parts, range(before, before + len(parts))))
+        self.begins = np.concatenate([self.begins, np.stack([first_a + len(self.a_ids), first_b + len(self.b_ids), np.cumsum(n_links) - n_links + len(self.pairs)])], 1)
+        self.counts = np.concatenate([self.counts, np.stack([n[0], n[1], n_links, n_groups, np.bincount(group_part, al.shared, len(parts)).astype(np.int64)])], 1)
+        self.good = np.concatenate([self.good, good])
+        self.a_ids, self.b_ids = np.concatenate([self.a_ids, flat[0].astype(np.int32)]), np.concatenate([self.b_ids, flat[1].astype(np.int32)])
+        self.links = np.concatenate([self.links, np.stack([link_a - first_a[link_part], link_b - first_b[link_part], size], 1).astype(np.int32)])
+        self.pairs = np.concatenate([self.pairs, flat[0][link_a] * len(names[1]) + flat[1][link_b]])
+
+    def _texts(self, flat: list[np.ndarray], ends: list[np.ndarray], n_groups: np.ndarray) -> list[str]:
+        """The groups of each part as text."""
+        a, b = (list(map(self.encoders.names.__getitem__, ids.tolist())) for ids in flat)
+        groups, i, k = [], 0, 0
+        for j, m in zip(ends[0].tolist(), ends[1].tolist()):
+            groups.append(f"{a[i]}|{b[k]}" if j == i + 1 and m == k + 1 else f"{','.join(a[i:j])}|{','.join(b[k:m])}")
+            i, k = j, m
+        cuts = np.cumsum([0, *n_groups]).tolist()
+        return [groups[x] if y == x + 1 else ";".join(groups[x:y]) for x, y in zip(cuts, cuts[1:])]
+
+    def columns(self, split: list[list[str]], outputs: tuple[str, ...]) -> list[pa.Array]:
+        """The columns `outputs` of texts given as lists of parts that are known."""
+        ids = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64)
+        text_of = np.repeat(np.arange(len(split)), [len(x) for x in split])
+        bad = np.zeros(len(split), bool)
+        bad[text_of[~self.good[ids]]] = True
+        keep = ~bad[text_of]
+        ids, text_of = ids[keep], text_of[keep]
+        made: dict[str, pa.Array] = {}
+        for name, counts in zip(self.COUNTS, self.counts):
+            if name in outputs:
+                made[name] = pa.array(np.bincount(text_of, counts[ids], len(split)).astype(np.int64))
+        if "groups" in outputs:
+            texts, cuts = self.texts, np.searchsorted(text_of, np.arange(len(split) + 1)).tolist()
+            each = ids.tolist()
+            made["groups"] = pa.array([";".join([texts[i] for i in each[x:y]]) for x, y in zip(cuts, cuts[1:])], pa.string())
+        for name, values, row in (("a_ids", self.a_ids, 0), ("b_ids", self.b_ids, 1)):
+            if name in outputs:
+                made[name] = _lists(values[ranges(self.begins[row][ids], self.counts[row][ids])], np.bincount(text_of, self.counts[row][ids], len(split)))
+        if {"pairs", "times", "links"} & set(outputs):
+            sizes = self.counts[2][ids]
+            at, of = ranges(self.begins[2][ids], sizes), np.repeat(text_of, sizes)
+            if "links" in outputs:  # tokens are numbered on from part to part
+                first = [self.counts[row][ids] for row in (0, 1)]
+                shift = [np.cumsum(f) - f for f in first]
+                shift = [x - x[np.searchsorted(text_of, text_of)] for x in shift] if len(ids) else shift
+                links = self.links[at] + np.stack([np.repeat(shift[0], sizes), np.repeat(shift[1], sizes), np.zeros(len(at), np.int64)], 1)
+                made["links"] = _lists(pa.StructArray.from_arrays([pa.array(links[:, c].astype(np.int32)) for c in range(3)], ["a", "b", "bytes"]), np.bincount(of, minlength=len(split)))
+            order = np.lexsort([self.pairs[at], of])
+            pair, of = self.pairs[at][order], of[order]
+            new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (of[1:] != of[:-1])])[: len(pair)])
+            per_text = np.bincount(of[new], minlength=len(split))
+            made["pairs"], made["times"] = _lists(pair[new], per_text), _lists(np.diff([*new, len(pair)]).astype(np.int32), per_text)
+        return [made[name] for name in outputs]
+
+
+def _lists(values: np.ndarray | pa.Array, sizes: np.ndarray) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values if isinstance(values, pa.Array) else pa.array(values))
 
 
 def align(docs: DataFrame, files: Files, outputs: tuple[str, ...] = ("n_a", "n_b", "n_groups", "n_links", "groups", "links"), text: str = "text") -> DataFrame:
@@ -274,25 +347,16 @@ def align(docs: DataFrame, files: Files, outputs: tuple[str, ...] = ("n_a", "n_b
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders, known = Encoders(held()), {}
+        known = Parts(Encoders(held()))
         for batch in batches:
             for first, part in chunks(batch.column(1), CHUNK_BYTES):
-                split = [PARTS.split(" " + t) if t else [] for t in part.to_pylist()]
-                if len(known) > CACHE_PARTS:
+                split = list(map(known.encoders.split, part.to_pylist()))
+                if known.full():
                     known.clear()
-                new = list(set().union(*split) - known.keys())
-                now = dict(zip(new, aligned_parts(new, encoders))) if new else {}
-                texts = [[now[p] if p in now else known[p] for p in parts] for parts in split]
-                texts = [[] if None in parts else parts for parts in texts]
-                known.update((p, x) for p, x in now.items() if len(p) <= CACHE_CHARS)
-                columns = {name: _column(name, texts) for name in outputs if name not in ("pairs", "times", "links")}
-                if "pairs" in outputs or "times" in outputs:
-                    both = [np.unique(np.frombuffer(b"".join([p.pairs for p in parts]), np.int64), return_counts=True) for parts in texts]
-                    columns |= {"pairs": _lists([x for x, _ in both], np.int64), "times": _lists([n.astype(np.int32) for _, n in both], np.int32)}
-                if "links" in outputs:
-                    columns["links"] = _link_lists(texts)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), *(columns[c] for c in outputs)], names=["row", *outputs])
-        del encoders, known
+                if new := list(set().union(*split) - known.known.keys()):
+                    known.add(new)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), *known.columns(split, outputs)], names=["row", *outputs])
+        del known
         give_back()
 
     return rows.mapInArrow(run, extended(rows.select("row"), ", ".join(f"{c} {OUTPUTS[c]}" for c in outputs)))
@@ -317,7 +381,8 @@ def scored(aligned: DataFrame, counts: DataFrame, limit: int = HEAD) -> DataFram
     """
     head = arrays(heaviest(counts, "n", limit), "pair", "n", "best")
     names = ["_head_n", "_head_best"]
-    out = joined_sums(head_sums(aligned, "pairs", "times", head, names), "row_id", "pairs", "times", counts, "pair", {"_tail_n": F.col("n"), "_tail_best": F.col("best")})
+    found = head_sums(aligned, "pairs", "times", head, names)
+    out = with_sums(found.drop("pairs", "times"), joined_sums(found, "row_id", "pairs", "times", counts, "pair", {"_tail_n": F.col("n"), "_tail_best": F.col("best")}), "row_id")
     return out.withColumns({"n_best": F.col("_head_best") + F.col("_tail_best"), "count_sum": F.col("_head_n") + F.col("_tail_n")}).drop(*names, "_tail_n", "_tail_best")
 
 

@@ -61,16 +61,19 @@ def found_at(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
 
 
 def joined_sums(rows: DataFrame, row: str, keys: str, times: str, stats: DataFrame, key: str, values: dict[str, Column]) -> DataFrame:
-    """`rows` without the array columns `keys` and `times`, with one more column for each of `values`:
-    the sum over a row's keys of times x value, the value from the row of `stats` with that key.
+    """(row, values) for the rows with any of the array `keys`: for each of `values` the sum over the keys of times x value,
+    the value from the row of `stats` with that key.
 
-    `row` numbers the rows; a value sees nulls where `stats` lacks the key; rows without keys get 0.
+    `row` numbers the rows (stored, as they are read apart); a value sees nulls where `stats` lacks the key.
     """
-    each = rows.where(F.size(keys) > 0).select(F.col(row).alias("_row"), F.explode(F.arrays_zip(F.col(keys).alias("k"), F.col(times).alias("t"))).alias("e"))
-    each = each.select("_row", F.col("e.k").alias(key), F.col("e.t").alias("_times"))
-    sums = each.join(stats, key, "left").groupBy("_row").agg(*(F.sum(F.col("_times") * v).alias(f"_{name}") for name, v in values.items()))
-    out = rows.drop(keys, times).join(sums, rows[row] == sums["_row"], "left").drop("_row")
-    return out.select(*(c for c in rows.columns if c not in (keys, times)), *(F.coalesce(F.col(f"_{name}"), F.lit(0)).alias(name) for name in values))
+    each = rows.where(F.size(keys) > 0).select(row, F.explode(F.arrays_zip(F.col(keys).alias("k"), F.col(times).alias("t"))).alias("e"))
+    each = each.select(row, F.col("e.k").alias(key), F.col("e.t").alias("_times"))
+    return each.join(stats, key, "left").groupBy(row).agg(*(F.sum(F.col("_times") * v).alias(name) for name, v in values.items()))
+
+
+def with_sums(rows: DataFrame, sums: DataFrame, row: str) -> DataFrame:
+    """`rows` with the columns of `sums`, 0 where it lacks the row."""
+    return rows.join(sums, row, "left").na.fill(0, [c for c in sums.columns if c != row])
 
 
 def head_sums(rows: DataFrame, keys: str, times: str, head: list[np.ndarray], names: list[str]) -> DataFrame:
