@@ -43,23 +43,6 @@ def test_wilder_seeds_differ():
     assert folds.wilder([None, 2.0], 1, True) == [None, 2.0]
 
 
-def test_likelihood_never_falls_and_states_are_found():
-    rng = np.random.default_rng(0)
-    x = np.concatenate([rng.normal(-3, 1, (150, 2)), rng.normal(3, 1, (150, 2))])
-    short, long = models.mixture(x, 2, 1, 3)[0], models.mixture(x, 2, 1, 40)[0]
-    assert long >= short - 1e-9
-    _, start, moves, means, variances = models.markov(x, 2, 1)
-    states = models.filtered(x, start, moves, means, variances).argmax(1)
-    assert len(set(states[:140])) == 1 and len(set(states[160:])) == 1 and states[0] != states[-1]
-
-
-def test_filtered_states_read_nothing_later():
-    rng = np.random.default_rng(1)
-    x = rng.normal(size=(60, 2))
-    p = (np.array([0.5, 0.5]), np.full((2, 2), 0.5), np.array([[-1.0, 0], [1.0, 0]]), np.ones((2, 2)))
-    assert np.allclose(models.filtered(x, *p)[:40], models.filtered(x[:40], *p))
-
-
 def test_change_point_rises_after_a_jump():
     rng = np.random.default_rng(2)
     m = models.ChangePoint()
@@ -68,11 +51,6 @@ def test_change_point_rises_after_a_jump():
     assert after > 0.9 > before + 0.3
 
 
-def test_matched_order():
-    a = np.array([[0.0, 0], [5.0, 5]])
-    assert models.matched(a, a[::-1]) == (1, 0)
-
-
 def test_stream_equals_batch(spark, sf):
     from tidemark.plans import label_queries, model_queries
 

@@ -43,9 +43,13 @@ def test_query_matches_sql(spark, sf, duck, name):
     assert got == sorted(repr([plain(r[i]) for i in order]) for r in result.fetchall())
 
 
+#: Correlations need 20 members, of which the smallest tables have ten: these have no rows there, and are counted on the next size.
+LARGER = {"l04_mixture_evidence", "l05_markov_evidence", "l07_parameter_drift", "l09_label_map", "l10_top_state"}
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE)))
 def test_query_has_rows(spark, sf, name):
-    assert registry.QUERIES[name](spark, sf).count() > 0
+    assert registry.QUERIES[name](spark, "/root/testdata/sf0.01" if name in LARGER else sf).count() > 0
 
 
 def test_entry(spark):

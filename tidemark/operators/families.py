@@ -56,6 +56,76 @@ def concordance(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull() & b.isNotNull(), (F.sign(a) * F.sign(b)).cast("int"))
 
 
+#: Windows of the trend tables.
+ER, HURST, SLOPE, SHORT, LONG, DRAWDOWN = 20, 250, 20, 50, 200, 252
+
+
+def trend_features(bars: DataFrame, sentiment: DataFrame, news: DataFrame) -> DataFrame:
+    """Trend direction of each series and session: efficiency ratio, Hurst exponent, averages with their slopes, returns, drawdown,
+    volatility, and the sentiment and news scores (session, score) of the session with the concordance of their signs.
+    """
+    close = F.col("close")
+    rows = bars.withColumns({"ret1": R.period_return(close, 1), "step": F.abs(close - R.lag(close, 1))})
+    rows = rows.withColumns({"sma50": R.sma(close, SHORT), "sma200": R.sma(close, LONG)})
+    rows = rows.withColumns({
+        "er20": R.efficiency_ratio(close, F.col("step"), ER), "slope_sma50": R.relative_slope(F.col("sma50"), SLOPE), "slope_sma200": R.relative_slope(F.col("sma200"), SLOPE),
+        "ret63": R.period_return(close, 63), "ret126": R.period_return(close, 126), "dd252": R.drawdown(close, DRAWDOWN), "rv21": R.realized_vol(F.col("ret1"), 21),
+    })
+    rows = rows.join(hurst(bars, HURST).select("series_id", "session", F.col("hurst").alias("hurst250")), ["series_id", "session"], "left")
+    for name, scores in (("sentiment", sentiment), ("news", news)):
+        rows = rows.join(scores.select("session", F.col("score").alias(name)), "session", "left")
+    rows = rows.withColumn("sentiment_concordance", concordance(F.col("sentiment"), F.col("news")))
+    names = ("er20", "hurst250", "slope_sma50", "slope_sma200", "ret63", "ret126", "dd252", "sma50", "sma200", "rv21", "sentiment", "news", "sentiment_concordance")
+    return rows.select("series_id", "session", "pos", *names)
+
+
+def character_features(bars: DataFrame) -> DataFrame:
+    """What the rules of trend character read: average, returns, drawdown from the 63-session high, directional index, midpoint excursion,
+    breakout, whether bands widen and volume is above its average, and the follow-through of breakouts (`follow`)."""
+    from tidemark.operators.folds import adx
+
+    close, key = F.col("close"), ["series_id", "session"]
+    rows = bars.withColumn("width", R.band_width(close, 20))
+    rows = rows.withColumns({
+        "sma50": R.sma(close, 50), "ret10": R.period_return(close, 10), "ret21": R.period_return(close, 21), "ret63": R.period_return(close, 63), "dd63": close / R.full(F.max("close"), close, 63) - 1,
+        "midpoint": R.midpoint_excursion(close, F.col("high"), F.col("low"), 20), "breakout": R.breakout(close).cast("int"), "widening": (F.col("width") > R.lag(F.col("width"), 5)).cast("int"),
+        "heavy": R.above_average_before(F.col("volume"), 20).cast("int"),
+    })
+    out = rows.join(adx(bars).select(*key, "adx"), key).join(follow_through(bars).select(*key, F.col("rate").alias("follow")), key, "left")
+    return out.select(*key, "pos", "close", "sma50", "ret10", "ret21", "ret63", "dd63", "adx", "midpoint", "breakout", "widening", "heavy", "follow")
+
+
+def spike_window(components: str) -> Column:
+    """Sessions before and after a spike as a struct, by its components: those that lasted have a wider window."""
+    has = lambda name: F.coalesce(F.array_contains(components, name), F.lit(False))
+    window = lambda a, b: F.struct(F.lit(a).alias("before"), F.lit(b).alias("after"))
+    return F.when(has("persistent_30d"), window(-2, 5)).when(has("persistent_7d"), window(-1, 3)).otherwise(window(0, 0))
+
+
+def spike_components(readings: DataFrame, column: str = "value", k: float = 2.0) -> DataFrame:
+    """(series_id, session, pos, components): 'spike' where a value is above its mean and k deviations of the 60 before, persistent_7d and
+    persistent_30d where the means over 7 and 30 are above those of the 60 values before them."""
+    x, before = F.col(column), R.full(F.avg(column), F.col(column), 60, 1)
+    spike = R.spike(x, 60, k)
+    long = {n: F.coalesce(R.full(F.avg(column), x, n) > R.full(F.avg(column), x, 60, n), F.lit(False)) for n in (7, 30)}
+    rows = readings.withColumns({"_spike": spike, "_7": spike & long[7], "_30": spike & long[30], "_before": before})
+    parts = F.array_compact(F.array(F.when(F.col("_spike"), F.lit("spike")), F.when(F.col("_7"), F.lit("persistent_7d")), F.when(F.col("_30"), F.lit("persistent_30d"))))
+    return rows.select("series_id", "session", "pos", parts.alias("components"))
+
+
+#: Drift of the six-month change that counts as none, and the change below which inflation is benign.
+DRIFT, BENIGN = 0.005, 0.04
+
+
+def limb_evidence(rows: DataFrame, change: str = "change6", lag: str = "change6_lag", slope: str = "change6_slope") -> DataFrame:
+    """Adds the margins of the three ways in which inflation may be benign (drift, slope, level), null where an input is, and `limbs`, how many hold."""
+    c = F.col
+    margins = {"drift_margin": DRIFT - F.abs(c(change) - c(lag)), "slope_margin": 0.0 - c(slope), "benign_margin": BENIGN - c(change)}
+    out = rows.withColumns(margins)
+    holds = [F.coalesce(F.col(m) >= 0 if m != "benign_margin" else F.col(m) > 0, F.lit(False)).cast("int") for m in margins]
+    return out.withColumn("limbs", holds[0] + holds[1] + holds[2])
+
+
 def proxy_breadth(market: DataFrame, equal: DataFrame, sma: int = 50, back: int = 20, high: int = 63, least: int = 50) -> DataFrame:
     """Ratio of two series with its average and return, and the distance of the market from its high."""
     both = market.select("series_id", "session", "close").join(equal.select("session", F.col("close").alias("other")), "session").withColumn("ratio", F.col("close") / F.col("other"))

@@ -1,12 +1,7 @@
-"""Walk-forward model evidence: fits fan out over (series, checkpoint, seed) as tasks.
-
-A fit sees the `window` sessions before its checkpoint only, and scores the sessions up to the next one.
-"""
+"""Walk-forward checkpoints with their training rows, and online change points; the model fits are in walkforward."""
 
 from __future__ import annotations
 
-from itertools import permutations
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,128 +31,16 @@ def standardised(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.withColumns({c: make(c) for c in columns})
 
 
-def _log_densities(x: np.ndarray, means: np.ndarray, variances: np.ndarray) -> np.ndarray:
-    return -0.5 * (np.log(2 * np.pi * variances).sum(1) + ((x[:, None, :] - means) ** 2 / variances).sum(2))
-
-
-def _log_sum(a: np.ndarray, axis: int) -> np.ndarray:
-    top = a.max(axis, keepdims=True)
-    return (top + np.log(np.exp(a - top).sum(axis, keepdims=True))).squeeze(axis)
-
-
-def mixture(x: np.ndarray, k: int, seed: int, rounds: int = 60) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-    """A diagonal Gaussian mixture by expectation-maximisation: (log-likelihood, weights, means, variances)."""
-    rng = np.random.default_rng(seed)
-    means, variances, weights = x[rng.choice(len(x), k, replace=False)], np.tile(x.var(0) + 1e-3, (k, 1)), np.full(k, 1 / k)
-    before = -np.inf
-    for _ in range(rounds):
-        logs = _log_densities(x, means, variances) + np.log(weights)
-        total = _log_sum(logs, 1)
-        r = np.exp(logs - total[:, None])
-        n = r.sum(0) + 1e-9
-        weights, means = n / n.sum(), (r.T @ x) / n[:, None]
-        variances = (r.T @ (x * x)) / n[:, None] - means**2 + 1e-3
-        if total.sum() - before < 1e-4:
-            break
-        before = total.sum()
-    return float(total.sum()), weights, means, np.maximum(variances, 1e-6)
-
-
-def markov(x: np.ndarray, k: int, seed: int, rounds: int = 40) -> tuple[float, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A Gaussian hidden Markov model by Baum and Welch: (log-likelihood, start, moves, means, variances)."""
-    _, start, means, variances = mixture(x, k, seed, 10)
-    moves = np.full((k, k), 0.1 / max(1, k - 1)) + np.eye(k) * (0.9 - 0.1 / max(1, k - 1))
-    before = -np.inf
-    for _ in range(rounds):
-        logs = _log_densities(x, means, variances)
-        ahead, back = np.zeros_like(logs), np.zeros_like(logs)
-        ahead[0] = np.log(start + 1e-12) + logs[0]
-        log_moves = np.log(moves + 1e-12)
-        for t in range(1, len(x)):
-            ahead[t] = _log_sum(ahead[t - 1][:, None] + log_moves, 0) + logs[t]
-        for t in range(len(x) - 2, -1, -1):
-            back[t] = _log_sum(log_moves + (logs[t + 1] + back[t + 1])[None], 1)
-        likelihood = float(_log_sum(ahead[-1][None], 1)[0])
-        g = np.exp(ahead + back - _log_sum(ahead + back, 1)[:, None])
-        pairs = np.exp(ahead[:-1, :, None] + log_moves[None] + (logs[1:] + back[1:])[:, None, :] - likelihood).sum(0)
-        start, moves = g[0] / g[0].sum(), pairs / pairs.sum(1, keepdims=True)
-        n = g.sum(0) + 1e-9
-        means = (g.T @ x) / n[:, None]
-        variances = np.maximum((g.T @ (x * x)) / n[:, None] - means**2 + 1e-3, 1e-6)
-        if likelihood - before < 1e-3:
-            break
-        before = likelihood
-    return likelihood, start, moves, means, variances
-
-
-def filtered(x: np.ndarray, start, moves, means, variances) -> np.ndarray:
-    """Forward probabilities of the states: what is known at each row, nothing after it."""
-    logs = _log_densities(x, means, variances)
-    out, state = [], np.log(start + 1e-12)
-    for t, row in enumerate(logs):
-        state = (_log_sum(state[:, None] + np.log(moves + 1e-12), 0) if t else state) + row
-        state = state - _log_sum(state[None], 1)[0]
-        out.append(np.exp(state))
-    return np.array(out)
-
-
-FITTED = "series_id string, checkpoint long, seed long, likelihood double, means array<double>, session array<date>, pos array<long>, top array<int>, probability array<double>, distance array<double>"
-
-
-def fits(rows: DataFrame, columns: list[str], k: int, seeds: list[int], hidden: bool) -> DataFrame:
-    """One row for each (series, checkpoint, seed), then the likeliest seed of each, states in the order of their first mean."""
-
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("pos")
-        seed, train = int(df["seed"].iloc[0]), df[df["part"] == "train"]
-        x, every = train[columns].to_numpy(float), df[columns].to_numpy(float)
-        scored = (df["part"] == "score").to_numpy()
-        if len(x) < 5 * k or not scored.any():
-            return pd.DataFrame(columns=["series_id", "checkpoint", "seed", "likelihood", "means", "session", "pos", "top", "probability", "distance"])
-        if hidden:
-            likelihood, start, moves, means, variances = markov(x, k, seed)
-            posterior = filtered(every, start, moves, means, variances)
-        else:
-            likelihood, weights, means, variances = mixture(x, k, seed)
-            logs = _log_densities(every, means, variances) + np.log(weights + 1e-12)
-            posterior = np.exp(logs - _log_sum(logs, 1)[:, None])
-        order = np.argsort(means[:, 0], kind="stable")
-        posterior, means, variances = posterior[scored][:, order], means[order], variances[order]
-        top = posterior.argmax(1)
-        distance = np.sqrt((((every[scored] - means[top]) ** 2) / variances[top]).sum(1))
-        one = {"series_id": df["series_id"].iloc[0], "checkpoint": int(df["checkpoint"].iloc[0]), "seed": seed, "likelihood": likelihood, "means": means.ravel().tolist(), "session": df["session"][scored].tolist(), "pos": df["pos"][scored].tolist(), "top": top.tolist(), "probability": posterior.max(1).tolist(), "distance": distance.tolist()}
-        return pd.DataFrame([one])
-
-    spread = rows.na.drop(subset=columns).withColumn("seed", F.explode(F.array(*(F.lit(s).cast("long") for s in seeds))))
-    tried = spread.groupBy("series_id", "checkpoint", "seed").applyInPandas(run, FITTED)
-    best = tried.groupBy("series_id", "checkpoint").agg(F.max_by(F.struct("seed", "likelihood", "means", "session", "pos", "top", "probability", "distance"), F.struct("likelihood", -F.col("seed"))).alias("b"))
-    return best.select("series_id", "checkpoint", "b.*")
-
-
-def evidence(fitted: DataFrame) -> DataFrame:
-    """A row for each scored session: state, its probability and distance."""
-    z = F.explode(F.arrays_zip("session", "pos", "top", "probability", "distance")).alias("z")
-    return fitted.select("series_id", "checkpoint", z).select("series_id", "checkpoint", "z.*")
-
-
-def drift(fitted: DataFrame, alert: float = 1.0) -> DataFrame:
-    """The largest change of any mean since the checkpoint before, and whether it is above `alert`."""
-    before = F.lag("means").over(Window.partitionBy("series_id").orderBy("checkpoint"))
-    return fitted.withColumn("drift", F.array_max(F.zip_with("means", before, lambda a, b: F.abs(a - b)))).select("series_id", "checkpoint", "drift", (F.col("drift") > alert).alias("alert"))
-
-
-def matched(before: np.ndarray, after: np.ndarray) -> tuple[int, ...]:
-    """The order of `after` with the least total distance to `before`; for the few states of a model all orders are tried."""
-    cost = np.sqrt(((before[:, None] - after[None]) ** 2).sum(2))
-    return min(permutations(range(len(after))), key=lambda p: sum(cost[i, j] for i, j in enumerate(p)))
+#: The prior of a run's mean (mean, kappa) and precision (alpha, beta), and the hazard.
+PRIOR, HAZARD = (0.0, 1.0, 0.1, 0.01), 1 / 250
 
 
 class ChangePoint:
-    """Online change-point posterior: run lengths up to `longest`, constant hazard, Student-t predictive."""
+    """Online change-point posterior: run lengths up to `longest`, constant hazard, Student-t predictive; prior: mean, kappa, alpha, beta."""
 
-    def __init__(self, hazard: float = 1 / 250, longest: int = 300, recent: int = 21, state: tuple | None = None) -> None:
-        self.hazard, self.longest, self.recent = hazard, longest, recent
-        self.p, self.mean, self.kappa, self.alpha, self.beta = (np.array(v, float) for v in state) if state else (np.ones(1), np.zeros(1), np.ones(1), np.ones(1), np.ones(1))
+    def __init__(self, hazard: float = HAZARD, longest: int = 300, recent: int = 21, state: tuple | None = None, prior: tuple = PRIOR) -> None:
+        self.hazard, self.longest, self.recent, self.prior = hazard, longest, recent, prior
+        self.p, self.mean, self.kappa, self.alpha, self.beta = (np.array(v, float) for v in state) if state else (np.array([float(v)]) for v in (1, *prior))
 
     @property
     def state(self) -> tuple:
@@ -172,10 +55,10 @@ class ChangePoint:
         density = np.exp(gammas - 0.5 * np.log(2 * np.pi * self.alpha * scale) - (self.alpha + 0.5) * np.log1p((x - self.mean) ** 2 / (2 * self.alpha * scale)))
         joint = self.p * density
         p = np.concatenate([[joint.sum() * self.hazard], joint * (1 - self.hazard)])[: self.longest]
-        mean = np.concatenate([[0.0], (self.kappa * self.mean + x) / (self.kappa + 1)])[: self.longest]
-        beta = np.concatenate([[1.0], self.beta + self.kappa * (x - self.mean) ** 2 / (2 * (self.kappa + 1))])[: self.longest]
-        self.kappa = np.concatenate([[1.0], self.kappa + 1])[: self.longest]
-        self.alpha = np.concatenate([[1.0], self.alpha + 0.5])[: self.longest]
+        mean = np.concatenate([[self.prior[0]], (self.kappa * self.mean + x) / (self.kappa + 1)])[: self.longest]
+        beta = np.concatenate([[self.prior[3]], self.beta + self.kappa * (x - self.mean) ** 2 / (2 * (self.kappa + 1))])[: self.longest]
+        self.kappa = np.concatenate([[self.prior[1]], self.kappa + 1])[: self.longest]
+        self.alpha = np.concatenate([[self.prior[2]], self.alpha + 0.5])[: self.longest]
         self.p, self.mean, self.beta = p / p.sum(), mean, beta
         return float(self.p[1 : self.recent + 1].sum())
 

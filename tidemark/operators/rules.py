@@ -120,12 +120,27 @@ INFLATION = [
     ("macro_neutral", "cpi_slope IS NOT NULL AND pmi IS NOT NULL AND ret21 IS NOT NULL"),
     ("unknown", "true"),
 ]
-#: Risk ranks and days before a label is left, for hysteresis.
+#: Risk ranks and days before a label is left, for hysteresis; labels that are not named leave at once.
 RANKS = {
-    "trend": {"bear": 3, "transition": 2, "unknown": 2, "sideways": 1, "bull": 0},
-    "volatility": {"crisis_vol": 4, "high_vol": 3, "unknown": 2, "normal_vol": 1, "low_vol": 0},
+    "trend": {"bull": 0, "sideways": 1, "recovery": 1, "transition": 2, "unknown": 2, "bear": 3, "euphoria": 4},
+    "character": {"trending": 0, "breakout_expansion": 0, "mild_trend": 0, "recovery_attempt": 1, "range_bound": 1, "chop": 1, "volatile_chop": 1, "transition": 2, "unknown": 2},
+    "volatility": {"low_vol": 0, "normal_vol": 1, "high_vol": 2, "unknown": 2, "rising_vol": 2, "crisis_vol": 3, "vol_crush": 3},
+    "breadth": {"breadth_thrust": 0, "healthy_breadth": 0, "broadening_breadth": 0, "neutral_breadth": 1, "recovery_breadth": 1, "weak_breadth": 2, "narrowing_breadth": 2, "unknown": 2, "divergent_fragile": 3},
+    "network": {"diversified_normal": 0, "decorrelated_calm": 0, "stock_picker_dispersion": 1, "rotation_watch": 1, "rising_fragility": 2, "correlation_concentration": 2, "unknown": 2, "correlation_to_one": 3, "systemic_stress_unconfirmed": 3, "systemic_stress": 3},
+    "volume": {"normal_volume": 0, "unknown": 1, "liquidity_gap_behavior": 2, "panic_volume": 3},
+    "monetary": {"neutral_monetary": 0, "easing_pressure": 1, "unknown": 1, "tightening_pressure": 2, "rate_shock": 3},
+    "credit": {"credit_calm": 0, "credit_recovery": 0, "credit_divergence": 1, "unknown": 1, "spread_widening": 1, "credit_stress": 2, "funding_squeeze": 3, "deleveraging": 4},
+}
+LEAVE = {
+    "trend": {"bear": 5, "transition": 3, "recovery": 3, "sideways": 2, "euphoria": 3},
+    "character": {"breakout_expansion": 3, "recovery_attempt": 3, "range_bound": 3, "transition": 2},
+    "volatility": {"crisis_vol": 5, "vol_crush": 3, "high_vol": 3, "rising_vol": 2},
+    "breadth": {"divergent_fragile": 5, "weak_breadth": 3, "narrowing_breadth": 3, "neutral_breadth": 2, "recovery_breadth": 2, "breadth_thrust": 2},
+    "network": {"rising_fragility": 3, "correlation_concentration": 3, "correlation_to_one": 5, "systemic_stress_unconfirmed": 5, "systemic_stress": 5},
+    "volume": {"panic_volume": 2, "liquidity_gap_behavior": 2},
+    "monetary": {"rate_shock": 5, "tightening_pressure": 3, "easing_pressure": 2},
+    "credit": {"deleveraging": 5, "funding_squeeze": 5, "credit_stress": 3, "spread_widening": 3},
 }
-LEAVE = {"trend": {"bear": 5, "transition": 3, "sideways": 2}, "volatility": {"crisis_vol": 5, "high_vol": 3}}
 
 
 def case(ladder: list[tuple[str, str]], otherwise: str = "NULL") -> str:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import align, breadth, contracts
-from tidemark.sources import panel
+from tidemark.plans.folders import shared_folder
+from tidemark.sources import panel, readers
 from tidemark.sources.panel import ctes, table
 
 QUERIES, ORACLE = {}, {}
@@ -143,6 +146,30 @@ def a09(spark, sf):
     return contracts.inventory_mismatch(contracts.inventory(bars.where("volume > 40")), contracts.inventory(bars))
 
 
+def _tree(spark, sf) -> str:
+    """The members' bars as a tree of one folder for each series, in the shared folder."""
+    path = f"{shared_folder(spark)}/bars-{uuid.uuid4().hex}"
+    readers.write_bars(panel.bars_member(spark, sf), path)
+    return path
+
+
+@query("a02_partitioned_read", f"""{ctes('members', 'membership')} SELECT series_id, count(*) AS rows, min(session) AS first, max(session) AS last, round(sum(close), 4) AS closes FROM members WHERE series_id IN (SELECT series_id FROM membership WHERE start <= DATE '1995-06-01') GROUP BY 1""")
+def a02(spark, sf):
+    """Bars of the series that belonged to the universe on a day, read from the tree: their names prune its folders as the query runs."""
+    wanted = panel.membership(spark, sf).where("start <= DATE '1995-06-01'").select("series_id")
+    bars = readers.read_members(spark, _tree(spark, sf), wanted)
+    return bars.groupBy("series_id").agg(F.count("*").alias("rows"), F.min("session").alias("first"), F.max("session").alias("last"), F.round(F.sum("close"), 4).alias("closes"))
+
+
+@query("a01_csv_round_trip", f"{ctes('members')} SELECT series_id, session, open, high, low, close, volume FROM members WHERE volume > 10")
+def a01(spark, sf):
+    """Bars written as CSV with empty cells and NaN, and read back typed."""
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    bars = panel.bars_member(spark, sf)
+    bars.withColumn("open", F.when(F.col("volume") > 10, F.col("open")).otherwise(F.lit(float("nan")))).write.option("header", "true").csv(path)
+    return readers.read_table(spark, path, "csv", readers.BARS).where("open IS NOT NULL")
+
+
 @query("a11_inventory", f"{ctes('members')} SELECT series_id, count(*) AS rows, min(session) AS first, max(session) AS last FROM members GROUP BY 1")
 def a11(spark, sf):
     return contracts.inventory(panel.bars_member(spark, sf))

@@ -37,8 +37,12 @@ f AS (SELECT *, CASE WHEN n1 = 252 THEN {_PCT.format(x='rv21')} END AS rv_pct, C
 
 
 def features(spark, sf):
-    """The anchor panel's features in two window passes over one partitioning by series."""
-    bars = panel.bars_anchor(spark, sf)
+    """The anchor panel's features."""
+    return features_of(panel.bars_anchor(spark, sf))
+
+
+def features_of(bars):
+    """Features of a panel of bars with pos, in two window passes over one partitioning by series."""
     close = C("close")
     out = bars.withColumns({"ret1": R.period_return(close, 1), "day_range": (C("high") - C("low")) / close, "gap": F.abs(C("open") / F.nullif(R.lag(close, 1), F.lit(0.0)) - 1), "tr": R.true_range(C("high"), C("low"), close)})
     out = out.withColumns({f"ret{n}": R.period_return(close, n) for n in (5, 10, 21, 63, 126)} | {"sma50": R.sma(close, 50), "sma200": R.sma(close, 200), "dd252": R.drawdown(close, 252)} | {f"rv{n}": R.realized_vol(C("ret1"), n) for n in (10, 21, 63)} | {"volume_z": R.zscore(C("volume"), 20), "gap_freq": R.gap_frequency(C("gap"), 20, 0.5), "atr_ratio": R.sma(C("tr"), 14) / F.nullif(R.sma(C("tr"), 50), F.lit(0.0)), "sentiment": 50 * R.sma(F.signum("ret1"), 40)})
@@ -46,6 +50,9 @@ def features(spark, sf):
     return out.withColumns({"vix_pct": R.percentile_max_rank(C("rv10"), 252), "iv_change": C("ret5")})
 
 
+#: The same over the market panel.
+MARKET_SQL = FEATURES_SQL.replace(ctes("bars"), ctes("market")).replace("AS tr FROM bars)", "AS tr FROM market)")
+
 _SHOWN = ("ret63", "sma50", "dd252", "rv21", "rv_pct", "volume_z", "gap_pct", "range_pct")
 
 

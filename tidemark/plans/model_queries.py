@@ -67,21 +67,6 @@ def l03(spark, sf):
     return _rows(spark, sf).select("series_id", "session", "checkpoint", "part", F.round("ret5", 5).alias("value"))
 
 
-@query("l04_mixture_evidence")
-def l04(spark, sf):
-    return models.evidence(models.fits(_rows(spark, sf), _INPUTS, 3, [42], False)).select("series_id", "session", "checkpoint", "top", F.round("probability", 4).alias("probability"), F.round("distance", 4).alias("distance"))
-
-
-@query("l05_markov_evidence")
-def l05(spark, sf):
-    return models.evidence(models.fits(_rows(spark, sf), _INPUTS, 2, [42, 101], True)).select("series_id", "session", "checkpoint", "top", F.round("probability", 4).alias("probability"))
-
-
-@query("l07_parameter_drift")
-def l07(spark, sf):
-    return models.drift(models.fits(_rows(spark, sf), _INPUTS, 3, [42], False)).withColumn("drift", F.round("drift", 4))
-
-
 @query("l08_change_points")
 def l08(spark, sf):
     rows = features(spark, sf).select("series_id", "session", "pos", F.log1p(F.abs("ret1")).alias("x"))
@@ -120,19 +105,29 @@ def k05(spark, sf):
     return strategy.effective(rows.select("session", "cohort"), _families(spark, sf, rows), None)
 
 
-def _stream(spark, df):
-    """`df` as a stream: written to the shared folder once and read from there, so that it grows with the table."""
+def _stream(spark, df, order: str | None = None, parts: int = 4):
+    """`df` as a stream: written to the shared folder once and read from there, so that it grows with the table.
+
+    With `order` it comes in `parts` batches, cut at quantiles of that column and written one after the other.
+    """
     from tidemark.plans.folders import shared_folder
 
     path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.readStream.schema(df.schema).parquet(path)
-
-
-def _ran(stream, mode="append"):
+    if order is None:
+        df.write.parquet(path)
+        return spark.readStream.schema(df.schema).parquet(path)
+    seconds = F.unix_micros(order) if dict(df.dtypes)[order] == "timestamp" else C(order)
+    cuts = df.select(F.percentile_approx(seconds, [k / parts for k in range(1, parts)])).first()[0] or []
+    part = sum((F.when(seconds > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    for k in range(parts):
+        df.where(part == k).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _ran(stream, mode="append", keys=None):
     from tidemark.plans.folders import shared_folder
 
-    return streams.run_available(stream, f"{shared_folder(stream.sparkSession)}/streamed-{uuid.uuid4().hex}", mode)
+    return streams.run_available(stream, f"{shared_folder(stream.sparkSession)}/streamed-{uuid.uuid4().hex}", mode, keys)
 
 
 def _events(spark, sf):
@@ -141,7 +136,7 @@ def _events(spark, sf):
 
 @query("p01_session_bars", "SELECT event_type AS series_id, CAST(ts AS DATE) AS session, arg_min(value, row(ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, row(ts, event_id)) AS close, count(*) AS volume FROM events GROUP BY 1, 2")
 def p01(spark, sf):
-    return _ran(streams.session_bars(_stream(spark, _events(spark, sf))), "update")
+    return _ran(streams.session_bars(_stream(spark, _events(spark, sf), "ts")), "update", ["series_id", "session"])
 
 
 @query("p02_stream_hysteresis", label_queries.ORACLE["trend_axis"].replace("SELECT series_id, session, label, stable AS", "SELECT series_id, pos, label, stable AS"))
@@ -162,10 +157,16 @@ def p04(spark, sf):
     return _ran(streams.change_points(_stream(spark, rows))).withColumn("change_point", F.round("change_point", 6))
 
 
-@query("p05_stream_deduplicated", "SELECT user_id, event_type AS series_id FROM events GROUP BY 1, 2")
+@query("p05_stream_deduplicated", "SELECT user_id, event_type AS series_id, CAST(ts AS DATE) AS session FROM events GROUP BY 1, 2, 3")
 def p05(spark, sf):
-    rows = table(spark, sf, "events").select("user_id", C("event_type").alias("series_id"), C("ts").cast("timestamp").alias("ts"))
-    return _ran(streams.last_written(_stream(spark, rows), ["user_id", "series_id"], "10000 days")).select("user_id", "series_id")
+    rows = table(spark, sf, "events").select("user_id", C("event_type").alias("series_id"), F.to_date("ts").alias("session"), C("ts").cast("timestamp").alias("ts"))
+    return _ran(streams.last_written(_stream(spark, rows, "ts"), ["user_id", "series_id", "session"], "1 day")).select("user_id", "series_id", "session")
+
+
+@query("p05_corrected_bars", "SELECT event_type AS series_id, CAST(ts AS DATE) AS session, max(event_id) AS version, arg_max(value, event_id) AS value FROM events GROUP BY 1, 2")
+def p05_corrected(spark, sf):
+    rows = table(spark, sf, "events").select(C("event_type").alias("series_id"), F.to_date("ts").alias("session"), C("ts").cast("timestamp").alias("ts"), C("event_id").alias("version"), "value")
+    return streams.standing(_ran(streams.corrected(_stream(spark, rows, "ts"))))
 
 
 @query("p06_stream_publication_gate", f"{ctes('sessions', 'macro')}, m AS (SELECT series_id, published, value FROM macro WHERE vintage = 0 AND value IS NOT NULL), g AS (SELECT s.session, n.series_id FROM sessions s, (SELECT DISTINCT series_id FROM m) n) SELECT g.series_id, g.session, m.published, m.value FROM g ASOF LEFT JOIN m ON g.series_id = m.series_id AND g.session >= m.published")

@@ -1,4 +1,4 @@
-"""Queries of row-wise operators over the feature table, whose expressions read the same in both engines, and of small table jobs."""
+"""Queries of feature families and small table jobs, each with SQL written by hand where SQL can say it."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 from tidemark.functions import rolling as R
 from tidemark.operators import align, calendar, evaluate, families, folds, rules
 from tidemark.plans.label_queries import FEATURES_SQL, _labels, features, labels
-from tidemark.plans.rolling_queries import _frame, _full
+from tidemark.plans.rolling_queries import _frame, _full, _lag
 from tidemark.sources import panel, readers
 from tidemark.sources.panel import ctes, table
 
@@ -26,21 +26,82 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def rowwise(name: str, **columns: str) -> None:
-    """A query of expressions over the feature table; numbers are cast and rounded alike."""
-    ORACLE[name] = f"{FEATURES_SQL} SELECT series_id, session, {', '.join(f'{e} AS {c}' for c, e in columns.items())} FROM f"
-    QUERIES[name] = lambda spark, sf: features(spark, sf).select("series_id", "session", *(F.expr(e).alias(c) for c, e in columns.items()))
-
-
 def _r(e: str) -> str:
     return f"round(CAST({e} AS DOUBLE), 5)"
 
 
-rowwise("d01_trend_features", sma50=_r("sma50 / 1.4142135"), sma200=_r("sma200 / 1.4142135"), ret63=_r("ret63"))
-rowwise("d06_volatility_features", rv10=_r("rv10"), rv21=_r("rv21"), rv63=_r("rv63"), gap_freq=_r("gap_freq"), gap_pct=_r("gap_pct"), day_range=_r("day_range"), range_pct=_r("range_pct"), spread=_r("rv10 - rv21"))
-rowwise("d08_volume_features", volume_z=_r("volume_z"), gap_freq=_r("gap_freq"), range_pct=_r("range_pct"))
-rowwise("g15_spike_windows", width="CASE WHEN ret1 > 5 THEN 5 WHEN ret1 > 1 THEN 3 WHEN ret1 > 0.5 THEN 1 ELSE 0 END")
-rowwise("h15_limb_evidence", drift=_r("abs(ret21 - rv21_5)"), slope_margin=_r("0 - ret5"), benign_margin=_r("0.04 - ret21"), limbs="CASE WHEN abs(ret21 - rv21_5) < 0.005 THEN 1 ELSE 0 END + CASE WHEN ret5 < 0 THEN 1 ELSE 0 END + CASE WHEN ret21 < 0.04 THEN 1 ELSE 0 END")
+@query("d01_trend_features", f"{FEATURES_SQL} SELECT series_id, session, {_r('sma50')} AS sma50, {_r('sma200')} AS sma200, {_r('ret63')} AS ret63 FROM f")
+def d01(spark, sf):
+    bars, close = panel.bars_anchor(spark, sf), C("close")
+    return bars.select("series_id", "session", F.round(R.sma(close, 50), 5).alias("sma50"), F.round(R.sma(close, 200), 5).alias("sma200"), F.round(R.period_return(close, 63), 5).alias("ret63"))
+
+
+def _scores(spark, sf):
+    """Monthly order values over the mean of all of them, less one, as of each session: of one priority for sentiment, another for news."""
+    out = {}
+    for name, priority in (("sentiment", "1-URGENT"), ("news", "5-LOW")):
+        m = panel.macro(spark, sf).where((C("vintage") == 0) & (C("series_id") == priority)).select(F.lit("m").alias("series_id"), "published", "value")
+        s = align.as_of(panel.sessions(spark, sf).withColumn("series_id", F.lit("m")), m, "published", ["value"], ["series_id"])
+        out[name] = s.select("session", F.round(C("value") / 150000 - 1, 6).alias("score"))
+    return out["sentiment"], out["news"]
+
+
+_TREND2 = ("er20", "slope_sma50", "slope_sma200", "ret63", "ret126", "dd252", "sma50", "sma200", "rv21", "sentiment", "news")
+_AS_OF = "SELECT s.session, round(m.value / 150000 - 1, 6) AS score FROM sessions s ASOF LEFT JOIN (SELECT published, value FROM macro WHERE vintage = 0 AND series_id = '{}') m ON s.session >= m.published"
+
+
+@query("d02_trend_features", f"""{FEATURES_SQL.replace(ctes('bars'), ctes('bars', 'sessions', 'macro'))}, a AS ({_AS_OF.format('1-URGENT')}), b AS ({_AS_OF.format('5-LOW')}),
+p AS (SELECT *, abs(close - {_lag('close', 1)}) AS step, abs(close - {_lag('close', 20)}) AS net, (sma50 - {_lag('sma50', 20)}) / nullif({_lag('sma50', 20)}, 0) AS slope_sma50, (sma200 - {_lag('sma200', 20)}) / nullif({_lag('sma200', 20)}, 0) AS slope_sma200 FROM f),
+x AS (SELECT * EXCLUDE (sentiment), net / nullif({_full('sum(step)', 20, 'step')}, 0) AS er20 FROM p)
+SELECT series_id, x.session, {', '.join(f'{_r(c)} AS {c}' for c in _TREND2[:-2])}, {_r('a.score')} AS sentiment, {_r('b.score')} AS news, CAST(sign(a.score) * sign(b.score) AS INT) AS sentiment_concordance FROM x LEFT JOIN a ON x.session = a.session LEFT JOIN b ON x.session = b.session""")
+def d02(spark, sf):
+    out = families.trend_features(panel.bars_anchor(spark, sf), *_scores(spark, sf))
+    return out.select("series_id", "session", *(F.round(c, 5).alias(c) for c in _TREND2), "sentiment_concordance")
+
+
+_CHARACTER = ("sma50", "ret10", "ret21", "ret63", "dd63", "midpoint")
+
+
+@query("d04_character_features", f"""{FEATURES_SQL}, p AS (SELECT *, {_full('max(close)', 63, 'close')} AS top63, {_full('max(close)', 20, 'close')} AS top, {_full('min(close)', 20, 'close')} AS bottom, {_full('max(close)', 20, 'close', 1)} AS top20, {_full('max(close)', 50, 'close', 1)} AS top50, 4 * {_full('stddev_pop(close)', 20, 'close')} AS width, {_full('avg(volume)', 20, 'volume', 1)} AS volume20 FROM f)
+SELECT series_id, session, {', '.join(f'{_r(c)} AS {c}' for c in _CHARACTER[:4])}, {_r('close / top63 - 1')} AS dd63, {_r('(top - bottom) / nullif(top + bottom, 0)')} AS midpoint, CAST(coalesce(close > top20, false) OR coalesce(close > top50, false) AS INT) AS breakout, CAST(width > {_lag('width', 5)} AS INT) AS widening, CAST(volume > volume20 AS INT) AS heavy FROM p""")
+def d04(spark, sf):
+    out = families.character_features(panel.bars_anchor(spark, sf))
+    return out.select("series_id", "session", *(F.round(c, 5).alias(c) for c in _CHARACTER), "breakout", "widening", "heavy")
+
+
+_VOLATILITY = ("rv10", "rv21", "rv63", "gap_freq", "gap_pct", "day_range", "range_pct")
+
+
+@query("d06_volatility_features", f"{FEATURES_SQL} SELECT series_id, session, {', '.join(f'{_r(c)} AS {c}' for c in _VOLATILITY)}, {_r('rv10 - rv21')} AS spread FROM f")
+def d06(spark, sf):
+    """Realised volatilities, gaps and ranges with their percentiles, and the spread of the implied volatility's stand-in over the realised one."""
+    return features(spark, sf).select("series_id", "session", *(F.round(c, 5).alias(c) for c in _VOLATILITY), F.round(C("rv10") - C("rv21"), 5).alias("spread"))
+
+
+@query("d08_volume_features", f"{ctes('bars')} SELECT series_id, session, {_r('(volume - ' + _full('avg(volume)', 20, 'volume') + ') / nullif(' + _full('stddev_samp(volume)', 20, 'volume') + ', 0)')} AS volume_z FROM bars")
+def d08(spark, sf):
+    return panel.bars_anchor(spark, sf).select("series_id", "session", F.round(R.zscore(C("volume"), 20), 5).alias("volume_z"))
+
+
+@query("g15_spike_windows", f"""{ctes('bars')}, p AS (SELECT *, {_full('avg(volume)', 60, 'volume', 1)} + 2 * {_full('stddev_pop(volume)', 60, 'volume', 1)} AS most, {_full('avg(volume)', 7, 'volume')} AS m7, {_full('avg(volume)', 60, 'volume', 7)} AS b7, {_full('avg(volume)', 30, 'volume')} AS m30, {_full('avg(volume)', 60, 'volume', 30)} AS b30 FROM bars)
+SELECT series_id, session, CASE WHEN m30 > b30 THEN -2 WHEN m7 > b7 THEN -1 ELSE 0 END AS "before", CASE WHEN m30 > b30 THEN 5 WHEN m7 > b7 THEN 3 ELSE 0 END AS "after" FROM p WHERE volume > most""")
+def g15(spark, sf):
+    out = families.spike_components(panel.bars_anchor(spark, sf), "volume").where(F.size("components") > 0)
+    return out.select("series_id", "session", families.spike_window("components").alias("w")).select("series_id", "session", "w.before", "w.after")
+
+
+_CPI = "m AS (SELECT 'm' AS k, published, avg(value) AS v FROM macro WHERE vintage = 0 GROUP BY 1, 2), s AS (SELECT s.session, s.pos, m.v FROM sessions s ASOF LEFT JOIN m ON s.session >= m.published)"
+
+
+@query("h15_limb_evidence", f"""{ctes('sessions', 'macro')}, {_CPI}, c AS (SELECT session, pos, v / lag(v, 126) OVER (ORDER BY pos) - 1 AS change6 FROM s),
+x AS (SELECT *, lag(change6, 21) OVER (ORDER BY pos) AS lagged, CASE WHEN count(change6) OVER w = 21 THEN regr_slope(change6, pos) OVER w END AS slope FROM c WINDOW w AS (ORDER BY pos ROWS BETWEEN 20 PRECEDING AND CURRENT ROW))
+SELECT session, {_r('0.005 - abs(change6 - lagged)')} AS drift_margin, {_r('0 - slope')} AS slope_margin, {_r('0.04 - change6')} AS benign_margin,
+  CASE WHEN abs(change6 - lagged) <= 0.005 THEN 1 ELSE 0 END + CASE WHEN slope <= 0 THEN 1 ELSE 0 END + CASE WHEN change6 < 0.04 THEN 1 ELSE 0 END AS limbs FROM x""")
+def h15(spark, sf):
+    m = panel.macro(spark, sf).where("vintage = 0").groupBy("published").agg(F.avg("value").alias("v")).withColumn("series_id", F.lit("m"))
+    s = align.as_of(panel.sessions(spark, sf).withColumn("series_id", F.lit("m")), m, "published", ["v"], ["series_id"]).withColumn("change6", R.period_return(C("v"), 126))
+    s = s.withColumns({"change6_lag": R.lag(C("change6"), 21), "change6_slope": R.ols_slope(C("change6"), C("pos"), 21)})
+    return families.limb_evidence(s).select("session", *(F.round(c, 5).alias(c) for c in ("drift_margin", "slope_margin", "benign_margin")), "limbs")
 
 
 @query("a14_universe", "SELECT DISTINCT trim(c_mktsegment) AS symbol FROM customer WHERE c_mktsegment IS NOT NULL")
@@ -91,13 +152,7 @@ def c28(spark, sf):
 
 @query("h04_trend_character")
 def h04(spark, sf):
-    f = features(spark, sf)
-    rate = families.follow_through(panel.bars_anchor(spark, sf)).select("series_id", "session", C("rate").alias("follow"))
-    adx = folds.adx(panel.bars_anchor(spark, sf)).select("series_id", "session", "adx")
-    close = C("close")
-    f = f.withColumns({"dd63": close / F.max("close").over(R.last(63)) - 1, "breakout": R.breakout(close).cast("int"), "width": R.band_width(close, 20), "heavy": R.above_average_before(C("volume"), 20).cast("int"), "midpoint": R.midpoint_excursion(close, C("high"), C("low"), 20)})
-    f = f.withColumn("widening", (C("width") > R.lag(C("width"), 5)).cast("int")).join(adx, ["series_id", "session"]).join(rate, ["series_id", "session"], "left")
-    return rules.labelled(f, rules.CHARACTER).select("series_id", "session", "label")
+    return rules.labelled(families.character_features(panel.bars_anchor(spark, sf)), rules.CHARACTER).select("series_id", "session", "label")
 
 
 @query("d10_credit_features", f"""{FEATURES_SQL}, x AS (SELECT *, list(day_range) {_frame(60)} AS xs, ret21 - ret5 AS differential FROM f) SELECT series_id, session, {_r("CASE WHEN len(xs) = 60 THEN (len(list_filter(xs, lambda y: y < day_range)) + (len(list_filter(xs, lambda y: y = day_range)) + 1) / 2.0) / 60.0 END")} AS level_pct, {_r(_full('regr_slope(day_range, pos)', 21, 'day_range'))} AS slope, {_r('differential')} AS differential FROM x""")
@@ -107,9 +162,6 @@ def d10(spark, sf):
     return f.select("series_id", "session", F.round(R.percentile_average_rank(x, 60), 5).alias("level_pct"), F.round(R.ols_slope(x, C("pos"), 21), 5).alias("slope"), F.round(C("ret21") - C("ret5"), 5).alias("differential"))
 
 
-_CPI = "m AS (SELECT 'm' AS k, published, avg(value) AS v FROM macro WHERE vintage = 0 GROUP BY 1, 2), s AS (SELECT s.session, s.pos, m.v FROM sessions s ASOF LEFT JOIN m ON s.session >= m.published)"
-
-
 @query("d11_inflation_features", f"{ctes('sessions', 'macro')}, {_CPI} SELECT session, {_r('v / lag(v, 63) OVER (ORDER BY pos) - 1')} AS change3, {_r('v / lag(v, 126) OVER (ORDER BY pos) - 1')} AS change6, {_r('CASE WHEN count(v) OVER w = 21 THEN regr_slope(v / 1000, pos) OVER w END')} AS slope FROM s WINDOW w AS (ORDER BY pos ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)")
 def d11(spark, sf):
     m = panel.macro(spark, sf).where("vintage = 0").groupBy("published").agg(F.avg("value").alias("v")).withColumn("series_id", F.lit("m"))
@@ -155,13 +207,6 @@ def g23(spark, sf):
     return day.join(panel.events_calendar(spark, sf), C("session") == C("date"), "left").groupBy("session").agg(F.coalesce(F.min("type"), F.lit("none")).alias("first_type"))
 
 
-@query("l10_top_state", f"{FEATURES_SQL} SELECT series_id, session, list_position(p, list_max(p)) - 1 AS top, {_r('list_max(p)')} AS probability FROM (SELECT series_id, session, [abs(ret1), rv21, rv63] AS p FROM f WHERE ret1 IS NOT NULL AND rv21 IS NOT NULL AND rv63 IS NOT NULL)")
-def l10(spark, sf):
-    p = F.array(F.abs("ret1"), "rv21", "rv63")
-    f = features(spark, sf).where("ret1 IS NOT NULL AND rv21 IS NOT NULL AND rv63 IS NOT NULL")
-    return f.select("series_id", "session", (F.array_position(p, F.array_max(p)) - 1).alias("top"), F.round(F.array_max(p), 5).alias("probability"))
-
-
 @query("n05_unknown_stretch", f"{_labels(rules.VOLATILITY)}, g AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY pos) - row_number() OVER (PARTITION BY series_id, label ORDER BY pos) AS k FROM l) SELECT series_id, max(n) AS longest FROM (SELECT series_id, k, count(*) AS n FROM g WHERE label = 'unknown' GROUP BY 1, 2) GROUP BY 1")
 def n05(spark, sf):
     return evaluate.longest_runs(labels(spark, sf, rules.VOLATILITY)).where("label = 'unknown'").select("series_id", "longest")

@@ -32,6 +32,18 @@ def bars_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.withColumn("pos", F.row_number().over(Window.partitionBy("series_id").orderBy("session")).cast("long"))
 
 
+def bars_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of the whole market, series 'ALL', and of each return flag, with `pos`; each line counts for two series."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("series_id", F.explode(F.array(F.lit("ALL"), "l_returnflag")))
+    return _bars(lines).withColumn("pos", F.row_number().over(Window.partitionBy("series_id").orderBy("session")).cast("long"))
+
+
+def market_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekdays of all lines with their ordinal; a market-level table of a few thousand rows."""
+    days = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("session")).where(F.weekday("session") < 5).distinct()
+    return days.withColumn("pos", F.row_number().over(Window.orderBy("session")).cast("long"))
+
+
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dates of series 'A' with their ordinal; a market-level table of a few thousand rows."""
     days = table(spark, sf_dir, "lineitem").where("l_returnflag = 'A'").select(F.to_date("l_shipdate").alias("session")).where(F.weekday("session") < 5).distinct()
@@ -80,6 +92,8 @@ def _bars_sql(name: str, series: str, source: str) -> str:
 
 SQL = {
     "bars": _bars_sql("bars", "l_returnflag", "lineitem"),
+    "market": _bars_sql("market", "series", "(SELECT *, unnest(['ALL', l_returnflag]) AS series FROM lineitem)"),
+    "market_sessions": "market_sessions AS (SELECT session, row_number() OVER (ORDER BY session) AS pos FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS session FROM lineitem WHERE dayofweek(l_shipdate) BETWEEN 1 AND 5))",
     "members": _bars_sql("members", "CAST(s_nationkey AS VARCHAR)", "lineitem JOIN supplier ON l_suppkey = s_suppkey"),
     "sessions": "sessions AS (SELECT session, row_number() OVER (ORDER BY session) AS pos FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS session FROM lineitem WHERE l_returnflag = 'A' AND dayofweek(l_shipdate) BETWEEN 1 AND 5))",
     "membership": """membership AS (

@@ -26,6 +26,11 @@ def read_bars(spark: SparkSession, path: str, series: list[str] | None = None) -
     return df.where(F.col("series_id").isin(series)) if series else df
 
 
+def read_members(spark: SparkSession, path: str, series: DataFrame) -> DataFrame:
+    """Bars of a tree partitioned by series_id for the names in `series` (series_id): only their folders are read, found as the query runs."""
+    return read_table(spark, path, schema=BARS).join(series.select("series_id").distinct(), "series_id", "left_semi")
+
+
 def write_bars(bars: DataFrame, path: str) -> None:
     """One folder for each series, one file for each: rows of a series are brought together first."""
     bars.repartition("series_id").sortWithinPartitions("session").write.mode("overwrite").partitionBy("series_id").parquet(path)

@@ -110,13 +110,66 @@ def published_only(rows: DataFrame) -> DataFrame:
     return rows.groupBy("series_id").applyInPandasWithState(step, GATED, "at date, value double", "append", GroupStateTimeout.NoTimeout)
 
 
-def run_available(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
+CORRECTED = "series_id string, session date, version long, value double, op string"
+_DAY = 86_400_000
+
+
+def corrected(rows: DataFrame, late: str = "2 days", keep_days: int = 2) -> DataFrame:
+    """Changes of a table of the newest version of each (series_id, session), over a stream (series_id, session, ts, version, value).
+
+    A newer version gives a retraction of the row that it supersedes and an insert; an older or repeated one gives nothing. Versions of one
+    batch show only their newest. Rows whose `ts` is more than `late` behind the stream come too late and count no more; a session's state
+    goes `keep_days` days after its end on the stream's clock, so that the state holds recent sessions only.
+    """
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames))
+        rows = rows[rows["_ms"] >= state.getCurrentWatermarkMs()].sort_values("version")  # Spark itself drops late rows a batch later
+        before = state.get if state.exists else None
+        if rows.empty and before is None:
+            return
+        newest = rows.iloc[-1] if len(rows) else None
+        if newest is None:
+            pass
+        elif before is None or newest["version"] > before[0]:
+            now = (int(newest["version"]), float(newest["value"]))
+            state.update(now)
+            out = [(*key, *before, "retract")] if before else []
+            yield pd.DataFrame([*out, (*key, *now, "insert")], columns=["series_id", "session", "version", "value", "op"])
+        until = int(pd.Timestamp(key[1]).timestamp() * 1000) + (1 + keep_days) * _DAY
+        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+
+    timed = rows.withWatermark("ts", late).withColumn("_ms", F.unix_millis("ts"))
+    return timed.groupBy("series_id", "session").applyInPandasWithState(step, CORRECTED, "version long, value double", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def standing(changes: DataFrame) -> DataFrame:
+    """(series_id, session, version, value): what is left of inserts when every retraction takes its row away."""
+    sign = F.when(F.col("op") == "insert", 1).otherwise(-1)
+    left = changes.groupBy("series_id", "session", "version", "value").agg(F.sum(sign).alias("n"))
+    return left.where("n > 0").drop("n")
+
+
+def run_available(stream: DataFrame, folder: str, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
     """Runs a stream over what is there and returns its rows, read from Parquet files in `folder`, a new one that all machines share.
 
-    Tasks write the files, a folder a batch, so no rows pass through the driver; a batch that is run again replaces its own.
+    Tasks write the files, a folder a batch, so no rows pass through the driver; a batch that is run again replaces its own. In update mode
+    a group comes out again with every batch that adds to it: `keys` name the group, of which the row of the last batch stands.
     """
     spark = stream.sparkSession
-    spark.createDataFrame([], stream.schema).write.parquet(f"{folder}/rows/none")
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(lambda rows, k: rows.write.mode("overwrite").parquet(f"{folder}/rows/{k}")).start()
+    spark.createDataFrame([], stream.schema).withColumn("_batch", F.lit(0).cast("long")).write.parquet(f"{folder}/rows/none")
+
+    def write(rows: DataFrame, k: int) -> None:
+        rows.withColumn("_batch", F.lit(k).cast("long")).write.mode("overwrite").parquet(f"{folder}/rows/{k}")
+
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
-    return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(f"{folder}/rows")
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/rows")
+    if mode != "update" or not keys:
+        return rows.drop("_batch")
+    rest = [c for c in stream.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_last"))
+    return last.select(*keys, *(F.col(f"_last.{c}").alias(c) for c in rest)).select(*stream.columns)
