@@ -49,8 +49,8 @@ def test_likelihood_and_distances_equal_plain_versions():
     fit = W.markov(x[None], 4, [5], rounds=3)
     dense, tops = W.scaled_densities(x[None], fit)
     _, scales = W.forward(dense, fit.weights, fit.moves)
-    assert (scales + tops).sum() == pytest.approx(plain_log_likelihood(x, fit.weights[0], fit.means[0], fit.covariances[0], fit.moves[0]), rel=1e-9)
-    got = W.distances(x[None], fit.means, fit.covariances)[0][0]
+    assert (np.log(scales) + tops).sum() == pytest.approx(plain_log_likelihood(x, fit.weights[0], fit.means[0], fit.covariances[0], fit.moves[0]), rel=1e-9)
+    got = W.distances(x[None], fit.means, fit.covariances)[0][0].T
     want = np.array([[(r - m) @ np.linalg.inv(c) @ (r - m) for m, c in zip(fit.means[0], fit.covariances[0])] for r in x])
     assert np.allclose(got, want)
 
@@ -67,8 +67,8 @@ def test_a_falling_seed_is_rejected_and_others_stay(monkeypatch):
     x = np.stack([planted(200, 1)[0]] * 3)
     right, calls = W.moments, []
 
-    def wrong(x, r):
-        n, means, covariances = right(x, r)
+    def wrong(x, squares, r):
+        n, means, covariances = right(x, squares, r)
         calls.append(1)
         if len(calls) == 3:
             means[1] += 5

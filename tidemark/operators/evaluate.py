@@ -104,6 +104,27 @@ def detection_lag(rows: DataFrame, windows: DataFrame, flat: Column) -> DataFram
     return out.groupBy("series_id", "name").agg(F.coalesce(F.min(F.when(flat, F.col("k"))), F.count("*")).cast("long").alias("lag"), F.count_if(flat).alias("flat_sessions"))
 
 
+#: Metrics of a strategy, whether more of it is better, and the name of winning by it.
+GATE = {"drawdown": (True, "lower_drawdown"), "sharpe": (True, "higher_sharpe"), "lag": (False, "earlier_crisis_detection"), "switch_rate": (False, "lower_false_switch_rate")}
+
+
+def metrics(rows: DataFrame, windows: DataFrame, exposure: str = "exposure", ret: str = "ret", horizon: int = 3) -> DataFrame:
+    """(series_id, drawdown, sharpe, lag, switch_rate) of a strategy's exposure: of its equity, the mean sessions until it is flat in each of the
+    windows (name, start, end; null where a series has none), and the share of changes that are taken back."""
+    curve = performance(equity(rows, exposure, ret)).select("series_id", "drawdown", "sharpe")
+    lag = detection_lag(rows, windows, F.col(exposure) == 0).groupBy("series_id").agg(F.avg("lag").alias("lag"))
+    rate = false_switch_rate(rows, exposure, horizon).select("series_id", F.col("rate").alias("switch_rate"))
+    return curve.join(lag, "series_id", "left").join(rate, "series_id", "left")
+
+
+def promotion_gate(now: DataFrame, candidate: DataFrame) -> DataFrame:
+    """(series_id, passed, winners): the metrics by which the candidate is strictly better; it passes with one. A null on either side wins nothing."""
+    both = now.alias("n").join(candidate.alias("c"), "series_id")
+    better = [F.when(F.col(f"c.{m}") > F.col(f"n.{m}") if more else F.col(f"c.{m}") < F.col(f"n.{m}"), F.lit(name)) for m, (more, name) in GATE.items()]
+    winners = F.array_join(F.array_compact(F.array(*better)), ",")
+    return both.select("series_id", (winners != "").alias("passed"), winners.alias("winners"))
+
+
 def clean_window(sessions: DataFrame, recorded: DataFrame) -> DataFrame:
     """One row: the last sessions in a row that were all recorded as good, and the last bad one."""
     out = sessions.join(recorded.select("session", "good"), "session", "left").withColumn("bad", ~F.coalesce("good", F.lit(False)))

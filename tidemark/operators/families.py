@@ -138,6 +138,16 @@ def pressure(rows: DataFrame, column: str, change: int, n: int) -> DataFrame:
     return out.withColumn("z", R.change_zscore(F.col("_c"), n)).drop("_x", "_c")
 
 
+def monetary_features(rows: DataFrame, columns: dict[str, str], long: int = 63, short: int = 21, n: int = 1260) -> DataFrame:
+    """Scores of changes over `long` sessions of two yields and a currency (z2y, z10y, z_usd) and over `short` of the yields, each against its
+    own `n` sessions; readings are carried forward. columns: the column of y2, y10 and usd."""
+    wanted = {"z2y": ("y2", long), "z10y": ("y10", long), "z_usd": ("usd", long), "z2y_short": ("y2", short), "z10y_short": ("y10", short)}
+    out = rows
+    for name, (source, change) in wanted.items():
+        out = pressure(out, columns[source], change, n).withColumnRenamed("z", name)
+    return out
+
+
 def surprise(rows: DataFrame, realised: str, expected: str, n: int) -> DataFrame:
     """`z`: realised less expected over the deviation of that difference, without its mean."""
     out = rows.withColumn("_d", F.col(realised) - F.col(expected))

@@ -67,16 +67,18 @@ class Fit:
 
 
 def distances(x: np.ndarray, means: np.ndarray, covariances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Squared Mahalanobis distances (b, t, k) by Cholesky factors, and log determinants (b, 1, k)."""
+    """Squared Mahalanobis distances (b, k, t) by Cholesky factors, and log determinants (b, k, 1)."""
     roots = np.linalg.inv(np.linalg.cholesky(covariances))
     away = np.matmul(x[:, None] - means[:, :, None], roots.swapaxes(2, 3))
-    return (away**2).sum(3).swapaxes(1, 2), -2 * np.log(np.diagonal(roots, axis1=2, axis2=3)).sum(2)[:, None]
+    return np.einsum("bktd,bktd->bkt", away, away), -2 * np.log(np.diagonal(roots, axis1=2, axis2=3)).sum(2)[..., None]
 
 
 def log_densities(x: np.ndarray, means: np.ndarray, covariances: np.ndarray) -> np.ndarray:
-    """(b, t, k) of rows x (b, t, d) under each state."""
+    """(b, k, t) of rows x (b, t, d) under each state."""
     squares, determinants = distances(x, means, covariances)
-    return -0.5 * (squares + determinants + x.shape[2] * np.log(2 * np.pi))
+    squares += determinants + x.shape[2] * np.log(2 * np.pi)
+    squares *= -0.5
+    return squares
 
 
 def floored(covariances: np.ndarray, floor: float = FLOOR) -> np.ndarray:
@@ -85,12 +87,17 @@ def floored(covariances: np.ndarray, floor: float = FLOOR) -> np.ndarray:
     return np.matmul(vectors * np.maximum(values, floor)[..., None, :], vectors.swapaxes(-1, -2))
 
 
-def moments(x: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts (b, k), means and floored covariances of rows weighted by r (b, t, k)."""
-    n = r.sum(1) + 1e-12
-    means = np.matmul(r.swapaxes(1, 2), x) / n[..., None]
-    away = x[:, None] - means[:, :, None]
-    covariances = np.matmul((away * r.swapaxes(1, 2)[..., None]).swapaxes(2, 3), away) / n[..., None, None]
+def products(x: np.ndarray) -> np.ndarray:
+    """All products of two inputs of each row (b, t, d * d), for `moments`."""
+    return (x[..., :, None] * x[..., None, :]).reshape(*x.shape[:2], -1)
+
+
+def moments(x: np.ndarray, squares: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts (b, k), means and floored covariances of rows weighted by r (b, k, t); squares: products(x), of centred x."""
+    d = x.shape[2]
+    n = r.sum(2) + 1e-12
+    means = np.matmul(r, x) / n[..., None]
+    covariances = (np.matmul(r, squares) / n[..., None]).reshape(*n.shape, d, d) - means[..., :, None] * means[..., None, :]
     return n, means, floored(covariances)
 
 
@@ -124,62 +131,72 @@ def mixture(x: np.ndarray, k: int, seeds: list[int], rounds: int = 100) -> Fit:
 
     In the first quarter of the rounds a component that holds less than half a row moves to the row that fits worst.
     """
-    b, t, d = x.shape
+    b, t, _ = x.shape
+    middle = x.mean(1, keepdims=True)
+    x = x - middle
     means, covariances = started(x, k, seeds)
     fit = Fit(np.full((b, k), 1 / k), means, covariances, None, np.full(b, -np.inf), np.zeros(b, bool))
-    every, live = covariances[:, :1], np.arange(b)
+    every, live, squares = covariances[:, 0], np.arange(b), products(x)
     for step in range(rounds):
         now = fit.only(live)
-        logs = log_densities(x[live], now.means, now.covariances) + np.log(now.weights + 1e-300)[:, None]
-        top = logs.max(2, keepdims=True)
+        logs = log_densities(x, now.means, now.covariances) + np.log(now.weights + 1e-300)[..., None]
+        top = logs.max(1, keepdims=True)
         r = np.exp(logs - top)
-        total = r.sum(2, keepdims=True)
+        total = r.sum(1, keepdims=True)
         r /= total
-        rows = (np.log(total) + top)[..., 0]
+        rows = (np.log(total) + top)[:, 0]
         likelihood = rows.sum(1)
-        n, means, covariances = moments(x[live], r)
+        n, means, covariances = moments(x, squares, r)
         empty = n < 0.5
         if empty.any() and step < rounds // 4:
             for i, j in zip(*np.nonzero(empty)):
-                means[i, j], covariances[i, j], n[i, j] = x[live[i], rows[i].argmin()], every[live[i], 0], 1.0
+                means[i, j], covariances[i, j], n[i, j] = x[i, rows[i].argmin()], every[live[i]], 1.0
             likelihood = np.where(empty.any(1), -np.inf, likelihood)
         gain = likelihood - fit.likelihood[live]
         fit.likelihood[live] = likelihood
-        done = np.isfinite(gain) & (gain < GAIN * 1e-2 * t)
-        move = live[~done]
-        fit.weights[move], fit.means[move], fit.covariances[move] = (n / n.sum(1, keepdims=True))[~done], means[~done], covariances[~done]
-        live = move
+        going = ~(np.isfinite(gain) & (gain < GAIN * 1e-2 * t))
+        live = live[going]
+        fit.weights[live], fit.means[live], fit.covariances[live] = (n / n.sum(1, keepdims=True))[going], means[going], covariances[going]
         if not len(live):
             break
+        if not going.all():
+            x, squares = x[going], squares[going]
+    fit.means += middle
     return fit
 
 
 def forward(densities: np.ndarray, weights: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Filtered probabilities (b, t, k) from densities scaled by row, and the log of each row's scale (b, t)."""
-    out, scales = np.empty_like(densities), np.empty(densities.shape[:2])
-    state = weights * densities[:, 0]
-    for t in range(densities.shape[1]):
+    """Filtered probabilities (t, k, b) from densities (t, k, b) scaled by row, and each row's scale (t, b); members lie side by side,
+    so that every step is a few operations over all of them."""
+    out, scales = np.empty_like(densities), np.empty((len(densities), densities.shape[2]))
+    onward, both = np.ascontiguousarray(moves.transpose(1, 2, 0)), np.empty((*moves.shape[1:], len(moves)))
+    state = weights.T * densities[0]
+    for t in range(len(densities)):
         if t:
-            state = np.einsum("bi,bij->bj", out[:, t - 1], moves) * densities[:, t]
-        scales[:, t] = total = state.sum(1)
-        out[:, t] = state / total[:, None]
-    return out, np.log(scales)
-
-
-def backward(densities: np.ndarray, moves: np.ndarray, scales: np.ndarray) -> np.ndarray:
-    """The scaled backward pass (b, t, k)."""
-    out, onward = np.ones_like(densities), moves.swapaxes(1, 2)
-    weighted = densities / np.exp(scales)[..., None]
-    for t in range(densities.shape[1] - 2, -1, -1):
-        out[:, t] = np.einsum("bj,bji->bi", weighted[:, t + 1] * out[:, t + 1], onward)
+            np.multiply(onward, out[t - 1][:, None], out=both)
+            np.add.reduce(both, 0, out=state)
+            state *= densities[t]
+        np.add.reduce(state, 0, out=scales[t])
+        np.divide(state, scales[t], out=out[t])
+    return out, scales
+
+
+def backward(weighted: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """The scaled backward pass (t, k, b) from densities over their rows' scales."""
+    out = np.ones_like(weighted)
+    onward, both = np.ascontiguousarray(moves.transpose(1, 2, 0)), np.empty((*moves.shape[1:], len(moves)))
+    for t in range(len(weighted) - 2, -1, -1):
+        np.multiply(onward, weighted[t + 1] * out[t + 1], out=both)
+        np.add.reduce(both, 1, out=out[t])
     return out
 
 
 def scaled_densities(x: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
-    """Densities over the largest of each row, floored so that no row is impossible, and the logs of those."""
-    logs = log_densities(x, fit.means, fit.covariances)
-    top = logs.max(2, keepdims=True)
-    return np.maximum(np.exp(logs - top), 1e-200), top[..., 0]
+    """Densities (t, k, b) over the largest of each row, floored so that no row is impossible, and the logs of those (t, b)."""
+    logs = np.ascontiguousarray(log_densities(x, fit.means, fit.covariances).transpose(2, 1, 0))
+    top = logs.max(1, keepdims=True)
+    logs -= top
+    return np.maximum(np.exp(logs, out=logs), 1e-200, out=logs), top[:, 0]
 
 
 def markov(x: np.ndarray, k: int, seeds: list[int], rounds: int = 200, gain: float = GAIN, fall: float = FALL) -> Fit:
@@ -187,17 +204,19 @@ def markov(x: np.ndarray, k: int, seeds: list[int], rounds: int = 200, gain: flo
 
     A member whose likelihood falls by more than `fall` of its size is rejected at once.
     """
-    b, t, _ = x.shape
+    b = len(x)
+    middle = x.mean(1, keepdims=True)
+    x = x - middle
     means, covariances = started(x, k, seeds)
     moves = np.full((b, k, k), 0.1 / max(1, k - 1))
     moves[:, range(k), range(k)] = 0.9 if k > 1 else 1.0
     fit = Fit(np.full((b, k), 1 / k), means, covariances, moves, np.full(b, -np.inf), np.zeros(b, bool))
-    live = np.arange(b)
+    live, squares = np.arange(b), products(x)
     for _ in range(rounds):
         now = fit.only(live)
-        densities, tops = scaled_densities(x[live], now)
+        densities, tops = scaled_densities(x, now)
         ahead, scales = forward(densities, now.weights, now.moves)
-        likelihood = (scales + tops).sum(1)
+        likelihood = (np.log(scales) + tops).sum(0)
         up = likelihood - fit.likelihood[live]
         fell = up < -fall * np.abs(likelihood)
         fit.rejected[live[fell]] = True
@@ -206,25 +225,30 @@ def markov(x: np.ndarray, k: int, seeds: list[int], rounds: int = 200, gain: flo
         live = live[going]
         if not len(live):
             break
-        ahead, densities, scales, now = ahead[going], densities[going], scales[going], now.only(going)
-        back = backward(densities, now.moves, scales)
-        r = ahead * back
-        r /= r.sum(2, keepdims=True)
-        onward = (densities / np.exp(scales)[..., None] * back)[:, 1:]
-        pairs = now.moves * np.matmul(ahead[:, :-1].swapaxes(1, 2), onward)
-        _, fit.means[live], fit.covariances[live] = moments(x[live], r)
-        fit.moves[live] = (pairs + 1e-12) / (pairs + 1e-12).sum(2, keepdims=True)
-        fit.weights[live] = (r[:, 0] + 1e-12) / (r[:, 0] + 1e-12).sum(1, keepdims=True)
+        if not going.all():
+            x, squares, now = x[going], squares[going], now.only(going)
+            ahead, densities, scales = ahead[..., going], densities[..., going], scales[:, going]
+        densities /= scales[:, None]
+        back = backward(densities, now.moves)
+        densities *= back
+        pairs = now.moves * np.matmul(ahead[:-1].transpose(2, 1, 0), densities[1:].transpose(2, 0, 1)) + 1e-12
+        back *= ahead
+        back /= back.sum(1, keepdims=True)
+        r = np.ascontiguousarray(back.transpose(2, 1, 0))
+        _, fit.means[live], fit.covariances[live] = moments(x, squares, r)
+        fit.moves[live] = pairs / pairs.sum(2, keepdims=True)
+        fit.weights[live] = (r[..., 0] + 1e-12) / (r[..., 0] + 1e-12).sum(1, keepdims=True)
+    fit.means += middle
     return fit
 
 
 def posteriors(x: np.ndarray, fit: Fit) -> np.ndarray:
     """(b, t, k): a mixture's posteriors, or a Markov model's filtered probabilities from the first row of x on."""
     if fit.moves is None:
-        logs = log_densities(x, fit.means, fit.covariances) + np.log(fit.weights + 1e-300)[:, None]
-        r = np.exp(logs - logs.max(2, keepdims=True))
-        return r / r.sum(2, keepdims=True)
-    return forward(scaled_densities(x, fit)[0], fit.weights, fit.moves)[0]
+        logs = log_densities(x, fit.means, fit.covariances) + np.log(fit.weights + 1e-300)[..., None]
+        r = np.exp(logs - logs.max(1, keepdims=True))
+        return (r / r.sum(1, keepdims=True)).swapaxes(1, 2)
+    return forward(scaled_densities(x, fit)[0], fit.weights, fit.moves)[0].transpose(2, 0, 1)
 
 
 def assignment(cost: np.ndarray) -> list[int]:
@@ -295,7 +319,7 @@ def fitted(numbered: DataFrame, columns: list[str], k: int, seeds: list[int], wi
                 scored = rows[c - offset : until - offset]
                 every = np.concatenate([train[:-1], (scored - middle) / scale])[None]
                 posterior = posteriors(every, best)[0, window - 1 :]
-                away = np.sqrt(distances(every[:, window - 1 :], best.means, best.covariances)[0][0])
+                away = np.sqrt(distances(every[:, window - 1 :], best.means, best.covariances)[0][0].T)
                 at = slice(c - offset, until - offset)
                 out.append({
                     "series_id": df["series_id"].iloc[0], "checkpoint": c, "seed": seeds[max(good, key=lambda j: (fit.likelihood[j], -j)) - own[0]], "likelihood": float(best.likelihood[0]),

@@ -225,6 +225,19 @@ SELECT series_id, session, CASE WHEN crisis THEN 'crisis' WHEN bear_stress THEN
   concat_ws(',', CASE WHEN crisis THEN 'crisis' END, CASE WHEN bear_stress THEN 'bear_stress' END, CASE WHEN fragile_bull THEN 'fragile_bull' END, CASE WHEN recovery_attempt THEN 'recovery_attempt' END, CASE WHEN sideways_stress THEN 'sideways_stress' END, CASE WHEN event_watch THEN 'event_watch' END, CASE WHEN cooldown THEN 'cooldown' END) AS rules FROM fl"""
 
 
+_NAMED = {"trend_break": "tb", "volatility_acceleration": "va", "breadth_deterioration": "bd", "correlation_fragility": "corr", "credit_stress": "cred", "liquidity_stress": "ls", "macro_event": "me", "model_instability": "mi"}
+_STATE_HEAD, _STATE_TAIL = ORACLE["j06_state"].rsplit("\nSELECT series_id, session, CASE WHEN crisis", 1)
+_DRIVEN = ", ".join(f"{{'less': -{x}, 'k': {k}, 'name': '{n}'}}" for k, (n, x) in enumerate(_NAMED.items()))
+
+
+@query("j07_drivers_and_state", f"""{_STATE_HEAD}, st AS (SELECT series_id, session, CASE WHEN crisis{_STATE_TAIL})
+SELECT st.series_id, st.session, st.state, st.rules, array_to_string(list_transform(list_sort(list_filter([{_DRIVEN}], lambda x: x.less <= -0.35))[1:3], lambda x: x.name), ',') AS drivers,
+  array_to_string(list_filter([{', '.join(f"CASE WHEN {x} IS NULL THEN '{n}' END" for n, x in _NAMED.items())}], lambda x: x IS NOT NULL), ',') AS missing,
+  round({' + '.join(f"CASE WHEN {x} IS NOT NULL THEN {transition.WEIGHTS[n]} ELSE 0 END" for n, x in _NAMED.items())}, 6) AS coverage FROM st JOIN i ON st.series_id = i.series_id AND st.session = i.session""")
+def j07(spark, sf):
+    return transition.state(_flagged(spark, sf)).select("series_id", "session", "state", "rules", "drivers", "missing", F.round("coverage", 6).alias("coverage"))
+
+
 @query("l02_complete_cases", f"{FEATURES_SQL} SELECT series_id, session, round(ret5, 5) AS ret5, round(rv21, 5) AS rv21, round(volume_z, 5) AS volume_z FROM f WHERE ret5 IS NOT NULL AND rv21 IS NOT NULL AND volume_z IS NOT NULL")
 def l02(spark, sf):
     columns = ["ret5", "rv21", "volume_z"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import rolling as R
-from tidemark.operators import align, assembly, breadth, calendar, folds, models, network, rules, transition, walkforward
+from tidemark.operators import align, assembly, breadth, calendar, evaluate, families, folds, models, network, rules, transition, walkforward
 from tidemark.operators.order_statistics import ranked
 from tidemark.plans.assembly_queries import _axis_sql
 from tidemark.plans.label_queries import FEATURES_SQL, MARKET_SQL, features_of
@@ -52,12 +52,12 @@ def _structure(spark, sf):
     return network.structure(_member_returns(spark, sf))
 
 
-def _market_breadth(spark, sf):
+def _market_breadth(spark, sf, sma: int = 50):
     """Breadth on the full windows, from members' last known bars."""
     sessions = panel.market_sessions(spark, sf)
     rows = align.exact(align.grid(panel.bars_member(spark, sf), sessions), panel.bars_member(spark, sf).select(*KEY, "close", "volume"))
     carried = rows.withColumn("close", R.carried(C("close"))).where("close IS NOT NULL").select(*KEY, "close", F.coalesce("volume", F.lit(0)).alias("volume"))
-    return breadth.breadth(carried, sessions, panel.membership(spark, sf))
+    return breadth.breadth(carried, sessions, panel.membership(spark, sf), sma=sma)
 
 
 def _model_inputs(spark, sf):
@@ -265,6 +265,61 @@ def i09_volume(spark, sf):
     return _volume_axis(features_of(panel.bars_market(spark, sf))).select(*_AXIS)
 
 
+# The monetary axis: monthly order values by priority as of their publication stand for yields and the currency.
+_RATES = {"y2": "1-URGENT", "y10": "2-HIGH", "usd": "4-NOT SPECIFIED"}
+_ZS = {"z2y": ("y2", 63), "z10y": ("y10", 63), "z_usd": ("usd", 63), "z2y_short": ("y2", 21), "z10y_short": ("y10", 21)}
+
+
+def _monetary(spark, sf):
+    out = panel.market_sessions(spark, sf).withColumn("series_id", F.lit("m"))
+    readings = panel.macro(spark, sf).where("vintage = 0 AND value IS NOT NULL")
+    for column, name in _RATES.items():
+        one = readings.where(C("series_id") == name).select(F.lit("m").alias("series_id"), "published", C("value").alias(column))
+        out = align.as_of(out, one, "published", [column], ["series_id"])
+    return families.monetary_features(out, {c: c for c in _RATES})
+
+
+_MONETARY_SQL = f"""{ctes('market_sessions', 'macro')}, {', '.join(f"{c} AS (SELECT s.session, s.pos, m.value AS v FROM market_sessions s ASOF LEFT JOIN (SELECT published, value FROM macro WHERE vintage = 0 AND value IS NOT NULL AND series_id = '{n}') m ON s.session >= m.published)" for c, n in _RATES.items())},
+j AS (SELECT 'm' AS series_id, y2.session, y2.pos, {', '.join(f"{c}.v - lag({c}.v, {n}) OVER (ORDER BY y2.session) AS {z}" for z, (c, n) in _ZS.items())} FROM y2 JOIN y10 ON y2.session = y10.session JOIN usd ON y2.session = usd.session),
+f AS (SELECT series_id, session, pos, {', '.join(f"({z} - CASE WHEN count({z}) {_frame(1260)} = 1260 THEN avg({z}) {_frame(1260)} END) / nullif(CASE WHEN count({z}) {_frame(1260)} = 1260 THEN stddev_samp({z}) {_frame(1260)} END, 0) AS {z}" for z in _ZS)} FROM j)"""
+
+
+@query("d09_monetary_pressure", f"{_MONETARY_SQL} SELECT session, {', '.join(f'round({z}, 5) AS {z}' for z in _ZS)} FROM f")
+def d09(spark, sf):
+    return _monetary(spark, sf).select("session", *(F.round(z, 5).alias(z) for z in _ZS))
+
+
+@query("i09_axis_monetary", f"{_axis_of('monetary', rules.MONETARY, list(_ZS), FEATURES_SQL).replace(FEATURES_SQL, _MONETARY_SQL)} {_CLASSIFIED}")
+def i09_monetary(spark, sf):
+    return _assembled(rules.labelled(_monetary(spark, sf), rules.MONETARY), "monetary", list(_ZS)).select(*_AXIS)
+
+
+def _breadth_rows(spark, sf):
+    """The market against the mean of its series as proxy, overlaid by members' breadth over 50 and 200 sessions."""
+    bars = panel.bars_market(spark, sf)
+    equal = bars.where("series_id <> 'ALL'").groupBy("session").agg(F.avg("close").alias("close"))
+    proxy = families.proxy_breadth(bars.where("series_id = 'ALL'"), equal).withColumnsRenamed({"ratio_ret": "ratio_ret20"})
+    base = proxy.withColumn("label", rules.label(rules.BREADTH)).withColumn("series_id", F.lit("ALL"))
+    sessions = panel.market_sessions(spark, sf)
+    b50 = _market_breadth(spark, sf).select("session", C("pct_above").alias("above50"), "high_low", "thrust", "ad_line")
+    b200 = _market_breadth(spark, sf, 200).select("session", C("pct_above").alias("above200"))
+    rows = base.join(sessions, "session").join(b50, "session", "left").join(b200, "session", "left")
+    back = {f"{c}_5": R.lag(C(c), 5) for c in ("above50", "above200", "high_low")}
+    rows = rows.withColumns(back | {"thrust_low": F.min("thrust").over(R.last(10, 1)), "ad_slope": R.ols_slope(C("ad_line"), C("pos"), 21)})
+    return rows.withColumn("label", rules.label(rules.BREADTH_OVERLAY, "label"))
+
+
+@query("i09_axis_breadth")
+def i09_breadth(spark, sf):
+    return _assembled(_breadth_rows(spark, sf), "breadth", ["ratio", "ratio_sma", "ratio_ret20", "from_high"]).select(*_AXIS)
+
+
+@query("i09_axis_character")
+def i09_character(spark, sf):
+    rows = rules.labelled(families.character_features(panel.bars_market(spark, sf)), rules.CHARACTER)
+    return _assembled(rows, "character", ["sma50", "ret10", "ret21", "dd63", "adx"]).select(*_AXIS)
+
+
 def _network_inputs(spark, sf):
     f = features_of(panel.bars_market(spark, sf)).where("series_id = 'ALL'").select("session", "close", "rv21", "rv_pct", "vix_pct")
     b = _market_breadth(spark, sf)
@@ -338,3 +393,14 @@ def j09_observed(spark, sf):
 def j03(spark, sf):
     out = transition.scored(transition.components_of(_score_inputs(spark, sf)))
     return out.select(*KEY, *(F.round(c, 5).alias(c) for c in transition.WEIGHTS), "missing", F.round("coverage", 6).alias("coverage"), F.round("score", 5).alias("score"), "band", "drivers")
+
+
+@query("j07_market_state")
+def j07_market(spark, sf):
+    """State, rules that hold and drivers of each session, from the score on its real inputs and the four labels."""
+    s = transition.scored(transition.components_of(_score_inputs(spark, sf)))
+    character = rules.labelled(families.character_features(panel.bars_market(spark, sf)), rules.CHARACTER).select(*KEY, C("label").alias("character"))
+    weak = F.when(C("pct_above") < 0.4, "weak_breadth").when(C("pct_above") >= 0.6, "healthy_breadth").when(C("pct_above").isNotNull(), "neutral_breadth").otherwise("unknown")
+    rows = s.join(character, list(KEY)).withColumns({"trend": rules.label(rules.TREND), "volatility": rules.label(rules.VOLATILITY), "breadth": weak})
+    out = transition.state(transition.rule_flags(evaluate.history(rows, "trend")))
+    return out.select(*KEY, "state", "rules", "drivers", "missing", F.round("coverage", 6).alias("coverage"))

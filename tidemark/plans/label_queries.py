@@ -221,12 +221,19 @@ def j01(spark, sf):
 
 
 def _pressure(spark, sf):
-    f = features(spark, sf).withColumns({"rv_short": C("rv10"), "rv_long": C("rv63"), "pct_above": C("gap_pct"), "corr_pct": C("rv_pct"), "credit_score": C("range_pct"), "event": C("pos") % 7 == 0, "change_point": F.abs(C("ret1"))})
+    """Component scores of the anchor panel; its percentiles of gaps, volatility and ranges stand for breadth, correlation and credit,
+    which the market panel's score (j03_market_score) reads from members, correlations and axes."""
+    macro = calendar.painted(calendar.normalised(panel.events_calendar(spark, sf)), panel.sessions(spark, sf)).where(C("label").isin(*transition.MACRO_EVENTS))
+    f = features(spark, sf).join(macro.select("session", F.lit(True).alias("event")).distinct(), "session", "left").withColumn("event", F.coalesce("event", F.lit(False)))
+    f = f.withColumns({"rv_short": C("rv10"), "rv_long": C("rv63"), "pct_above": C("gap_pct"), "corr_pct": C("rv_pct"), "credit_score": C("range_pct"), "change_point": F.abs(C("ret1"))})
     return transition.scored(transition.components(f))
 
 
+_PAINTED = f"""w AS (SELECT * FROM (VALUES {', '.join(f"('{t}', '{l}', {calendar.WINDOWS[l][0]}, {calendar.WINDOWS[l][1]})" for t, l in calendar.LABELS.items())}) v(type, label, a, b)),
+painted AS (SELECT DISTINCT s.session, w.label FROM cal JOIN w USING (type) JOIN sessions e ON e.session = cal.date JOIN sessions s ON s.pos BETWEEN e.pos + a AND e.pos + b WHERE s.session >= cal.publication_date)"""
+_WITH_EVENTS = FEATURES_SQL.replace(ctes("bars"), f"{ctes('bars', 'sessions', 'cal')}, {_PAINTED}")
 _CLIP = "greatest(0.0, least(1.0, {}))"
-_SCORE = f"""{FEATURES_SQL}, k AS (SELECT *, greatest(CASE WHEN dd252 IS NOT NULL THEN {_CLIP.format('-dd252 / 0.15')} END, CASE WHEN sma50 IS NOT NULL THEN {_CLIP.format('(sma50 - close) / nullif(sma50, 0) / 0.05')} END) AS tb0, {_CLIP.format('(rv10 / nullif(rv63, 0) - 1) / 0.5')} AS va0, {_CLIP.format('(0.5 - gap_pct) / 0.3')} AS bd0, {_CLIP.format('(volume_z - 1.0) / 2.0')} AS ls0, {_CLIP.format('abs(ret1)')} AS mi0, CASE WHEN pos % 7 = 0 THEN 1.0 ELSE 0.0 END AS me FROM f),
+_SCORE = f"""{_WITH_EVENTS}, k AS (SELECT *, greatest(CASE WHEN dd252 IS NOT NULL THEN {_CLIP.format('-dd252 / 0.15')} END, CASE WHEN sma50 IS NOT NULL THEN {_CLIP.format('(sma50 - close) / nullif(sma50, 0) / 0.05')} END) AS tb0, {_CLIP.format('(rv10 / nullif(rv63, 0) - 1) / 0.5')} AS va0, {_CLIP.format('(0.5 - gap_pct) / 0.3')} AS bd0, {_CLIP.format('(volume_z - 1.0) / 2.0')} AS ls0, {_CLIP.format('abs(ret1)')} AS mi0, CASE WHEN session IN (SELECT session FROM painted WHERE label IN {transition.MACRO_EVENTS}) THEN 1.0 ELSE 0.0 END AS me FROM f),
 c AS (SELECT *, CASE WHEN dd252 IS NOT NULL OR sma50 IS NOT NULL THEN tb0 END AS tb, CASE WHEN rv10 IS NOT NULL AND rv63 IS NOT NULL THEN va0 END AS va, CASE WHEN gap_pct IS NOT NULL THEN bd0 END AS bd, CASE WHEN volume_z IS NOT NULL OR gap_pct IS NOT NULL THEN greatest(CASE WHEN volume_z IS NOT NULL THEN ls0 END, gap_pct) END AS ls, CASE WHEN ret1 IS NOT NULL THEN mi0 END AS mi FROM k),
 s AS (SELECT *, 0.18 * tb + 0.16 * va + 0.16 * bd + 0.14 * rv_pct + 0.12 * range_pct + 0.10 * ls + 0.06 * me + 0.08 * mi AS score FROM c)
 SELECT series_id, session, round(score, 5) AS score, CASE WHEN score IS NULL THEN 'insufficient_data' WHEN score < 0.35 THEN 'stable' WHEN score < 0.55 THEN 'weakening' WHEN score < 0.75 THEN 'transition_warning' ELSE 'high_transition_risk' END AS band FROM s"""
@@ -237,12 +244,6 @@ def j03(spark, sf):
     return _pressure(spark, sf).select("series_id", "session", F.round("score", 5).alias("score"), "band")
 
 
-@query("j07_drivers_and_state")
-def j07(spark, sf):
-    out = _pressure(spark, sf).withColumns({"crisis": C("ret1") <= -0.9, "bear_stress": C("dd252") < -0.95, "fragile_bull": C("ret63") > 5, "recovery_attempt": C("ret10") > 20, "sideways_stress": F.lit(False), "event_watch": C("event") & (C("gap_pct") > 0.9), "cooldown": C("pos") % 11 == 0})
-    return transition.state(out).select("series_id", "session", "state", "rules", "drivers", "missing", F.round("coverage", 6).alias("coverage"))
-
-
 _PAINT = f"""{ctes('sessions', 'cal')}, w AS (SELECT * FROM (VALUES {', '.join(f"('{t}', '{l}', {calendar.WINDOWS[l][0]}, {calendar.WINDOWS[l][1]})" for t, l in calendar.LABELS.items())}) v(type, label, a, b)),
 painted AS (SELECT DISTINCT s.session, w.label FROM cal JOIN w USING (type) JOIN sessions e ON e.session = cal.date JOIN sessions s ON s.pos BETWEEN e.pos + a AND e.pos + b WHERE s.session >= cal.publication_date)"""
 

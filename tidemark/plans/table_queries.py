@@ -212,11 +212,33 @@ def n05(spark, sf):
     return evaluate.longest_runs(labels(spark, sf, rules.VOLATILITY)).where("label = 'unknown'").select("series_id", "longest")
 
 
-@query("n12_promotion_gate", f"{_labels(rules.TREND)}, s AS (SELECT series_id, count(*) FILTER (label = 'bull') / count(*) AS bull, count(*) FILTER (label = 'unknown') / count(*) AS unknown FROM l GROUP BY 1) SELECT series_id, concat_ws(',', CASE WHEN bull < 0.3 THEN 'too_few_bull' END, CASE WHEN unknown > 0.05 THEN 'too_unknown' END) AS failures FROM s")
+_CRASHES = "w AS (SELECT r_name AS name, DATE '1996-01-01' + r_regionkey * 200 AS start, DATE '1996-01-01' + r_regionkey * 200 + 90 AS \"end\" FROM region)"
+
+
+def _strategy_sql(name: str, average: str) -> str:
+    """The four metrics of being long above an average, as one table expression after another."""
+    order = "(PARTITION BY series_id ORDER BY pos)"
+    to_date = "(PARTITION BY series_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""{name}x AS (SELECT series_id, pos, session, CASE WHEN close > {average} THEN 0.01 ELSE 0.0 END AS e, ret1 FROM f),
+{name}g AS (SELECT *, coalesce(lag(e) OVER {order} * ret1, 0) AS gain, lag(e) OVER {order} AS b, lead(e, 1) OVER {order} AS a1, lead(e, 2) OVER {order} AS a2, lead(e, 3) OVER {order} AS a3 FROM {name}x),
+{name}q AS (SELECT *, exp(sum(ln(1 + gain)) OVER {to_date}) AS equity FROM {name}g), {name}p AS (SELECT *, equity / greatest(1.0, max(equity) OVER {to_date}) - 1 AS fall FROM {name}q),
+{name}k AS (SELECT x.*, name, row_number() OVER (PARTITION BY series_id, name ORDER BY pos) - 1 AS k FROM {name}x x JOIN w ON session BETWEEN start AND "end"),
+{name}l AS (SELECT series_id, avg(lag) AS lag FROM (SELECT series_id, name, coalesce(min(k) FILTER (e = 0), count(*)) AS lag FROM {name}k GROUP BY 1, 2) GROUP BY 1),
+{name} AS (SELECT series_id, least(0, min(fall)) AS drawdown, CASE WHEN stddev_samp(gain) > 0 THEN avg(gain) / stddev_samp(gain) * sqrt(252) ELSE 0 END AS sharpe,
+  coalesce(count(*) FILTER (e <> b AND (a1 = b OR a2 = b OR a3 = b)) / nullif(count(*) FILTER (e <> b), 0), 0.0) AS switch_rate FROM {name}p GROUP BY 1)"""
+
+
+@query("n12_promotion_gate", f"""{FEATURES_SQL}, {_CRASHES}, {_strategy_sql('old', 'sma50')}, {_strategy_sql('new', 'sma200')},
+g AS (SELECT o.series_id, concat_ws(',', CASE WHEN n.drawdown > o.drawdown THEN 'lower_drawdown' END, CASE WHEN n.sharpe > o.sharpe THEN 'higher_sharpe' END, CASE WHEN newl.lag < oldl.lag THEN 'earlier_crisis_detection' END, CASE WHEN n.switch_rate < o.switch_rate THEN 'lower_false_switch_rate' END) AS winners
+  FROM old o JOIN new n USING (series_id) LEFT JOIN oldl ON o.series_id = oldl.series_id LEFT JOIN newl ON o.series_id = newl.series_id)
+SELECT series_id, winners <> '' AS passed, winners FROM g""")
 def n12(spark, sf):
-    share = lambda x: F.count_if(C("label") == x) / F.count("*")
-    out = labels(spark, sf).groupBy("series_id").agg(share("bull").alias("bull"), share("unknown").alias("unknown"))
-    return out.select("series_id", F.concat_ws(",", F.when(C("bull") < 0.3, "too_few_bull"), F.when(C("unknown") > 0.05, "too_unknown")).alias("failures"))
+    """Being long above the average of 50 sessions, against that of 200 as the candidate."""
+    first = F.lit("1996-01-01").cast("date")
+    windows = table(spark, sf, "region").select(C("r_name").alias("name"), F.date_add(first, C("r_regionkey") * 200).alias("start"), F.date_add(first, C("r_regionkey") * 200 + 90).alias("end"))
+    f = features(spark, sf)
+    of = lambda average: evaluate.metrics(f.select("series_id", "session", "pos", F.when(C("close") > C(average), 0.01).otherwise(0.0).alias("exposure"), C("ret1").alias("ret")), windows)
+    return evaluate.promotion_gate(of("sma50"), of("sma200"))
 
 
 @query("n18_trades_avoided", f"{FEATURES_SQL} SELECT series_id, count(*) FILTER (close < sma50 AND ret1 < 0) AS avoided FROM f GROUP BY 1")
