@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .heads import HEAD, arrays, found_at, heaviest, joined_sums, stored
+from .heads import HEAD, arrays, found_at, heaviest, joined_sums, stored, with_sums
 from .tables import extended, fold, shared, table, written
 from .word_hashes import NOT_BLANK, Hasher, chunks, give_back
 
 #: Words with a unit of their own, classes of all others, numbers of a vector, words of a context.
-WORDS, CLASSES, DIM, CONTEXT = 511, 128, 16, 4
+WORDS, CLASSES, DIM, CONTEXT = 255, 128, 16, 3
 #: Parts of the training texts, one a round; positions of a step; noise units of a step; rate of the first round (it falls to nothing).
-ROUNDS, BATCH, NOISE, RATE = 4, 512, 128, 0.03
+ROUNDS, BATCH, NOISE, RATE = 4, 1024, 128, 0.04
 #: Positions held while training, and scored at a time; distinct words counted in a task before they are dealt out.
 HELD, BLOCK, FLUSH = 200_000, 2_048, 400_000
 #: What stands for the end of a text among word hashes, and its unit.
@@ -192,7 +192,7 @@ class Model:
 
     def contexts(self, units: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """The units before each position, nearest first; len(prior) where the text had not begun."""
-        n, out = len(units), np.empty((len(self.places), len(units)), np.int64)
+        n, out = len(units), np.empty((len(self.places), len(units)), np.uint16)
         since = np.arange(n) - np.repeat(begins, np.diff([*begins, n]))
         for j in range(len(self.places)):
             out[j] = np.where(since > j, np.roll(units, j + 1), len(self.prior))
@@ -221,7 +221,8 @@ class Model:
 
 
 def _add_rows(n: int, index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct indices, sums of their rows, how many) of rows with repeated indices below n."""
+    """(distinct indices, sums of their rows, how many) of rows with repeated indices below n; short integers sort by digits."""
+    index = index.astype(np.uint16 if n < 1 << 16 else np.int64, copy=False)
     order = np.argsort(index, kind="stable")
     index = index[order]
     begins = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
@@ -248,12 +249,16 @@ class Trainer:
         """A step up the gradient for positions with these contexts and targets."""
         m, n = self.model, len(targets)
         q = m.read(contexts)
+        q1 = np.concatenate([q, np.ones((n, 1), np.float32)], 1)
         noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), len(m.prior) - 1)
         own, drawn = m.outer[targets], m.outer[noise]
-        good = 1 / (1 + np.exp((q * own[:, :-1]).sum(1) + own[:, -1] - self.noise_log[targets]))  # 1 - the chance that it is no noise
-        bad = -1 / (1 + np.exp(-(q @ drawn[:, :-1].T + drawn[:, -1] - self.noise_log[noise])))
-        at_q = good[:, None] * own[:, :-1] + bad @ drawn[:, :-1]
-        q1 = np.concatenate([q, np.ones((n, 1), np.float32)], 1)
+        good = 1 / (1 + np.exp(np.einsum("ij,ij->i", q1, own) - self.noise_log[targets]))  # 1 - the chance that it is no noise
+        bad = q1 @ np.concatenate([-drawn[:, :-1], (self.noise_log[noise] - drawn[:, -1])[:, None]], 1).T
+        np.exp(bad, out=bad)
+        bad += 1
+        np.divide(np.float32(-1), bad, out=bad)  # less the chance that it is
+        at_q = bad @ drawn[:, :-1]
+        at_q += good[:, None] * own[:, :-1]
         index = np.concatenate([targets, noise])
         rows, gradient, count = _add_rows(len(m.prior), index, np.concatenate([good[:, None] * q1, bad.T @ q1]))
         seen = [m.inner[c] for c in contexts]
@@ -283,7 +288,7 @@ def flat_units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Units of all texts of a column of packed units, and where each text begins."""
     values = column.to_pylist()
     sizes = np.array([len(v) // 2 for v in values], np.int64)
-    return np.frombuffer(b"".join(values), "<u2").astype(np.int64), np.cumsum(sizes) - sizes
+    return np.frombuffer(b"".join(values), "<u2"), np.cumsum(sizes) - sizes
 
 
 def train(texts: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
@@ -337,26 +342,25 @@ def score(docs: DataFrame, learned: str, text: str = "text") -> DataFrame:
     found = encoded(docs, known, learned, text)
     model = train(found.where("learned"), Model.start(known.prior))
     held, base = shared(docs.sparkSession, model), float(np.log10(known.total + 0.5 * (known.distinct + 1)))
-    kept = found.select("row", "row_id", "n_tokens", "n_head", "log_count", "class_log", "class_total", "keys", "times", "units")
+    kept = found.select("row", "row_id", "n_tokens", "n_head", "log_count", "class_log", "class_total", "units")
+    last = len(kept.columns) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held()
         for batch in batches:
-            totals = []
-            values, last = batch.column(9), batch.num_rows
+            totals, values, begin = [], batch.column(last), 0
             sizes = np.cumsum([0, *(x // 2 for x in pa.compute.binary_length(values).to_pylist())])
-            begin = 0
-            while begin < last:  # a longer text is taken alone
+            while begin < batch.num_rows:  # a longer text is taken alone
                 end = max(begin + 1, int(np.searchsorted(sizes, sizes[begin] + HELD, "right")) - 1)
                 units, begins = flat_units(values.slice(begin, end - begin))
                 totals.append(np.add.reduceat(model.log_probabilities(units, begins), begins))
                 begin = end
-            yield pa.RecordBatch.from_arrays([*batch.columns[:9], pa.array(np.concatenate([np.zeros(0), *totals]) / np.log(10))], names=[*batch.schema.names[:9], "unit_log"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(np.concatenate([np.zeros(0), *totals]) / np.log(10))], names=[*batch.schema.names[:last], "unit_log"])
         give_back()
 
     scored = kept.mapInArrow(run, extended(kept.drop("units"), "unit_log double"))
     values = {"rest_log": F.log10(F.coalesce("n", F.lit(0)) + 0.5), "rest_known": F.col("n").isNotNull().cast("long")}
-    out = joined_sums(scored, "row_id", "keys", "times", counts.select("word", "n"), "word", values)
+    out = with_sums(scored, joined_sums(found, "row_id", "keys", "times", counts.select("word", "n"), "word", values), "row_id")
     return out.select(
         "row", "n_tokens", (F.col("n_head") + F.col("rest_known")).alias("n_known"), F.lit(known.total).cast("long").alias("train_tokens"),
         (F.col("log_count") + F.col("rest_log") - F.col("n_tokens") * base).alias("base_score"), (F.col("unit_log") + F.col("class_log") + F.col("rest_log") - F.col("class_total")).alias("score"),
