@@ -24,7 +24,9 @@ def planted(n, seed, stay=0.94):
 
 def test_markov_finds_planted_means_moves_and_covariance():
     x, path = planted(1260, 1)
-    fit = W.markov(np.stack([x] * 10), 4, list(range(10)))
+    fit = W.markov(x[None], 4, list(range(10)), of=np.zeros(10, int))
+    alone = W.markov(np.stack([x] * 10), 4, list(range(10)))
+    assert np.allclose(fit.likelihood, alone.likelihood)
     best = int(np.argmax(np.where(fit.rejected, -np.inf, fit.likelihood)))
     order = W.assignment(np.sqrt(((MEANS[:, None] - fit.means[best][None]) ** 2).sum(2)))
     assert np.abs(fit.means[best][order] - MEANS).max() < 0.3
@@ -47,10 +49,10 @@ def plain_log_likelihood(x, weights, means, covariances, moves):
 def test_likelihood_and_distances_equal_plain_versions():
     x, _ = planted(80, 3)
     fit = W.markov(x[None], 4, [5], rounds=3)
-    dense, tops = W.scaled_densities(x[None], fit)
+    dense, tops = W.scaled_densities(x[None], np.zeros(1, int), fit)
     _, scales = W.forward(dense, fit.weights, fit.moves)
     assert (np.log(scales) + tops).sum() == pytest.approx(plain_log_likelihood(x, fit.weights[0], fit.means[0], fit.covariances[0], fit.moves[0]), rel=1e-9)
-    got = W.distances(x[None], fit.means, fit.covariances)[0][0].T
+    got = W.distances(x[None], np.zeros(1, int), fit.means, fit.covariances)[0][0].T
     want = np.array([[(r - m) @ np.linalg.inv(c) @ (r - m) for m, c in zip(fit.means[0], fit.covariances[0])] for r in x])
     assert np.allclose(got, want)
 
@@ -67,8 +69,8 @@ def test_a_falling_seed_is_rejected_and_others_stay(monkeypatch):
     x = np.stack([planted(200, 1)[0]] * 3)
     right, calls = W.moments, []
 
-    def wrong(x, squares, r):
-        n, means, covariances = right(x, squares, r)
+    def wrong(wide, of, r):
+        n, means, covariances = right(wide, of, r)
         calls.append(1)
         if len(calls) == 3:
             means[1] += 5

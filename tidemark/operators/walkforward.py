@@ -66,16 +66,27 @@ class Fit:
         return Fit(self.weights[at], self.means[at], self.covariances[at], None if self.moves is None else self.moves[at], self.likelihood[at], self.rejected[at])
 
 
-def distances(x: np.ndarray, means: np.ndarray, covariances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Squared Mahalanobis distances (b, k, t) by Cholesky factors, and log determinants (b, k, 1)."""
-    roots = np.linalg.inv(np.linalg.cholesky(covariances))
-    away = np.matmul(x[:, None] - means[:, :, None], roots.swapaxes(2, 3))
-    return np.einsum("bktd,bktd->bkt", away, away), -2 * np.log(np.diagonal(roots, axis1=2, axis2=3)).sum(2)[..., None]
+def _own(of: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(rows, the members that have them) of a batch: seeds of one checkpoint share its rows, which are read once for all."""
+    return [(c, np.flatnonzero(of == c)) for c in np.unique(of).tolist()]
 
 
-def log_densities(x: np.ndarray, means: np.ndarray, covariances: np.ndarray) -> np.ndarray:
-    """(b, k, t) of rows x (b, t, d) under each state."""
-    squares, determinants = distances(x, means, covariances)
+def distances(x: np.ndarray, of: np.ndarray, means: np.ndarray, covariances: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared Mahalanobis distances (b, k, t) of rows x[of[b]] by Cholesky factors, and log determinants (b, k, 1)."""
+    roots = np.linalg.inv(np.linalg.cholesky(covariances))
+    middle = np.matmul(roots, means[..., None])[..., 0]
+    out = np.empty((*means.shape[:2], x.shape[1]))
+    for c, own in _own(of):
+        away = x[c] @ roots[own].reshape(-1, x.shape[2]).T
+        away -= middle[own].ravel()
+        away = away.reshape(x.shape[1], -1, x.shape[2])
+        out[own] = np.einsum("tmd,tmd->mt", away, away).reshape(len(own), -1, x.shape[1])
+    return out, -2 * np.log(np.diagonal(roots, axis1=2, axis2=3)).sum(2)[..., None]
+
+
+def log_densities(x: np.ndarray, of: np.ndarray, means: np.ndarray, covariances: np.ndarray) -> np.ndarray:
+    """(b, k, t) of rows x[of[b]] under each state."""
+    squares, determinants = distances(x, of, means, covariances)
     squares += determinants + x.shape[2] * np.log(2 * np.pi)
     squares *= -0.5
     return squares
@@ -87,17 +98,21 @@ def floored(covariances: np.ndarray, floor: float = FLOOR) -> np.ndarray:
     return np.matmul(vectors * np.maximum(values, floor)[..., None, :], vectors.swapaxes(-1, -2))
 
 
-def products(x: np.ndarray) -> np.ndarray:
-    """All products of two inputs of each row (b, t, d * d), for `moments`."""
-    return (x[..., :, None] * x[..., None, :]).reshape(*x.shape[:2], -1)
+def with_products(x: np.ndarray) -> np.ndarray:
+    """The inputs of each row and all products of two of them (c, t, d + d * d), for `moments`."""
+    return np.concatenate([x, (x[..., :, None] * x[..., None, :]).reshape(*x.shape[:2], -1)], 2)
 
 
-def moments(x: np.ndarray, squares: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts (b, k), means and floored covariances of rows weighted by r (b, k, t); squares: products(x), of centred x."""
-    d = x.shape[2]
+def moments(wide: np.ndarray, of: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts (b, k), means and floored covariances of rows weighted by r (b, k, t); wide: with_products(x), of centred x."""
+    d = int((wide.shape[2] + 0.25) ** 0.5)
     n = r.sum(2) + 1e-12
-    means = np.matmul(r, x) / n[..., None]
-    covariances = (np.matmul(r, squares) / n[..., None]).reshape(*n.shape, d, d) - means[..., :, None] * means[..., None, :]
+    sums = np.empty((*n.shape, wide.shape[2]))
+    for c, own in _own(of):
+        sums[own] = (r[own].reshape(-1, r.shape[2]) @ wide[c]).reshape(len(own), -1, wide.shape[2])
+    sums /= n[..., None]
+    means = sums[..., :d]
+    covariances = sums[..., d:].reshape(*n.shape, d, d) - means[..., :, None] * means[..., None, :]
     return n, means, floored(covariances)
 
 
@@ -113,44 +128,46 @@ def spread_rows(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     return x[chosen]
 
 
-def started(x: np.ndarray, k: int, seeds: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def started(x: np.ndarray, of: np.ndarray, k: int, seeds: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """First means of each batch member, and everybody's covariance, after a few rounds of nearest means."""
-    means = np.stack([spread_rows(one, k, seed) for one, seed in zip(x, seeds)])
-    for _ in range(5):
-        near = ((x[:, :, None] - means[:, None]) ** 2).sum(3).argmin(2)
-        r = (near[:, :, None] == np.arange(k)).astype(float)
-        n = r.sum(1)[..., None]
-        means = np.where(n > 0, np.matmul(r.swapaxes(1, 2), x) / np.maximum(n, 1), means)
+    means = np.stack([spread_rows(x[c], k, seed) for c, seed in zip(of, seeds)])
     away = x - x.mean(1, keepdims=True)
     every = floored(np.matmul(away.swapaxes(1, 2), away) / x.shape[1])
-    return means, np.repeat(every[:, None], k, 1)
+    for _ in range(5):
+        for c, own in _own(of):
+            m = means[own].reshape(-1, x.shape[2])
+            near = ((m**2).sum(1) - 2 * x[c] @ m.T).reshape(x.shape[1], len(own), k).argmin(2)
+            r = (near.T[:, None] == np.arange(k)[:, None]).astype(float)
+            n = r.sum(2)[..., None]
+            means[own] = np.where(n > 0, (r.reshape(-1, x.shape[1]) @ x[c]).reshape(len(own), k, -1) / np.maximum(n, 1), means[own])
+    return means, np.repeat(every[of][:, None], k, 1)
 
 
-def mixture(x: np.ndarray, k: int, seeds: list[int], rounds: int = 100) -> Fit:
-    """Gaussian mixtures of k components, one for each x[b] and seed, by expectation-maximisation.
+def mixture(x: np.ndarray, k: int, seeds: list[int], rounds: int = 100, of: np.ndarray | None = None) -> Fit:
+    """Gaussian mixtures of k components, one for each seed, on the rows x[of[b]] (b-th rows without `of`), by expectation-maximisation.
 
     In the first quarter of the rounds a component that holds less than half a row moves to the row that fits worst.
     """
-    b, t, _ = x.shape
+    b, t, of = len(seeds), x.shape[1], np.arange(len(x)) if of is None else of
     middle = x.mean(1, keepdims=True)
     x = x - middle
-    means, covariances = started(x, k, seeds)
+    means, covariances = started(x, of, k, seeds)
     fit = Fit(np.full((b, k), 1 / k), means, covariances, None, np.full(b, -np.inf), np.zeros(b, bool))
-    every, live, squares = covariances[:, 0], np.arange(b), products(x)
+    every, live, wide = covariances[:, 0], np.arange(b), with_products(x)
     for step in range(rounds):
         now = fit.only(live)
-        logs = log_densities(x, now.means, now.covariances) + np.log(now.weights + 1e-300)[..., None]
+        logs = log_densities(x, of[live], now.means, now.covariances) + np.log(now.weights + 1e-300)[..., None]
         top = logs.max(1, keepdims=True)
         r = np.exp(logs - top)
         total = r.sum(1, keepdims=True)
         r /= total
         rows = (np.log(total) + top)[:, 0]
         likelihood = rows.sum(1)
-        n, means, covariances = moments(x, squares, r)
+        n, means, covariances = moments(wide, of[live], r)
         empty = n < 0.5
         if empty.any() and step < rounds // 4:
             for i, j in zip(*np.nonzero(empty)):
-                means[i, j], covariances[i, j], n[i, j] = x[i, rows[i].argmin()], every[live[i]], 1.0
+                means[i, j], covariances[i, j], n[i, j] = x[of[live[i]], rows[i].argmin()], every[live[i]], 1.0
             likelihood = np.where(empty.any(1), -np.inf, likelihood)
         gain = likelihood - fit.likelihood[live]
         fit.likelihood[live] = likelihood
@@ -159,9 +176,7 @@ def mixture(x: np.ndarray, k: int, seeds: list[int], rounds: int = 100) -> Fit:
         fit.weights[live], fit.means[live], fit.covariances[live] = (n / n.sum(1, keepdims=True))[going], means[going], covariances[going]
         if not len(live):
             break
-        if not going.all():
-            x, squares = x[going], squares[going]
-    fit.means += middle
+    fit.means += middle[of]
     return fit
 
 
@@ -191,30 +206,31 @@ def backward(weighted: np.ndarray, moves: np.ndarray) -> np.ndarray:
     return out
 
 
-def scaled_densities(x: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+def scaled_densities(x: np.ndarray, of: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
     """Densities (t, k, b) over the largest of each row, floored so that no row is impossible, and the logs of those (t, b)."""
-    logs = np.ascontiguousarray(log_densities(x, fit.means, fit.covariances).transpose(2, 1, 0))
+    logs = np.ascontiguousarray(log_densities(x, of, fit.means, fit.covariances).transpose(2, 1, 0))
     top = logs.max(1, keepdims=True)
     logs -= top
     return np.maximum(np.exp(logs, out=logs), 1e-200, out=logs), top[:, 0]
 
 
-def markov(x: np.ndarray, k: int, seeds: list[int], rounds: int = 200, gain: float = GAIN, fall: float = FALL) -> Fit:
-    """Gaussian hidden Markov models of k states, one for each x[b] and seed, by Baum and Welch in one pass over time for all.
+def markov(x: np.ndarray, k: int, seeds: list[int], rounds: int = 200, gain: float = GAIN, fall: float = FALL, of: np.ndarray | None = None) -> Fit:
+    """Gaussian hidden Markov models of k states, one for each seed, on the rows x[of[b]] (b-th rows without `of`), by Baum and Welch in
+    one pass over time for all.
 
     A member whose likelihood falls by more than `fall` of its size is rejected at once.
     """
-    b = len(x)
+    b, of = len(seeds), np.arange(len(x)) if of is None else of
     middle = x.mean(1, keepdims=True)
     x = x - middle
-    means, covariances = started(x, k, seeds)
+    means, covariances = started(x, of, k, seeds)
     moves = np.full((b, k, k), 0.1 / max(1, k - 1))
     moves[:, range(k), range(k)] = 0.9 if k > 1 else 1.0
     fit = Fit(np.full((b, k), 1 / k), means, covariances, moves, np.full(b, -np.inf), np.zeros(b, bool))
-    live, squares = np.arange(b), products(x)
+    live, wide = np.arange(b), with_products(x)
     for _ in range(rounds):
         now = fit.only(live)
-        densities, tops = scaled_densities(x, now)
+        densities, tops = scaled_densities(x, of[live], now)
         ahead, scales = forward(densities, now.weights, now.moves)
         likelihood = (np.log(scales) + tops).sum(0)
         up = likelihood - fit.likelihood[live]
@@ -226,7 +242,7 @@ def markov(x: np.ndarray, k: int, seeds: list[int], rounds: int = 200, gain: flo
         if not len(live):
             break
         if not going.all():
-            x, squares, now = x[going], squares[going], now.only(going)
+            now = now.only(going)
             ahead, densities, scales = ahead[..., going], densities[..., going], scales[:, going]
         densities /= scales[:, None]
         back = backward(densities, now.moves)
@@ -235,20 +251,21 @@ def markov(x: np.ndarray, k: int, seeds: list[int], rounds: int = 200, gain: flo
         back *= ahead
         back /= back.sum(1, keepdims=True)
         r = np.ascontiguousarray(back.transpose(2, 1, 0))
-        _, fit.means[live], fit.covariances[live] = moments(x, squares, r)
+        _, fit.means[live], fit.covariances[live] = moments(wide, of[live], r)
         fit.moves[live] = pairs / pairs.sum(2, keepdims=True)
         fit.weights[live] = (r[..., 0] + 1e-12) / (r[..., 0] + 1e-12).sum(1, keepdims=True)
-    fit.means += middle
+    fit.means += middle[of]
     return fit
 
 
 def posteriors(x: np.ndarray, fit: Fit) -> np.ndarray:
     """(b, t, k): a mixture's posteriors, or a Markov model's filtered probabilities from the first row of x on."""
+    of = np.arange(len(x))
     if fit.moves is None:
-        logs = log_densities(x, fit.means, fit.covariances) + np.log(fit.weights + 1e-300)[..., None]
+        logs = log_densities(x, of, fit.means, fit.covariances) + np.log(fit.weights + 1e-300)[..., None]
         r = np.exp(logs - logs.max(1, keepdims=True))
         return (r / r.sum(1, keepdims=True)).swapaxes(1, 2)
-    return forward(scaled_densities(x, fit)[0], fit.weights, fit.moves)[0].transpose(2, 0, 1)
+    return forward(scaled_densities(x, of, fit)[0], fit.weights, fit.moves)[0].transpose(2, 0, 1)
 
 
 def assignment(cost: np.ndarray) -> list[int]:
@@ -308,8 +325,8 @@ def fitted(numbered: DataFrame, columns: list[str], k: int, seeds: list[int], wi
             tasks.append((c, (train - middle) / scale, middle, scale, until))
         out = []
         if tasks:
-            x = np.stack([t[1] for t in tasks for _ in seeds])
-            fit = (markov if hidden else mixture)(x, k, seeds * len(tasks), rounds)
+            x, of = np.stack([t[1] for t in tasks]), np.repeat(np.arange(len(tasks)), len(seeds))
+            fit = (markov if hidden else mixture)(x, k, seeds * len(tasks), rounds, of=of)
             for i, (c, train, middle, scale, until) in enumerate(tasks):
                 own = np.arange(i * len(seeds), (i + 1) * len(seeds))
                 good = [j for j in own if not fit.rejected[j] and np.isfinite(fit.likelihood[j])]
@@ -319,7 +336,7 @@ def fitted(numbered: DataFrame, columns: list[str], k: int, seeds: list[int], wi
                 scored = rows[c - offset : until - offset]
                 every = np.concatenate([train[:-1], (scored - middle) / scale])[None]
                 posterior = posteriors(every, best)[0, window - 1 :]
-                away = np.sqrt(distances(every[:, window - 1 :], best.means, best.covariances)[0][0].T)
+                away = np.sqrt(distances(every[:, window - 1 :], np.zeros(1, int), best.means, best.covariances)[0][0].T)
                 at = slice(c - offset, until - offset)
                 out.append({
                     "series_id": df["series_id"].iloc[0], "checkpoint": c, "seed": seeds[max(good, key=lambda j: (fit.likelihood[j], -j)) - own[0]], "likelihood": float(best.likelihood[0]),
@@ -355,7 +372,10 @@ def _by_order(values: Column, order: Column) -> Column:
 
 
 def aligned(fits: DataFrame) -> DataFrame:
-    """`fits` with all states in the order of `orders`, so that a state keeps its number from checkpoint to checkpoint."""
+    """`fits` with all states in the order of `orders`, so that a state keeps its number from checkpoint to checkpoint.
+
+    Fits are read twice: give them written (checkpointed), or they are fitted twice.
+    """
     out = fits.join(orders(fits), ["series_id", "checkpoint"])
     order = F.col("order")
     moves = F.transform(order, lambda i: F.transform(order, lambda j: F.col("moves")[i][j]))

@@ -12,6 +12,7 @@ from tidemark.functions import rolling as R
 from tidemark.operators import align, assembly, breadth, calendar, evaluate, families, folds, models, network, rules, transition, walkforward
 from tidemark.operators.order_statistics import ranked
 from tidemark.plans.assembly_queries import _axis_sql
+from tidemark.plans.folders import shared_folder
 from tidemark.plans.label_queries import FEATURES_SQL, MARKET_SQL, features_of
 from tidemark.plans.rolling_queries import _frame, _lag
 from tidemark.sources import panel
@@ -65,18 +66,24 @@ def _model_inputs(spark, sf):
     return f.join(s.select("session", "mean_corr"), "session").join(b.select("session", "pct_above"), "session")
 
 
+def _aligned(spark, fits):
+    """Fits with aligned states; written in the shared folder first, as they are read twice."""
+    shared_folder(spark)
+    return walkforward.aligned(fits.checkpoint())
+
+
 def _hidden(spark, sf):
     """Markov fits of daily return, volatility, drawdown, volume and correlation, states aligned over checkpoints."""
     columns = ["ret1", "rv21", "dd63", "volume_z", "mean_corr"]
     rows = walkforward.complete(_model_inputs(spark, sf), columns)
-    return walkforward.aligned(walkforward.fitted(rows, columns, STATES, SEEDS, WINDOW, CADENCE, hidden=True))
+    return _aligned(spark, walkforward.fitted(rows, columns, STATES, SEEDS, WINDOW, CADENCE, hidden=True))
 
 
 def _clusters(spark, sf):
     """Mixture fits of returns, volatility, drawdown, trend strength, correlation and breadth, components aligned over checkpoints."""
     columns = ["ret21", "ret63", "rv21", "dd63", "adx", "mean_corr", "pct_above"]
     rows = walkforward.complete(_model_inputs(spark, sf), columns)
-    return walkforward.aligned(walkforward.fitted(rows, columns, CLUSTERS, [CLUSTER_SEED], WINDOW, CADENCE, hidden=False))
+    return _aligned(spark, walkforward.fitted(rows, columns, CLUSTERS, [CLUSTER_SEED], WINDOW, CADENCE, hidden=False))
 
 
 def _evidence(fits):
