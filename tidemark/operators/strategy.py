@@ -28,7 +28,8 @@ def _in(column: str, values: tuple[str, ...]) -> str:
 
 def family_constraints(cohorts: DataFrame, defaults: DataFrame, overrides: DataFrame) -> DataFrame:
     """(cohort, family, allowed, cap, reason): the family's default with the override's fields; a family allowed again has no reason."""
-    base = cohorts.select("cohort").distinct().join(F.broadcast(defaults))  # one row for each family
+    names = cohorts.agg(F.collect_set("cohort").alias("cohort"))  # one row, with the cohorts of the rule table
+    base = defaults.join(F.broadcast(names)).withColumn("cohort", F.explode("cohort"))
     o = overrides.select("cohort", "family", F.col("allowed").alias("o_allowed"), F.col("cap").alias("o_cap"), F.col("reason").alias("o_reason"))
     out = base.join(o, ["cohort", "family"], "left")
     allowed = F.coalesce("o_allowed", "allowed")

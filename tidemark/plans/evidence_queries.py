@@ -61,6 +61,21 @@ def _market_breadth(spark, sf, sma: int = 50):
     return breadth.breadth(carried, sessions, panel.membership(spark, sf), sma=sma)
 
 
+_SINCE = f"(PARTITION BY series_id ORDER BY session ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_FULL_BREADTH = f"""{ctes('members', 'market_sessions', 'membership')}, grid AS (SELECT series_id, session, s.pos FROM (SELECT DISTINCT series_id FROM members) CROSS JOIN market_sessions s),
+f0 AS (SELECT series_id, session, pos, last_value(close IGNORE NULLS) OVER {_SINCE} AS close, coalesce(volume, 0) AS volume FROM (SELECT g.*, m.close, m.volume FROM grid g LEFT JOIN members m ON g.series_id = m.series_id AND g.session = m.session)),
+f1 AS (SELECT *, close - {_lag('close', 1)} AS change, CASE WHEN count(close) {_frame(50)} = 50 THEN avg(close) {_frame(50)} END AS sma, CASE WHEN count(close) {_frame(252)} >= 126 THEN max(close) {_frame(252)} END AS top, CASE WHEN count(close) {_frame(252)} >= 126 THEN min(close) {_frame(252)} END AS bottom FROM f0),
+inside AS (SELECT f1.* FROM f1 WHERE EXISTS (SELECT 1 FROM membership i WHERE i.series_id = f1.series_id AND f1.session >= i.start AND (i."end" IS NULL OR f1.session <= i."end"))),
+d AS (SELECT session, pos, count(close) AS present, avg(CASE WHEN sma IS NOT NULL AND close IS NOT NULL THEN CASE WHEN close > sma THEN 1.0 ELSE 0.0 END END) AS pct_above, count(*) FILTER (change > 0) AS advances, count(*) FILTER (change < 0) AS declines,
+  count(*) FILTER (close = top) AS highs, count(*) FILTER (close = bottom) AS lows, count(top) AS spans, sum(CASE WHEN change > 0 THEN volume ELSE 0 END) AS up_volume, sum(CASE WHEN change < 0 THEN volume ELSE 0 END) AS down_volume FROM inside GROUP BY 1, 2)"""
+
+
+@query("e08_full_windows", f"{_FULL_BREADTH} SELECT session, present, round(pct_above, 6) AS pct_above, advances, declines, round(CASE WHEN spans > 0 THEN highs / greatest(highs + lows, 1) END, 6) AS high_low, round(up_volume / nullif(up_volume + down_volume, 0), 6) AS up_share FROM d")
+def e08_full(spark, sf):
+    """Breadth over 50 and 252 sessions, a member without a bar standing at its last close."""
+    return _market_breadth(spark, sf).select("session", "present", F.round("pct_above", 6).alias("pct_above"), "advances", "declines", *(F.round(c, 6).alias(c) for c in ("high_low", "up_share")))
+
+
 def _model_inputs(spark, sf):
     f, s, b = _features(spark, sf), _structure(spark, sf), _market_breadth(spark, sf)
     return f.join(s.select("session", "mean_corr"), "session").join(b.select("session", "pct_above"), "session")

@@ -172,8 +172,8 @@ def p05_corrected(spark, sf):
 @query("p06_stream_publication_gate", f"{ctes('sessions', 'macro')}, m AS (SELECT series_id, published, value FROM macro WHERE vintage = 0 AND value IS NOT NULL), g AS (SELECT s.session, n.series_id FROM sessions s, (SELECT DISTINCT series_id FROM m) n) SELECT g.series_id, g.session, m.published, m.value FROM g ASOF LEFT JOIN m ON g.series_id = m.series_id AND g.session >= m.published")
 def p06(spark, sf):
     readings = panel.macro(spark, sf).where("vintage = 0 AND value IS NOT NULL").select("series_id", C("published").alias("at"), "value", F.lit(False).alias("is_session"))
-    names = readings.select("series_id").distinct()  # a row for each series, few
-    clock = panel.sessions(spark, sf).join(F.broadcast(names)).select("series_id", C("session").alias("at"), F.lit(None).cast("double").alias("value"), F.lit(True).alias("is_session"))
+    days = panel.sessions(spark, sf).agg(F.collect_list("session").alias("days"))  # one row: a calendar has a few thousand sessions
+    clock = readings.select("series_id").distinct().join(F.broadcast(days)).select("series_id", F.explode("days").alias("at"), F.lit(None).cast("double").alias("value"), F.lit(True).alias("is_session"))
     return _ran(streams.published_only(_stream(spark, readings.union(clock))))
 
 
