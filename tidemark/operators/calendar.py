@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 #: Labels of event types, sessions before and after, and the order of precedence.
-LABELS = {"FOMC": "fed_week", "CPI": "cpi_week", "NFP": "nfp_week", "budget": "budget_week", "election": "election_window", "geopolitical_event": "geopolitical_event", "global_rate": "global_rate_decision"}
+LABELS = {"FOMC": "fed_week", "CPI": "cpi_week", "NFP": "nfp_week", "budget": "budget_week", "election": "election_window", "geopolitical_event": "geopolitical_event", "global_rate": "global_rate_decision", "global_rate_decision": "global_rate_decision", "ECB_decision": "global_rate_decision", "BOE_decision": "global_rate_decision", "BOJ_decision": "global_rate_decision"}
+FIRST_TYPES, NEED_APPROVAL = ("FOMC", "CPI", "NFP"), "geopolitical_event"
 WINDOWS = {"fed_week": (-2, 2), "cpi_week": (-1, 1), "nfp_week": (-1, 1), "budget_week": (0, 0), "election_window": (-5, 10), "geopolitical_event": (0, 0), "global_rate_decision": (0, 0)}
 PRECEDENCE = ("geopolitical_event", "election_window", "fed_week", "global_rate_decision", "budget_week", "cpi_week", "nfp_week", "expiry_week", "earnings_season", "normal_calendar")
 #: Types whose window that has just passed counts.
@@ -25,6 +26,20 @@ def normalised(events: DataFrame) -> DataFrame:
     return out.withColumn("publication_date", F.coalesce("publication_date", F.when(F.col("type") == "geopolitical_event", F.col("date")).otherwise(F.date_sub("date", 90))))
 
 
+def labelled(events: DataFrame, later_types: bool = True) -> DataFrame:
+    """Events (type, approved_label, ...) with their `label`: types beyond the first ones only with `later_types`, and a geopolitical
+    event only where it was approved as one. Other events go."""
+    out = events.withColumn("label", _looked_up({k: v for k, v in LABELS.items() if later_types or k in FIRST_TYPES}, "type"))
+    approved = (F.col("label") != NEED_APPROVAL) | F.coalesce(F.col("approved_label") == NEED_APPROVAL, F.lit(False))
+    return out.where(F.col("label").isNotNull() & approved)
+
+
+def candidate_id(type_: str, date: str, sources: str) -> Column:
+    """An id that depends on the type, the date and the set of sources alone: 16 hex digits of a sha256, whatever their order and repeats."""
+    names = F.array_join(F.array_sort(F.array_distinct(F.array_compact(sources))), "|")
+    return F.substring(F.sha2(F.concat_ws("|", type_, F.col(date).cast("string"), names), 256), 1, 16)
+
+
 def painted(events: DataFrame, sessions: DataFrame) -> DataFrame:
     """(session, label) of every window that is on: an event on a session covers the sessions around it.
 
@@ -91,9 +106,8 @@ def triangulated(candidates: DataFrame, enough: int = 2) -> DataFrame:
     out = candidates.groupBy("type", "date").agg(
         F.array_sort(F.collect_set("source")).alias("sources"), F.count_if(F.col("verdict") == "confirm").alias("confirms"), F.count_if(F.col("verdict") == "contradict").alias("contradicts"),
     )
-    key = F.concat_ws("|", "type", F.col("date").cast("string"), F.array_join("sources", "|"))
     decision = F.when(F.col("contradicts") > 0, "quarantined").when((F.size("sources") >= enough) & (F.col("confirms") > 0), "promoted").otherwise("review")
-    return out.select("type", "date", F.size("sources").alias("n_sources"), "confirms", "contradicts", decision.alias("decision"), F.substring(F.sha2(key, 256), 1, 16).alias("candidate_id"))
+    return out.select("type", "date", F.size("sources").alias("n_sources"), "confirms", "contradicts", decision.alias("decision"), candidate_id("type", "date", "sources").alias("candidate_id"))
 
 
 def candidates(events: DataFrame, least: float) -> DataFrame:

@@ -104,6 +104,12 @@ def detection_lag(rows: DataFrame, windows: DataFrame, flat: Column) -> DataFram
     return out.groupBy("series_id", "name").agg(F.coalesce(F.min(F.when(flat, F.col("k"))), F.count("*")).cast("long").alias("lag"), F.count_if(flat).alias("flat_sessions"))
 
 
+def trades_avoided(rows: DataFrame, exposure: str = "exposure", ret: str = "ret") -> DataFrame:
+    """(series_id, avoided): sessions that fell while the exposure decided the session before was none."""
+    out = rows.withColumn("_held", F.lag(exposure).over(_order()))
+    return out.groupBy("series_id").agg(F.count_if((F.col("_held") == 0) & (F.col(ret) < 0)).alias("avoided"))
+
+
 #: Metrics of a strategy, whether more of it is better, and the name of winning by it.
 GATE = {"drawdown": (True, "lower_drawdown"), "sharpe": (True, "higher_sharpe"), "lag": (False, "earlier_crisis_detection"), "switch_rate": (False, "lower_false_switch_rate")}
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import event_tables
+from tidemark.operators import calendar, event_tables
 from tidemark.sources.panel import table
 
 QUERIES, ORACLE = {}, {}
@@ -103,3 +103,24 @@ def g25(spark, sf):
     wide = o.groupBy(F.trunc("o_orderdate", "MM").cast("string").alias("Month")).agg(*(F.round(F.sum(F.when(C("o_orderpriority") == p, signed)), 4).alias(f"GPRC_{p[0]}") for p in PRIORITIES), F.lit("1").alias("GPRHC_X"))
     long = event_tables.prefixed_long(wide, "GPRC_", {"month": ("month", "date")})
     return event_tables.monthly_context(o.select(F.to_date("o_orderdate").alias("date")), long)
+
+
+_TYPES = "CASE event_type WHEN 'signup' THEN 'FOMC' WHEN 'purchase' THEN 'CPI' WHEN 'view' THEN 'ECB_decision' WHEN 'click' THEN 'geopolitical_event' ELSE 'other' END"
+
+
+@query("g07_event_labels", f"""WITH e AS (SELECT event_id, {_TYPES} AS type, CASE WHEN user_id % 3 = 0 THEN 'geopolitical_event' WHEN user_id % 3 = 1 THEN 'fed_week' END AS approved FROM events),
+k AS (SELECT event_id, type, CASE type WHEN 'FOMC' THEN 'fed_week' WHEN 'CPI' THEN 'cpi_week' WHEN 'ECB_decision' THEN 'global_rate_decision' WHEN 'geopolitical_event' THEN CASE WHEN approved = 'geopolitical_event' THEN 'geopolitical_event' END END AS label FROM e)
+SELECT event_id, label, type IN ('FOMC', 'CPI') AS first_version FROM k WHERE label IS NOT NULL""")
+def g07(spark, sf):
+    """Labels of events with all types, and whether the first types alone would give them too."""
+    approved = F.when(C("user_id") % 3 == 0, "geopolitical_event").when(C("user_id") % 3 == 1, "fed_week")
+    e = table(spark, sf, "events").select("event_id", F.expr(_TYPES).alias("type"), approved.alias("approved_label"))
+    first = calendar.labelled(e, later_types=False).select("event_id", F.lit(True).alias("first"))
+    return calendar.labelled(e).join(first, "event_id", "left").select("event_id", "label", F.coalesce("first", F.lit(False)).alias("first_version"))
+
+
+@query("g13_candidate_ids", """WITH c AS (SELECT event_type AS type, CAST(ts AS DATE) AS date, list_sort(list_distinct(list(CAST(user_id % 5 AS VARCHAR)))) AS sources FROM events GROUP BY 1, 2)
+SELECT type, date, substr(sha256(type || '|' || CAST(date AS VARCHAR) || '|' || array_to_string(sources, '|')), 1, 16) AS candidate_id FROM c""")
+def g13(spark, sf):
+    rows = table(spark, sf, "events").groupBy(C("event_type").alias("type"), F.to_date("ts").alias("date")).agg(F.collect_set((C("user_id") % 5).cast("string")).alias("sources"))
+    return rows.select("type", "date", calendar.candidate_id("type", "date", "sources").alias("candidate_id"))

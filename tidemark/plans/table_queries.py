@@ -241,9 +241,10 @@ def n12(spark, sf):
     return evaluate.promotion_gate(of("sma50"), of("sma200"))
 
 
-@query("n18_trades_avoided", f"{FEATURES_SQL} SELECT series_id, count(*) FILTER (close < sma50 AND ret1 < 0) AS avoided FROM f GROUP BY 1")
+@query("n18_trades_avoided", f"{FEATURES_SQL}, x AS (SELECT series_id, ret1, lag(CASE WHEN close > sma50 THEN 1 ELSE 0 END) OVER (PARTITION BY series_id ORDER BY pos) AS held FROM f) SELECT series_id, count(*) FILTER (held = 0 AND ret1 < 0) AS avoided FROM x GROUP BY 1")
 def n18(spark, sf):
-    return features(spark, sf).groupBy("series_id").agg(F.count_if((C("close") < C("sma50")) & (C("ret1") < 0)).alias("avoided"))
+    rows = features(spark, sf).select("series_id", "pos", F.when(C("close") > C("sma50"), 1).otherwise(0).alias("exposure"), C("ret1").alias("ret"))
+    return evaluate.trades_avoided(rows)
 
 
 @query("n25_label_rule_summary", f"{FEATURES_SQL}, l AS (SELECT {rules.case(rules.TREND)} AS label, CASE WHEN rv_pct IS NULL THEN 'cold_start' ELSE 'percentile' END AS path FROM f) SELECT label, path, count(*) AS n FROM l GROUP BY 1, 2")
