@@ -287,9 +287,9 @@ def one_row_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """`docs` with one row for each id that is not null, that of the greatest text; rows without an id stay as they are."""
     if not docs.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").limit(1).count():
         return docs
-    rest = [c for c in docs.columns if c not in (key, text)]
-    one = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(text, *rest)).alias("row")).select(key, "row.*")
-    return one.select(*docs.columns).union(docs.where(F.col(key).isNull()))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (key.lower(), text.lower())]
+    one = docs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max(F.struct(text, *rest)).alias("row"))
+    return one.select(*((F.col("key") if c.lower() == key.lower() else F.col(f"row.`{c}`")).alias(c) for c in docs.columns)).union(docs.where(F.col(key).isNull()))
 
 
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = 75) -> DataFrame:
@@ -352,9 +352,17 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int
     rest = low.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
     rest = rest.union(high.select(F.least("x.doc_id", "y.doc_id"), F.greatest("x.doc_id", "y.doc_id"))).distinct()
     rest = rest.join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = links.union(linked(rest))
-    labels = components(links.union(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b"))))
-    return sizes.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    # Links across components join components, of which each is one node; copies follow their first document.
+    across = linked(rest)
+    for c in "ab":
+        across = across.join(labels.select(F.col("node").alias(c), F.col("component").alias(f"to_{c}")), c, "left").withColumn(c, F.coalesce(f"to_{c}", c)).drop(f"to_{c}")
+    wider = written(components(across)).select(F.col("node").alias("component"), F.col("component").alias("wider"))
+    met = labels.join(wider, "component", "left").select("node", F.coalesce("wider", "component").alias("component"))
+    met = written(met.union(wider.join(labels.select(F.col("node").alias("component")), "component", "left_anti")))
+    groups = same.select("first").distinct().join(met.withColumnRenamed("node", "first"), "first", "left").select("first", F.coalesce("component", "first").alias("component"))
+    followed = spread_join(copies, groups, ["first"], "doc_id", hot_keys(same, ["first"], sizes.count()))
+    found = met.withColumnRenamed("node", "doc_id").union(followed.select("doc_id", "component"))
+    return sizes.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
