@@ -18,13 +18,13 @@ from tidemark.llm.tables import checkpoint_folder, small, table, written
 def _identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told apart clearly; a null `lang` becomes the one found."""
     found = language_id.accepted(language_id.identify(docs, language_id.learn(docs)))
-    return found.select(*(F.coalesce("lang", "lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns))
+    return found.select(*(F.coalesce("lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def _drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their source's boilerplate lines, with n_chars of what is left."""
     kept = line_dedup.drop_lines(docs)
-    return kept.select(*(F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns))
+    return kept.select(*(F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def _drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def _drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     docs = ngram_jaccard.one_row_each(docs)
     groups = ngram_jaccard.join(docs)
     copies = written(groups.where("doc_id != component_id").select("doc_id"))
-    return docs.join(small(copies), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(small(copies), "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -283,3 +283,39 @@ def test_one_class_of_documents_alone(spark):
     out = lm_scoring.score(docs, "false").collect()
     assert len(out) == len(ODD) and all(r["n_known"] == 0 and r["train_tokens"] == 0 and math.isfinite(r["score"]) for r in out)
     assert lm_scoring.score(docs, "doc_id = 4").where("row.doc_id = 4").first()["n_known"] == 3
+
+
+NAMES = ("leaks_0", "_leaks_0", "row", "a.b", "key", "label", "_key", "_label", "N", "component", "node", "lines", "every", "of", "Leaks", "unit", "n_rows")
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    """Rows whose columns are called as operators call their own, with a dot and in another case."""
+    schema = "doc_id long, `Text` string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in NAMES)
+    rows = [(k, t, "en" if k % 2 else "de", "s", 1, *("x" * len(NAMES))) for k, t in enumerate(["one two three four five six", "", None, "der die das und nicht ein", "one two three four five six"])]
+    return spark.createDataFrame(rows, schema)
+
+
+def test_any_column_names(spark, clashing):
+    """Every operator on whole rows keeps columns of any name, and finds `text` however it is cased."""
+    from tidemark.llm import decontamination, language_id, line_dedup, ngram_jaccard, pii, quality, sentencepiece_codec, toxicity
+
+    codec, benchmark = sentencepiece_codec.Codec.load(), spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    labels = spark.createDataFrame([(0, 1, "x"), (1, 0, "x"), (3, 0, "x"), (4, 1, "x")], "doc_id long, toxic int, `_key` string")
+    made = {
+        "leaks": decontamination.scan(clashing, benchmark),
+        "quality": quality.score(clashing, quality.learn(clashing)),
+        "toxicity": toxicity.score(clashing, toxicity.learn(clashing, labels)),
+        "lang_pred": language_id.identify(clashing, language_id.learn(clashing)),
+        "decoded": sentencepiece_codec.decode(sentencepiece_codec.encode(clashing, codec), codec),
+        "n_lines": line_dedup.drop_lines(clashing),
+    }
+    kept = [c for c in clashing.columns if c != "Leaks"]
+    for name, df in made.items():
+        rows = df.collect()
+        assert len(rows) == 5 and name in df.columns and set(kept) <= set(df.columns), name
+        assert all(r["a.b"] == "x" and r["row"] == "x" for r in rows)
+    assert ngram_jaccard.join(clashing).count() == 5 and ngram_jaccard.one_row_each(clashing.union(clashing), text="Text").count() == 5
+    assert lm_scoring.score(clashing, "true", "Text").count() == 5 and alignment.align(clashing, alignment.Files.load(), text="text").count() == 5
+    assert spelling.occurrences(clashing).count() > 0
+    assert pii.find(clashing).count() == 5 if hasattr(pii, "find") else True

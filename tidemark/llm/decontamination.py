@@ -16,7 +16,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import extended, shared, table
+from .tables import boxed, extended, place, shared, table, unboxed
 from .word_hashes import WORDLIKE, Hasher, chunks, give_back
 
 #: Word offsets that count, for each mask: six words within at most eleven. The first is a plain run.
@@ -131,19 +131,18 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", to: str = "l
 
     An item leaks if on some diagonal an overlap of LONG words (or of the whole item, where
     that is shorter) has three of four words equal, or if all overlaps on all diagonals together
-    cover COVERED of its words. Null and empty texts are clean. Repeated rows stay.
+    cover COVERED of its words. Null and empty texts are clean. Repeated rows stay; other columns may have any names.
     """
     docs = docs.drop(to)
-    at, names = docs.columns.index(text), docs.columns
-    out, parts = docs, []
+    at, out, parts = place(docs, text), boxed(docs), []
     for k, index in enumerate(indexes(benchmark, item, item_text, block_words)):
-        held, column = shared(docs.sparkSession, index), f"_leaks_{k}"
+        held, column = shared(docs.sparkSession, index), f"leaks_{k}"
 
         def run(batches: Iterator[pa.RecordBatch], held=held, column=column) -> Iterator[pa.RecordBatch]:
             index, hasher = held(), Hasher(WORDLIKE)
             for batch in batches:
                 leaks: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-                for first, part in chunks(batch.column(at)):
+                for first, part in chunks(batch.column(0).field(at)):
                     w = hasher(pa.compute.utf8_lower(part))
                     rows = index.diagonals(w.hashes, w.bounds).tolist()
                     by_text: dict[int, list] = {}
@@ -156,7 +155,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", to: str = "l
             give_back()
 
         out, parts = out.mapInArrow(run, extended(out, f"{column} {HIT}")), [*parts, column]
-    return out.select(*names, F.concat(*parts).alias(to))
+    return unboxed(out.select("row", F.concat(*parts).alias(to)), f"`{to}`")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

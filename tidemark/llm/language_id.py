@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import extended, fold, sampled, table
+from .tables import boxed, extended, fold, place, sampled, table, unboxed
 from .word_hashes import give_back
 
 #: Bytes of dictionary for each language, documents sampled per language to fill it, bytes of text compressed at a time.
@@ -37,7 +37,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     its start (a bound of the dictionary; identify() reads whole texts). Rows with a null text or
     language teach nothing.
     """
-    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"))
+    rows = docs.select(*(F.col(f"`{c}`").alias(name) for name, c in (("lang", lang), ("text", text), ("key", key)))).where("lang IS NOT NULL AND text IS NOT NULL")
     picked = sampled(rows, "lang", "key", sample_docs).select("lang", F.expr(f"left(text, {dict_bytes})").alias("text"), F.length("text").alias("n"), F.xxhash64(F.col("key").cast("string"), F.lit(17)).alias("h"))
     found: dict[str, bytes] = {}
     for r in sorted(picked.collect(), key=lambda r: (r.lang, r.h, r.text)):
@@ -83,20 +83,20 @@ def decide(text: str | None, coders: list, chunk: int = CHUNK) -> tuple[str, flo
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text") -> DataFrame:
     """`docs` with lang_pred string, lang_score double and lang_margin double added.
 
-    Every row stays, repeated ones too; columns of those names are replaced.
+    Every row stays, repeated ones too; columns of those names are replaced, others may have any names.
     """
     docs = docs.drop("lang_pred", "lang_score", "lang_margin")
-    at = docs.columns.index(text)
+    at, rows = place(docs, text), boxed(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coders = _coders(dictionaries)
         for batch in batches:
-            got = [decide(t.as_py(), coders) for t in batch.column(at)]
+            got = [decide(t.as_py(), coders) for t in batch.column(0).field(at)]
             more = [pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "lang_pred", "lang_score", "lang_margin"])
         give_back()
 
-    return docs.mapInArrow(run, extended(docs, "lang_pred string, lang_score double, lang_margin double"))
+    return unboxed(rows.mapInArrow(run, extended(rows, "lang_pred string, lang_score double, lang_margin double")), "lang_pred", "lang_score", "lang_margin")
 
 
 def accepted(docs: DataFrame, margin: float = MARGIN) -> DataFrame:

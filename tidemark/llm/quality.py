@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import extended, shared, table
+from .tables import boxed, extended, place, shared, table, unboxed
 from .word_hashes import WORDLIKE, Hasher, byte_class, chunks
 
 #: Function words of the languages at hand.
@@ -165,22 +165,22 @@ def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int
     may train (longer ones are counted, and scored, but do not train). The sample is put in the order
     of hash, key and text, so that neither files nor partitions change a score. None for an empty table.
     """
-    at = docs.columns.index(text)
+    docs = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measurer = Measurer()
         for batch in batches:
-            got = [bytes((row + 1).tolist()) for _, part in chunks(batch.column(at)) for row in votes(measurer(part)[0])]
+            got = [bytes((row + 1).tolist()) for _, part in chunks(batch.column(0)) for row in votes(measurer(part)[0])]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary())], names=["votes"])
 
-    rows = sorted(docs.mapInArrow(run, "votes binary").groupBy("votes").count().collect(), key=lambda r: bytes(r.votes))
+    rows = sorted(docs.select("text").mapInArrow(run, "votes binary").groupBy("votes").count().collect(), key=lambda r: bytes(r.votes))
     if not rows:
         return None
     patterns = np.array([np.frombuffer(bytes(r.votes), np.uint8) for r in rows]).astype(np.int8) - 1
     counts = np.array([r["count"] for r in rows], float)
     known = {bytes(r.votes): p for r, p in zip(rows, posteriors(patterns, counts))}
-    unit = F.xxhash64(F.col(key).cast("string"), F.lit(23)).cast("double") / F.lit(2.0**64) + 0.5
-    fits = docs.where(F.coalesce(F.length(text), F.lit(0)) <= longest).select(unit.alias("unit"), F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    unit = F.xxhash64(F.col("key").cast("string"), F.lit(23)).cast("double") / F.lit(2.0**64) + 0.5
+    fits = docs.where(F.coalesce(F.length("text"), F.lit(0)) <= longest).select(unit.alias("unit"), F.col("key").cast("string").alias("key"), "text")
     picked = fits.where(F.col("unit") * float(counts.sum()) < sample).collect() or fits.orderBy("unit", "key", "text").limit(1).collect()
     texts = [r.text for r in sorted(picked, key=lambda r: (r.unit, r.key or "", r.text or ""))]
     if not texts:
@@ -193,19 +193,19 @@ def learn(docs: DataFrame, text: str = "text", key: str = "doc_id", sample: int
 def score(docs: DataFrame, model: Scorer | None, text: str = "text", to: str = "quality") -> DataFrame:
     """`docs` with a score between 0 and 1 (1: good) for each whole text; a column `to` is replaced.
 
-    A null text scores as an empty one; without a model every score is null. Repeated rows stay.
+    A null text scores as an empty one; without a model every score is null. Repeated rows stay; other columns may have any names.
     """
     docs = docs.drop(to)
-    at, held = docs.columns.index(text), shared(docs.sparkSession, model)
+    at, held, rows = place(docs, text), shared(docs.sparkSession, model), boxed(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, measurer = held(), Measurer()
         for batch in batches:
-            got = [model(*measurer(part)) for _, part in chunks(batch.column(at))] if model else []
+            got = [model(*measurer(part)) for _, part in chunks(batch.column(0).field(at))] if model else []
             scores = pa.array(np.concatenate([np.zeros(0), *got])) if model else pa.nulls(batch.num_rows, pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, to])
 
-    return docs.mapInArrow(run, extended(docs, f"`{to}` double"))
+    return unboxed(rows.mapInArrow(run, extended(rows, f"`{to}` double")), f"`{to}`")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

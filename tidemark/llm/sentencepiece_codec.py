@@ -23,7 +23,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import extended, shared, table
+from .tables import boxed, extended, place, shared, table, unboxed
 from .word_hashes import chunks, give_back
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -187,16 +187,17 @@ def encode(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
     round_trip says whether the ids decode to the very text: each distinct word is decoded once and
     compared, and a text's bytes are those of its words. It is false where a text holds U+2581, which
     decodes to a space, as with any decoder of the model, and where a model without bytes lacks a
-    character. A null text has nulls, an empty text no ids. Repeated rows stay.
+    character. A null text has nulls, an empty text no ids. Repeated rows stay; other
+    columns may have any names.
     """
     docs = docs.drop("piece_ids", "round_trip")
-    at, held = docs.columns.index(text), shared(docs.sparkSession, codec)
+    at, held, rows = place(docs, text), shared(docs.sparkSession, codec), boxed(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, known, other = held(), {}, set()
         for batch in batches:
             lists, same = [], []
-            for _, part in chunks(batch.column(at), CHUNK_BYTES):
+            for _, part in chunks(batch.column(0).field(at), CHUNK_BYTES):
                 split = [t if t is None else codec.split(t) for t in part.to_pylist()]
                 if len(known) > CACHE_WORDS:
                     known.clear()
@@ -217,21 +218,21 @@ def encode(docs: DataFrame, codec: Codec, text: str = "text") -> DataFrame:
         del codec, known
         give_back()
 
-    return docs.mapInArrow(run, extended(docs, "piece_ids array<int>, round_trip boolean"))
+    return unboxed(rows.mapInArrow(run, extended(rows, "piece_ids array<int>, round_trip boolean")), "piece_ids", "round_trip")
 
 
 def decode(rows: DataFrame, codec: Codec, ids: str = "piece_ids", to: str = "decoded") -> DataFrame:
     """`rows` with the text of `ids` in the column `to`; null ids give null, ids outside the model fail."""
     rows = rows.drop(to)
-    at, held = rows.columns.index(ids), shared(rows.sparkSession, codec)
+    at, held, rows = place(rows, ids), shared(rows.sparkSession, codec), boxed(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = held()
         for batch in batches:
-            texts = [None if x.as_py() is None else codec.join(x.as_py()) for x in batch.column(at)]
+            texts = [None if x.as_py() is None else codec.join(x.as_py()) for x in batch.column(0).field(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, to])
 
-    return rows.mapInArrow(run, extended(rows, f"`{to}` string"))
+    return unboxed(rows.mapInArrow(run, extended(rows, f"`{to}` string")), f"`{to}`")
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

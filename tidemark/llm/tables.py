@@ -82,6 +82,21 @@ def sampled(df: DataFrame, label: str, key: str, per_label: int, least: int = 0)
     return df.join(F.broadcast(counts), label).where(unit * F.col("_n") < per_label).drop("_n")
 
 
+def place(df: DataFrame, column: str) -> int:
+    """Where a column stands, however its name is cased, as in Spark."""
+    return [c.lower() for c in df.columns].index(column.lower())
+
+
+def boxed(df: DataFrame, *without: str) -> DataFrame:
+    """Each row of `df` as one struct `row`, without the named columns: whatever its columns are called, no name clashes."""
+    return df.drop(*without).select(F.struct("*").alias("row"))
+
+
+def unboxed(rows: DataFrame, *more: str) -> DataFrame:
+    """The columns of `row` and then the columns `more`."""
+    return rows.select(*(F.col(f"row.`{c}`").alias(c) for c in rows.schema["row"].dataType.names), *more)
+
+
 def extended(df: DataFrame, more: str) -> T.StructType:
     """The schema of `df` with the columns of the DDL string `more` after its own."""
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(more).fields])

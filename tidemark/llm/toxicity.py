@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import extended, fold, sampled, shared, small, table, written
+from .tables import boxed, extended, fold, place, sampled, shared, small, table, unboxed, written
 from .word_hashes import chunks
 
 #: Slots of the table, numbers of a vector, n-gram lengths.
@@ -134,26 +134,27 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     Counts of the classes are over all labelled rows. Rows with a null label, id or text, and texts of
     more than `longest` characters, teach nothing; None if not both classes are there.
     """
-    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_key"), (F.col(label) > 0).cast("int").alias("_label"))
-    counts = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
+    known = labels.select(F.col(f"`{key}`").alias("key"), (F.col(f"`{label}`") > 0).cast("int").alias("label")).where("key IS NOT NULL AND label IS NOT NULL")
+    counts = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     if len(counts) < 2:
         return None
-    picked = small(written(sampled(known, "_label", "_key", sample)))
-    rows = docs.where(F.length(text) <= longest).join(picked, F.col(key) == F.col("_key")).select("_key", "_label", F.col(text).alias("_text")).collect()
+    picked = small(written(sampled(known, "label", "key", sample)))
+    texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).where(F.length("text") <= longest)
+    rows = texts.join(picked, "key").select("key", "label", "text").collect()
     rows = sorted(rows)
     return train([r[2] for r in rows], [r[1] for r in rows], counts[1] / (counts[0] + counts[1])) if len({r[1] for r in rows}) == 2 else None
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text", to: str = "toxicity") -> DataFrame:
-    """`docs` with a probability for each text (a column `to` is replaced); null texts score as empty, 0 without a model."""
+    """`docs` with a probability for each text (a column `to` is replaced); null texts score as empty, 0 without a model. Other columns may have any names."""
     docs = docs.drop(to)
-    at, held = docs.columns.index(text), shared(docs.sparkSession, model)
+    at, held, rows = place(docs, text), shared(docs.sparkSession, model), boxed(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = held(), {}
         for batch in batches:
             got: list[float] = []
-            for _, part in chunks(batch.column(at)):
+            for _, part in chunks(batch.column(0).field(at)):
                 lists = [WORD.findall((t or "").lower()) for t in part.to_pylist()]
                 if len(known) > CACHE_WORDS:
                     known.clear()
@@ -162,7 +163,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", to: str = "t
                 got += [model.score([known[w] for w in words]) if model else 0.0 for words in lists]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.float64())], names=[*batch.schema.names, to])
 
-    return docs.mapInArrow(run, extended(docs, f"`{to}` double"))
+    return unboxed(rows.mapInArrow(run, extended(rows, f"`{to}` double")), f"`{to}`")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
