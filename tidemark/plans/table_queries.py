@@ -42,12 +42,12 @@ def _scores(spark, sf):
     for name, priority in (("sentiment", "1-URGENT"), ("news", "5-LOW")):
         m = panel.macro(spark, sf).where((C("vintage") == 0) & (C("series_id") == priority)).select(F.lit("m").alias("series_id"), "published", "value")
         s = align.as_of(panel.sessions(spark, sf).withColumn("series_id", F.lit("m")), m, "published", ["value"], ["series_id"])
-        out[name] = s.select("session", F.round(C("value") / 150000 - 1, 6).alias("score"))
+        out[name] = s.select("session", (C("value") / 150000 - 1).alias("score"))
     return out["sentiment"], out["news"]
 
 
 _TREND2 = ("er20", "slope_sma50", "slope_sma200", "ret63", "ret126", "dd252", "sma50", "sma200", "rv21", "sentiment", "news")
-_AS_OF = "SELECT s.session, round(m.value / 150000 - 1, 6) AS score FROM sessions s ASOF LEFT JOIN (SELECT published, value FROM macro WHERE vintage = 0 AND series_id = '{}') m ON s.session >= m.published"
+_AS_OF = "SELECT s.session, m.value / 150000 - 1 AS score FROM sessions s ASOF LEFT JOIN (SELECT published, value FROM macro WHERE vintage = 0 AND series_id = '{}') m ON s.session >= m.published"
 
 
 @query("d02_trend_features", f"""{FEATURES_SQL.replace(ctes('bars'), ctes('bars', 'sessions', 'macro'))}, a AS ({_AS_OF.format('1-URGENT')}), b AS ({_AS_OF.format('5-LOW')}),
