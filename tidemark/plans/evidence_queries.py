@@ -22,8 +22,9 @@ QUERIES, ORACLE = {}, {}
 C = F.col
 KEY = ("series_id", "session")
 #: States, training sessions, cadence and seeds of the models, their versions, and the labels of states.
-WINDOW, CADENCE, STATES, SEEDS, CLUSTERS, CLUSTER_SEED = 1260, 21, 4, [42, 101, 7, 13, 29, 57, 83, 211, 307, 401], 8, 42
+WINDOW, CADENCE, STATES, SEEDS, CLUSTERS, CLUSTER_SEED = 1260, 21, 4, [42, 101, 202, 303, 404, 505, 606, 707, 808, 909], 8, 42
 HIDDEN, MIXTURE = "hidden_4state_v1", "mixture_8cluster_v1"
+STATE_LABELS = ("elevated_uncertainty", "high_vol_stress", "calm_trending", "transient_spike")
 CLUSTER_LABELS = ("post_crisis_transition", "crisis_panic", "tariff_shock", "correction_chop", "volatile_recovery", "calm_trending_bull", "steady_bull", "high_vol_stress")
 
 
@@ -138,19 +139,18 @@ def l01_schedule(spark, sf):
     return walkforward.schedule(walkforward.complete(bars, ["r1"]), WINDOW, CADENCE)
 
 
-def _label_map(spark, fits):
-    """Labels of the mixture's components, for the version in use; the fitted model has the states."""
-    rows = [(MIXTURE, "v1", k, name) for k, name in enumerate(CLUSTER_LABELS)]
-    return spark.createDataFrame(rows, "model string, version string, state int, label string")
+def _labelled(spark, fits, model: str, labels: tuple[str, ...]):
+    """Evidence with the label of its top state, where the map of labels holds for all states that the fits have."""
+    label_map = spark.createDataFrame([(model, "v1", k, name) for k, name in enumerate(labels)], "model string, version string, state int, label string")
+    of = (F.lit(model).alias("model"), F.lit("v1").alias("version"))
+    states = fits.select(*of, F.explode(F.sequence(F.lit(0), F.size("means") - 1)).alias("state"))
+    rows = walkforward.evidence(fits).select("*", *of)
+    return walkforward.labelled_states(rows, label_map, walkforward.map_violations(states, label_map))
 
 
 @query("l09_label_map")
 def l09(spark, sf):
-    fits = _clusters(spark, sf)
-    states = fits.select(F.lit(MIXTURE).alias("model"), F.lit("v1").alias("version"), F.explode(F.sequence(F.lit(0), F.size("means") - 1)).alias("state"))
-    broken = walkforward.map_violations(states, _label_map(spark, fits))
-    rows = walkforward.evidence(fits).select(*KEY, "top", F.lit(MIXTURE).alias("model"), F.lit("v1").alias("version"))
-    return walkforward.labelled_states(rows, _label_map(spark, fits), broken).select(*KEY, "top", "mapped_label", "mapping")
+    return _labelled(spark, _clusters(spark, sf), MIXTURE, CLUSTER_LABELS).select(*KEY, "top", "mapped_label", "mapping")
 
 
 #: Event types as states of a model, mapped by the labels of the calendar: what is not mapped, in both directions.
@@ -170,11 +170,11 @@ def l09_violations(spark, sf):
 
 @query("l10_top_state")
 def l10(spark, sf):
-    """The most probable state of the Markov model, its probability, and how many sessions it has lasted."""
-    rows = walkforward.evidence(_hidden(spark, sf))
+    """The most probable state of the Markov model with its label, its probability, and how many sessions it has lasted."""
+    rows = _labelled(spark, _hidden(spark, sf), HIDDEN, STATE_LABELS)
     w = F.row_number().over(R.Window.partitionBy("series_id").orderBy("pos")) - F.row_number().over(R.Window.partitionBy("series_id", "top").orderBy("pos"))
     lasted = F.row_number().over(R.Window.partitionBy("series_id", "top", "_run").orderBy("pos")).cast("long")
-    return rows.withColumn("_run", w).withColumn("days", lasted).select(*KEY, "top", F.round("probability", 5).alias("probability"), "days")
+    return rows.withColumn("_run", w).withColumn("days", lasted).select(*KEY, "top", "mapped_label", F.round("probability", 5).alias("probability"), "days")
 
 
 def _network_ranks(spark, sf):
