@@ -43,6 +43,12 @@ def test_as_of_keeps_a_null_reading_as_the_latest(spark):
     assert align.as_of(sessions, readings, "at", ["v"], ["series_id"]).first().v is None
 
 
+def test_a_strict_lookup_without_misses_lists_none(spark):
+    days = spark.createDataFrame([("2020-01-01",), ("2020-01-02",)], "session string")
+    assert tuple(align.strict_lookup(days, days, ["session"])[1].first()) == (0, None)
+    assert tuple(align.strict_lookup(days, days.limit(0), ["session"])[1].first()) == (2, "2020-01-01,2020-01-02")
+
+
 def test_upsert_and_fallback(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")

@@ -106,7 +106,8 @@ def neighbours(dates: DataFrame, sessions: DataFrame, date: str = "date") -> Dat
 
 
 def strict_lookup(wanted: DataFrame, values: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with values, misses): the misses as one row, their number and first five."""
+    """(rows with values, misses): the misses as one row, their number and first five (null if there are none)."""
     gone = wanted.join(values, keys, "left_anti")
-    first = gone.select(F.concat_ws("|", *keys).alias("k")).distinct().orderBy("k").limit(5).agg(F.array_join(F.array_sort(F.collect_list("k")), ",").alias("first_misses"))
+    listed = F.when(F.count("k") > 0, F.array_join(F.array_sort(F.collect_list("k")), ","))
+    first = gone.select(F.concat_ws("|", *keys).alias("k")).distinct().orderBy("k").limit(5).agg(listed.alias("first_misses"))
     return wanted.join(values, keys), gone.agg(F.count("*").alias("misses")).join(first)  # one row each
