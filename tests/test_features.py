@@ -98,6 +98,14 @@ def test_character_needs_63_sessions_for_its_drawdown(spark):
     assert all(x is None for x in got[:62]) and all(x is not None and x <= 0 for x in got[62:])
 
 
+def test_volume_features_hold_gaps_and_ranges(spark, sf):
+    from tidemark.plans import registry
+
+    got, table = (registry.QUERIES[q](spark, sf).select("series_id", "session", "gap_freq", "range_pct") for q in ("d08_volume_features", "d06_volatility_features"))
+    assert got.columns == table.columns and got.where("range_pct IS NOT NULL").count() > 0 and sorted(got.collect(), key=repr) == sorted(table.collect(), key=repr)
+    assert "volume_z" in registry.QUERIES["d08_volume_features"](spark, sf).columns
+
+
 def test_a_candidate_wins_by_any_metric_and_nulls_win_nothing(spark):
     schema = "series_id string, drawdown double, sharpe double, lag double, switch_rate double"
     now = spark.createDataFrame([("a", -0.2, 1.0, 5.0, 0.1), ("b", -0.2, 1.0, None, 0.1), ("c", -0.2, 1.0, 5.0, 0.1)], schema)

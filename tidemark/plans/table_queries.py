@@ -78,9 +78,13 @@ def d06(spark, sf):
     return features(spark, sf).select("series_id", "session", *(F.round(c, 5).alias(c) for c in _VOLATILITY), F.round(C("rv10") - C("rv21"), 5).alias("spread"))
 
 
-@query("d08_volume_features", f"{ctes('bars')} SELECT series_id, session, {_r('(volume - ' + _full('avg(volume)', 20, 'volume') + ') / nullif(' + _full('stddev_samp(volume)', 20, 'volume') + ', 0)')} AS volume_z FROM bars")
+_VOLUME = ("volume_z", "gap_freq", "range_pct")
+
+
+@query("d08_volume_features", f"{FEATURES_SQL} SELECT series_id, session, {', '.join(f'{_r(c)} AS {c}' for c in _VOLUME)} FROM f")
 def d08(spark, sf):
-    return panel.bars_anchor(spark, sf).select("series_id", "session", F.round(R.zscore(C("volume"), 20), 5).alias("volume_z"))
+    """Volume against its 20 sessions, the share of gaps in 20, and the rank of the day's range in 252."""
+    return features(spark, sf).select("series_id", "session", *(F.round(c, 5).alias(c) for c in _VOLUME))
 
 
 @query("g15_spike_windows", f"""{ctes('bars')}, p AS (SELECT *, {_full('avg(volume)', 60, 'volume', 1)} + 2 * {_full('stddev_pop(volume)', 60, 'volume', 1)} AS most, {_full('avg(volume)', 7, 'volume')} AS m7, {_full('avg(volume)', 60, 'volume', 7)} AS b7, {_full('avg(volume)', 30, 'volume')} AS m30, {_full('avg(volume)', 60, 'volume', 30)} AS b30 FROM bars)
