@@ -439,6 +439,13 @@ def test_quality_equals_a_plain_version_at_any_layout(spark, documents):
         assert got[r.doc_id] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))), abs=1e-9)
 
 
+def test_toxicity_learns_from_few_texts(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = Q.op7_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
+    found = [r.predicted for r in rows if r.toxic]
+    assert len(found) >= 5 and sum(found) >= 0.5 * len(found) and sum(r.predicted for r in rows if r.toxic == 0) < 0.1 * len(rows)
+
+
 def test_toxicity_equals_a_plain_version_and_forgets_length(spark):
     model = toxicity.train(["you idiot go away", "have a nice day", "what an idiott", "the weather is fine"] * 8, [1, 0, 1, 0] * 8, 0.5)
 

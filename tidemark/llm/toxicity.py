@@ -2,7 +2,9 @@
 
 A word is the mean of the vectors of its character n-grams and of itself, all in one hashed
 table; a linear softmax over two classes reads it (of two classes, one difference of weights).
-Vectors and weights are trained jointly in numpy. A text's log-odds are the soft mean of its
+Vectors and weights are trained jointly in numpy, from a start at the n-grams' log-odds: from a
+random one all words of a text weigh the same, and insults may never stand out of the frequent words'
+noise. A text's log-odds are the soft mean of its
 words' (the log of the mean of exponentials, at a temperature): in the plain mean a few insults
 in a long text vanish, and in a sum of exponentials clean texts would grow toxic by length. A
 text that is repeated keeps its score. The whole text is read.
@@ -28,6 +30,8 @@ SLOTS, DIM, GRAMS = 1 << 16, 4, (3, 4, 5)
 #: Labelled texts sampled for training, of each class, and characters of the longest that may train;
 #: texts of a step; steps; first rate; temperature of the soft mean.
 SAMPLE, SAMPLE_CHARS, BATCH, STEPS, RATE, SOFT = 1500, 200_000, 128, 400, 0.4, 0.5
+#: The start: share of texts added to both classes' shares in a log-odds, and its multiple that a slot begins with.
+START_SHARE, START = 0.05, 3.0
 #: Distinct words kept per task before the cache starts anew.
 CACHE_WORDS = 400_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -102,6 +106,21 @@ class _Batch:
         return _sums(self.slots, d_word[self.word_of], SLOTS), word.T @ d_odds, d.sum()
 
 
+def _log_odds(batches: list[tuple[_Batch, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Per slot: the log of the share of texts with label 1 that hold it over that of the others."""
+    held, n = np.zeros((2, SLOTS)), np.zeros(2)
+    for batch, y, _ in batches:
+        text, word = np.divmod(np.unique(batch.text_of * len(batch.count) + batch.ids), len(batch.count))
+        size = batch.count[word].astype(np.int64)
+        at = np.repeat(batch.first[word] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        text, slot = np.divmod(np.unique(np.repeat(text, size) * SLOTS + batch.slots[at]), SLOTS)
+        for label in (0, 1):
+            held[label] += np.bincount(slot[y[text] == label], minlength=SLOTS)
+            n[label] += (y == label).sum()
+    share = held / np.maximum(n, 1)[:, None] + START_SHARE
+    return np.log(share[1] / share[0])
+
+
 def train(texts: list[str], labels: list[int], prior: float, seed: int = 5) -> Model:
     """Stochastic gradient descent with momentum, both classes weighing the same; texts are shuffled once.
 
@@ -113,7 +132,8 @@ def train(texts: list[str], labels: list[int], prior: float, seed: int = 5) -> M
     y = np.array(labels, np.float32)
     weight = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
     batches = [(_Batch([texts[i] for i in at]), y[at], weight[at] / len(at)) for at in (order[k : k + BATCH] for k in range(0, len(order), BATCH))]
-    vectors, w, b = rng.normal(0, 0.05, (SLOTS, DIM)).astype(np.float32), rng.normal(0, 1.0, DIM), -1.0
+    vectors, w, b = rng.normal(0, 0.05, (SLOTS, DIM)), rng.normal(0, 1.0, DIM), -1.0
+    vectors = (vectors + START * _log_odds(batches)[:, None] * w / (w @ w)).astype(np.float32)
     speed, speed_w, speed_b, scale = np.zeros_like(vectors), np.zeros(DIM), 0.0, 0.0
     steps = max(1, -(-STEPS // len(batches))) * len(batches)
     for step in range(steps):
