@@ -100,3 +100,19 @@ def test_availability(spark):
     wanted = spark.createDataFrame([("f", 1), ("f", 2), ("g", 1)], "feature string, input int")
     got = {r.feature: (r.available, r.missing) for r in families.availability(wanted, spark.createDataFrame([(1,)], "input int")).collect()}
     assert got == {"f": (False, "2"), "g": (True, "")}
+
+
+def test_parts_give_the_market_the_members_and_the_sessions(spark, sf, tmp_path):
+    from tidemark.plans import evidence_queries
+    from tidemark.sources import panel
+
+    lines, suppliers = (panel.table(spark, sf, t) for t in ("lineitem", "supplier"))
+    lines = lines.withColumn("l_returnflag", F.when(F.col("l_orderkey") % 5 > 0, F.col("l_returnflag"))).withColumn("l_suppkey", F.when(F.col("l_orderkey") % 7 > 0, F.col("l_suppkey")))
+    lines.union(lines.where("l_linenumber = 1")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    suppliers.where("s_suppkey <> 2").union(suppliers.where("s_suppkey = 1")).withColumn("s_nationkey", F.when(F.col("s_suppkey") != 3, F.col("s_nationkey"))).write.parquet(f"{tmp_path}/supplier.parquet")
+    parts = panel.parts(spark, str(tmp_path))
+    for of in ("market", "members", "sessions"):
+        got, want = {"market": (panel.market_of, panel.bars_market), "members": (panel.members_of, panel.bars_member), "sessions": (panel.market_sessions_of, panel.market_sessions)}[of]
+        got, want = got(parts), want(spark, str(tmp_path))
+        assert got.schema == want.schema and sorted(got.select(*want.columns).collect(), key=repr) == sorted(want.collect(), key=repr)
+    assert not [f for f in evidence_queries._model_inputs(spark, sf).inputFiles() if "lineitem" in f]  # read once, into the parts

@@ -22,6 +22,8 @@ from pyspark.sql.window import Window
 
 #: Floor of covariances' eigenvalues, fall of a likelihood from which a seed is rejected, gain below which it has converged.
 FLOOR, FALL, GAIN = 1e-3, 1e-6, 1e-2
+#: Tasks that the blocks of a fit are dealt over.
+TASKS = 200
 #: Changes of a mean (relative) and of a move's probability (absolute) that call for review.
 MEAN_ALERT, MOVE_REVIEW = 0.20, 0.30
 
@@ -345,7 +347,8 @@ def fitted(numbered: DataFrame, columns: list[str], k: int, seeds: list[int], wi
                 })
         return pd.DataFrame(out, columns=[f.split(" ")[0] for f in FITS.split(", ")])
 
-    return blocks(numbered, window, cadence, block).groupBy("series_id", "block").applyInPandas(run, FITS)
+    # A number of tasks of their own: blocks are few and small, and by their size they would be put together in a few tasks.
+    return blocks(numbered, window, cadence, block).repartition(TASKS, "series_id", "block").groupBy("series_id", "block").applyInPandas(run, FITS)
 
 
 def orders(fits: DataFrame) -> DataFrame:

@@ -38,9 +38,9 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def _features(spark, sf):
+def _features(spark, sf, bars=None):
     """The market panel's features with the 63-session drawdown and the directional index."""
-    bars = panel.bars_market(spark, sf)
+    bars = panel.bars_market(spark, sf) if bars is None else bars
     adx = folds.adx(bars).select(*KEY, "adx")
     return features_of(bars).withColumn("dd63", R.drawdown(C("close"), 63)).join(adx, list(KEY))
 
@@ -54,10 +54,11 @@ def _structure(spark, sf):
     return network.structure(_member_returns(spark, sf))
 
 
-def _market_breadth(spark, sf, sma: int = 50):
+def _market_breadth(spark, sf, sma: int = 50, members=None, sessions=None):
     """Breadth on the full windows, from members' last known bars."""
-    sessions = panel.market_sessions(spark, sf)
-    rows = align.exact(align.grid(panel.bars_member(spark, sf), sessions), panel.bars_member(spark, sf).select(*KEY, "close", "volume"))
+    sessions = panel.market_sessions(spark, sf) if sessions is None else sessions
+    members = panel.bars_member(spark, sf) if members is None else members
+    rows = align.exact(align.grid(members, sessions), members.select(*KEY, "close", "volume"))
     carried = rows.withColumn("close", R.carried(C("close"))).where("close IS NOT NULL").select(*KEY, "close", F.coalesce("volume", F.lit(0)).alias("volume"))
     return breadth.breadth(carried, sessions, panel.membership(spark, sf), sma=sma)
 
@@ -78,7 +79,11 @@ def e08_full(spark, sf):
 
 
 def _model_inputs(spark, sf):
-    f, s, b = _features(spark, sf), _structure(spark, sf), _market_breadth(spark, sf)
+    """Features, correlation and breadth of the market; the lines are read once, into the parts of bars, which are written in the shared folder."""
+    shared_folder(spark)
+    parts = panel.parts(spark, sf).checkpoint()
+    bars, members, sessions = panel.market_of(parts), panel.members_of(parts), panel.market_sessions_of(parts)
+    f, s, b = _features(spark, sf, bars), network.structure(network.returns(members, sessions, carry=True)), _market_breadth(spark, sf, members=members, sessions=sessions)
     return f.join(s.select("session", "mean_corr"), "session").join(b.select("session", "pct_above"), "session")
 
 

@@ -38,6 +38,43 @@ def bars_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(lines).withColumn("pos", F.row_number().over(Window.partitionBy("series_id").orderBy("session")).cast("long"))
 
 
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What market, member and session tables have in common, from one reading of the lines: (flag, nations, session) with the
+    first and last line, extremes and volume. Its size follows the calendar, not the lines. `nations`: those of the line's supplier,
+    once for each of its rows; null without one."""
+    nation = F.sort_array(F.collect_list(F.struct(F.col("s_nationkey").cast("string").alias("nation"))))
+    nations = table(spark, sf_dir, "supplier").where("s_suppkey IS NOT NULL").groupBy(F.col("s_suppkey").alias("l_suppkey")).agg(nation.alias("nations"))
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    lines = table(spark, sf_dir, "lineitem").withColumn("session", F.to_date("l_shipdate")).where(F.weekday("session") < 5)
+    line = F.struct(*ORDER, price.alias("price"))
+    return lines.join(nations, "l_suppkey", "left").groupBy(F.col("l_returnflag").alias("flag"), "nations", "session").agg(
+        F.min(line).alias("first"), F.max(price).alias("high"), F.min(price).alias("low"), F.max(line).alias("last"), F.sum("l_quantity").alias("volume"),
+    )
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """Daily bars by series_id from `parts`."""
+    return rows.groupBy("series_id", "session").agg(
+        F.min("first")["price"].alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max("last")["price"].alias("close"), F.sum("volume").cast("long").alias("volume"),
+    )
+
+
+def market_of(parts: DataFrame) -> DataFrame:
+    """`bars_market` from `parts`."""
+    bars = _merged(parts.withColumn("series_id", F.explode(F.array(F.lit("ALL"), "flag"))))
+    return bars.withColumn("pos", F.row_number().over(Window.partitionBy("series_id").orderBy("session")).cast("long"))
+
+
+def members_of(parts: DataFrame) -> DataFrame:
+    """`bars_member` from `parts`."""
+    return _merged(parts.withColumn("series_id", F.explode("nations.nation")))
+
+
+def market_sessions_of(parts: DataFrame) -> DataFrame:
+    """`market_sessions` from `parts`."""
+    return parts.select("session").distinct().withColumn("pos", F.row_number().over(Window.orderBy("session")).cast("long"))
+
+
 def market_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weekdays of all lines with their ordinal; a market-level table of a few thousand rows."""
     days = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("session")).where(F.weekday("session") < 5).distinct()
